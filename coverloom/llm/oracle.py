@@ -46,6 +46,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   AND n_ellipsis / n_lines <= 0.3
   AND n_bullets / n_lines <= 0.9 AS kept
 FROM b
+""",
+    "op2_ngram_join": """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i+4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), inter AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS MATERIALIZED (
+  SELECT x, y FROM inter JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM n UNION SELECT r.x, e.y FROM reach r JOIN e ON e.x = r.y
+), m AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.c, w.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.x = w.doc_id
 """,
     "op3_url_filter": """
 WITH r AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import decontamination, quality_rules, url_filter
+from coverloom.llm import decontamination, ngram_join, quality_rules, url_filter
 from coverloom.llm.util import table
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list: the URLs of pages whose id is divisible by 50."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -26,4 +30,4 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_url_filter, op4_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination)}

@@ -58,6 +58,11 @@ def bounded(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows of an Arrow batch sent to Python workers, so that many long texts at once stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def let(value: Column, body) -> Column:
     """body(value), with value computed once: bound to a lambda variable, so that no optimizer rule copies it into inner lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
