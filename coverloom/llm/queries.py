@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import decontamination, ngram_join, quality_rules, url_filter
+from coverloom.llm import decontamination, ngram_join, quality_rules, suffix_dedup, url_filter
 from coverloom.llm.util import table
 
 
@@ -30,4 +30,9 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination)}
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op10_suffix_dedup)}
