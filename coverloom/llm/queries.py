@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import decontamination, ngram_join, quality_rules, suffix_dedup, url_filter
+from coverloom.llm import decontamination, language_id, ngram_join, quality_model, quality_rules, suffix_dedup, url_filter
 from coverloom.llm.util import table
 
 
@@ -30,9 +30,27 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def _remainder(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.where(F.coalesce(_remainder(3) != 1, F.lit(True))))
+    out = language_id.identify(docs, model)
+    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_model.train(docs, labels.where(_remainder(5) != 0))
+    out = quality_model.score(docs, model)
+    return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op8_quality_model, op10_suffix_dedup)}
