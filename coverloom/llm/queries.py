@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import decontamination, language_id, ngram_join, quality_model, quality_rules, suffix_dedup, url_filter
-from coverloom.llm.util import table
+from coverloom.llm import decontamination, language_id, license_scan, ngram_join, quality_model, quality_rules, sentence_pieces, sharding, suffix_dedup, url_filter
+from coverloom.llm.util import scratch_path, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,25 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document is after all of them have arrived and been compacted."""
+    docs = table(spark, sf_dir, "documents")
+    store = sharding.Store(spark, scratch_path(spark, "shards"))
+    store.append(docs)
+    version = store.compact(docs.schema)
+    files = store.manifest(version).select("file", "tier", "version", F.col("rows").alias("shard_rows"))
+    rows = store.read(docs.schema, version, with_file=True)
+    out = rows.join(sharding.bounded(files, sharding.PLAN_ROWS), F.col("_file") == F.col("file"))
+    shard = F.regexp_extract("file", r"/data/(.*)$", 1)
+    return out.select("doc_id", shard.alias("shard"), F.col("_size").alias("shard_bytes"), "shard_rows", "tier", "version", F.octet_length("text").cast("long").alias("n_bytes"))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    best = F.array_max(F.transform("matches", lambda m: m.getField("containment")))
+    return out.select("doc_id", "n_words", F.array_join(F.transform("matches", lambda m: m.getField("license")), ",").alias("licenses"), F.size("matches").alias("n_licenses"), F.coalesce(best, F.lit(0.0)).alias("containment"), "matches")
+
+
 def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_model.train(docs, labels.where(_remainder(5) != 0))
@@ -48,9 +67,14 @@ def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentence_pieces.encode(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op8_quality_model, op10_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op6_sharding, op7_license_scan, op8_quality_model, op9_sentence_pieces, op10_suffix_dedup)}
