@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coverloom.llm.kernels import U, column, hash_words, lower_table, mix, pieces, split_words, weights, white_words
 from coverloom.llm.util import arrow_batches, bounded, ship
@@ -136,7 +137,8 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5,
     lower, words = lower_table(), white_words()
     raw = [t.encode() for t in texts]
     y_of = np.array([code[x] for x in labels])
-    for _ in range(epochs):
+    steps = sum(map(len, raw)) // step + 1
+    for _ in range(max(epochs, -(-160 // steps) if raw else 0)):  # small samples are gone through more often
         order = list(rng.permutation(len(raw)))
         while order:
             part, size = [], 0
@@ -174,21 +176,19 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5,
     return names, table, trans
 
 
-def _judge(model):
-    names_out = ["doc_id", "lang_pred", "score"]
-
+def _judge(model, kept_text: bool = False):
     def run(batches):
         names, table, trans = model.value
         lower, words, letter = lower_table(), white_words(), _letters()
         k = len(names)
         for b in batches:
             data, starts, ends, _ = column(b, "text")
-            mean = np.zeros((b.num_rows, k))
+            mean = np.zeros((b.num_rows, max(k, 1)))
             for i, j in pieces(starts, ends, 1 << 20):
                 a = starts[i]
                 d = lower[data[a : ends[j - 1]]]
                 first, last, row = split_words(d, starts[i:j] - a, ends[i:j] - a, words)
-                if not len(first):
+                if not len(first) or not k:
                     continue
                 begin, length = _lines(d, first, row)
                 _, some, which = np.unique(hash_words(d, first, last, 9), return_index=True, return_inverse=True)
@@ -201,8 +201,9 @@ def _judge(model):
             best = mean.argmax(1)
             score = mean[np.arange(len(best)), best]
             none = score == 0
-            pred = np.where(none, "und", np.array(names, object)[best])
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(pred), pa.string()), pa.array(np.clip(score, 0, 1))], names_out)
+            pred = np.where(none, "und", np.array(names or ["und"], object)[best])
+            rest = b.schema.names[2 - kept_text :]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(pred), pa.string()), pa.array(np.clip(score, 0, 1)), *map(b.column, rest)], ["doc_id", "lang_pred", "score", *rest])
 
     return run
 
@@ -220,18 +221,19 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     order = np.argsort([str(x) for x in got.column("i").to_pylist()], kind="stable")
     t, y = got.column("t").to_pylist(), got.column("l").to_pylist()
     t, y = [t[i] for i in order], [y[i] for i in order]
-    if not y:
-        raise ValueError("no labelled text")
     return fit(t, y)
 
 
-def identify(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score for every row of docs; model: what train gave."""
+def identify(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang_pred, score and the columns to keep for every row of docs; model: what train gave."""
     spark = docs.sparkSession
     arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return own.mapInArrow(_judge(shared), "doc_id long, lang_pred string, score double")
+    rest = [c for c in keep if c != "text"]
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *rest)
+    kept = own.select(*(["text"] if "text" in keep else []), *rest)
+    schema = T.StructType([*T.StructType.fromDDL("doc_id long, lang_pred string, score double"), *kept.schema])
+    return own.mapInArrow(_judge(shared, "text" in keep), schema)
 
 
 ship(__name__)

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from coverloom.llm import bloom
 from coverloom.llm.kernels import U, column, maybe_in, mix, weights
@@ -216,7 +217,8 @@ def _cut(whole: bool):
                 edge = np.diff(np.concatenate(([0], (~stay).view(np.int8), [0])))
                 out[i, 1:] = len(text) - int(stay.sum()), int((edge == 1).sum())
                 kept.append(text[stay].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, out.T.copy()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            rest = [c for c in b.schema.names if c not in ("doc_id", "text", "spans")]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, out.T.copy()), pa.array(kept, pa.binary()), *map(b.column, rest)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *rest])
 
     return run
 
@@ -278,13 +280,14 @@ def spans(own: DataFrame, q: int = QGRAM, length: int = LENGTH) -> DataFrame:
     return out
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", q: int = QGRAM, length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (binary, the remaining bytes) for every row of docs."""
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", q: int = QGRAM, length: int = LENGTH, whole_characters: bool = False, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept (binary, the remaining bytes) and the columns to keep for every row of docs."""
     arrow_batches(docs.sparkSession)
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    by_doc = spans(own, q, length).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct(F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e"))).alias("spans"))
-    joined = own.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_cut(whole_characters), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *keep)
+    by_doc = spans(own.select("doc_id", "text"), q, length).groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct(F.col("s").cast("int").alias("s"), F.col("e").cast("int").alias("e"))).alias("spans"))
+    joined = own.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    schema = T.StructType.fromDDL("doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(_cut(whole_characters), T.StructType([*schema, *own.select(*keep).schema]))
 
 
 ship(__name__)

@@ -31,16 +31,18 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
+def scratch_path(spark: SparkSession, label: str, stays: bool = False) -> str:
+    """A new path in the shared folder; release deletes it unless it stays."""
     path = f"{shared_dir(spark)}/coverloom/{label}-{uuid.uuid4().hex}"
-    _scratch.append(path)
+    if not stays:
+        _scratch.append(path)
     return path
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, stays: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(spark, label, stays)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
