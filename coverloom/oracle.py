@@ -64,7 +64,7 @@ ORACLE = {
     "edges_match_pairs": with_views(f"SELECT 'match' AS style, 2 AS cluster_size, s1 || ',' || s2 AS samples, {_IDS} FROM pairs", "pairs"),
     "edges_pool": with_views(f"SELECT 'pool' AS style, n AS cluster_size, array_to_string(samples, ',') AS samples, {_IDS} FROM pools", "pools"),
     "edges_single_directional": with_views(f"SELECT 'directional' AS style, 2 AS cluster_size, a || ',' || b AS samples, {_IDS} FROM (SELECT s.sample AS a, d.sample AS b, list(DISTINCT s.target) AS ids FROM targets s JOIN targets d ON s.target = d.target AND s.sample <> d.sample WHERE s.coverage > 90 GROUP BY ALL)", "targets"),
-    "edges_single_singleton": with_views(f"SELECT 'singleton' AS style, 1 AS cluster_size, sample AS samples, {_IDS} FROM (SELECT sample, list(DISTINCT target) AS ids FROM targets WHERE coverage > 20 AND target IN (SELECT target FROM targets GROUP BY target HAVING count(DISTINCT sample) = 1) GROUP BY sample)", "targets"),
+    "edges_single_singleton": with_views(f"WITH strong AS (SELECT u.*, t.target FROM unbinned u JOIN (SELECT gene, sequence, row_number() OVER (ORDER BY gene, sequence) - 1 AS target FROM (SELECT DISTINCT gene, sequence FROM unbinned WHERE coverage > 100)) t USING (gene, sequence) WHERE coverage > 100) SELECT 'singleton' AS style, 1 AS cluster_size, sample AS samples, {_IDS} FROM (SELECT sample, list(DISTINCT target) AS ids FROM strong WHERE coverage > 110 AND target IN (SELECT target FROM strong GROUP BY target HAVING count(DISTINCT sample) = 1) GROUP BY sample)", "unbinned"),
     "kmer_sketch": with_views("""
 WITH d AS (
   SELECT DISTINCT sample, substr(sequence, 2)::BIGINT AS p FROM otu
@@ -97,7 +97,7 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
     "elusive_clusters": with_views(f"WITH {_GREEDY}, {_RECOVER.format(chosen='chosen')}, r AS (SELECT c.samples, any_value(total_targets) AS total_targets, any_value(total_size) AS total_size, any_value([s1, s2]) || list_filter(list(sample ORDER BY k), lambda s: s NOT IN (any_value(s1), any_value(s2))) AS rec FROM chosen c JOIN top USING (samples) GROUP BY c.samples) SELECT samples, 2 AS length, total_targets, total_size, array_to_string(list_sort(rec[1:6]), ',') AS recover_samples, 'coassembly_' || (row_number() OVER (ORDER BY total_targets DESC, total_size, samples DESC) - 1) AS coassembly FROM r", "pairs", "read_size", recursive=True).replace("lambda s: s NOT IN (any_value(s1), any_value(s2))", "lambda s: NOT list_contains(string_split(c.samples, ','), s)"),
     "coassembly_summary": with_views(f"WITH {_PLAN} SELECT coassembly, samples, length, total_targets, total_size, (2 * total_size)::BIGINT AS unmapped_size FROM plan", "groups", "read_size"),
     "cluster_length_histogram": with_views("SELECT len(string_split(samples, ','))::INT AS length, count(*) AS clusters FROM groups GROUP BY 1", "groups"),
-    "unused_samples": with_views("SELECT DISTINCT sample FROM otu WHERE sample NOT IN (SELECT unnest([a.sample, b.sample]) FROM targets a JOIN targets b ON a.target = b.target AND a.sample < b.sample WHERE a.coverage + b.coverage > 150)", "otu", "targets"),
+    "unused_samples": with_views("SELECT DISTINCT sample FROM otu WHERE sample NOT IN (SELECT unnest([a.sample, b.sample]) FROM targets a JOIN targets b ON a.target = b.target AND a.sample < b.sample WHERE a.coverage + b.coverage > 200)", "otu", "targets"),
     "reference_bins_trimmed_mean": with_views("WITH share AS (SELECT sample, sum(CASE WHEN b THEN num_hits ELSE 0 END) AS x, sum(num_hits) AS y FROM (SELECT sample, num_hits, true AS b FROM binned UNION ALL SELECT sample, num_hits, false FROM unbinned) GROUP BY sample), c AS (SELECT sample, gene, regexp_replace(g, '_protein$', '') AS genome, sum(coverage) AS coverage FROM (SELECT sample, gene, unnest(string_split(found_in, ',')) AS g, coverage FROM binned WHERE sample IN (SELECT sample FROM share WHERE x >= 0.1 * y)) GROUP BY ALL), grid AS (SELECT s.sample, s.gene, m.genome, coalesce(c.coverage, 0) AS coverage FROM (SELECT DISTINCT sample, gene FROM c) s JOIN (SELECT DISTINCT sample, genome FROM c) m ON m.sample = s.sample LEFT JOIN c ON c.sample = s.sample AND c.gene = s.gene AND c.genome = m.genome), l AS (SELECT sample, genome, list_sort(list(coverage)) AS v, floor(count(*) * 0.1::DOUBLE)::INT AS k FROM grid GROUP BY ALL) SELECT sample, genome FROM l WHERE list_avg(v[k + 1:len(v) - k]) > 0", "binned", "unbinned"),
     "evaluate_matched": with_views(f"WITH {_HAY} SELECT * FROM matched", *_EVAL),
     "evaluate_novel": with_views(f"WITH {_HAY} SELECT coassembly, gene, sequence, genome, taxonomy FROM hits WHERE target IS NULL AND found_in IS NULL AND source_samples IS NULL", *_EVAL),

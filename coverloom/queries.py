@@ -95,7 +95,9 @@ def edges_single_directional(t):
 
 @query
 def edges_single_singleton(t):
-    return _edge_text(edges.single(_targets(t), 20).where("style = 'singleton'"))
+    """Among observations of over 100 alone, so that some sequences are in one sample."""
+    strong = targets.dense(t.unbinned().drop("found_in").where("coverage > 100"))
+    return _edge_text(edges.single(strong, 110).where("style = 'singleton'"))
 
 
 @query
@@ -258,7 +260,7 @@ def cluster_length_histogram(t):
 
 @query
 def unused_samples(t):
-    return edges.unused_samples(t.otu().select("sample"), edges.pairs(_hashed(t), 150))
+    return edges.unused_samples(t.otu().select("sample"), edges.pairs(_hashed(t), 200))
 
 
 @query
