@@ -1,18 +1,19 @@
 """Suffix-array dedup by bucket-pointer refinement: bytes covered by a long string that starts earlier somewhere are removed.
 
-Suffixes are put into buckets by a q-gram and buckets are refined by identifiers that stand for later offsets, as in
-bucket-pointer refinement; a bucket of one suffix, or one without a later member, is finished and leaves. Only anchored
-suffixes enter: positions whose q-gram is least in some window of `length` bytes, which equal windows choose alike, so every
-repeated window is seen through an anchor at the same place in it. The steps are
+Suffixes are put into buckets by a q-gram, and buckets are refined by identifiers that stand for the bytes at later (and
+earlier) offsets; a suffix alone in its bucket is finished and leaves. Only anchored suffixes enter: of each window of
+`length` bytes the place of its least q-gram. Equal windows choose alike, so each repeated window is seen from the same place
+in it; an anchor answers for the windows that chose it. The steps are
 
-1. buckets of anchors by q-gram; only q-grams that occur twice or more go on;
-2. refinement by the identifier of the whole region around the anchor, which holds every window with the q-gram in it: an
-   anchor with an equal region earlier is covered entirely and leaves; one anchor for each distinct region is left;
-3. recursion on ranges of window offsets, halved each time: a bucket is split by the identifier of the bytes that all
-   windows of the range share, and a suffix whose range has an equal, earlier string of all its windows is covered there.
+1. buckets of anchors by q-gram are counted over all texts; q-grams that occur once are finished;
+2. the anchors left bring the bytes of their windows to their bucket, which one task has together with others;
+3. refinement: a bucket is split by the identifier of the bytes that all windows of a range of offsets share, and a suffix
+   with an equal, earlier string of all windows of the range is covered there and leaves; for the others the range is
+   halved and the new buckets are refined again, down to single windows. Identifiers are made from prefix sums of the
+   bytes, which all rounds reuse.
 
-Identifiers are 128-bit hashes of the bytes they stand for, so that no numbering pass over the corpus is needed and each
-refinement is one aggregation with a partial step before the shuffle. No step pairs the members of a bucket.
+Buckets of more than HOT anchors are never brought to one task: the same refinement runs for them as aggregations over
+128-bit identifiers with a partial step before each shuffle. No step pairs the members of a bucket.
 
 Defined cases: a null or empty text has no bytes and nothing is removed; texts under `length` bytes can't match; of equal
 texts the one with the least doc id stays whole and the others lose all; rows with
@@ -36,6 +37,10 @@ from coverloom.llm.kernels import U, column, maybe_in, mix, weights
 from coverloom.llm.util import arrow_batches, materialize, ship
 
 QGRAM, LENGTH = 32, 100
+#: Members of a bucket that one task refines; larger buckets are refined by aggregations.
+HOT = 20_000
+#: Rows that the refinement holds at once, beyond the last bucket of them.
+BLOCK = 8_000
 #: Bytes that one step of the kernel works on.
 SEGMENT = 1 << 18
 _ODD = 0x9E3779B97F4A7C15
@@ -79,50 +84,43 @@ class Hasher:
         return mix((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype(np.uint64) * U(_ODD))
 
 
-def anchors(batch, q: int, length: int, second: bool):
-    """For each segment: (rows, place in row, q-gram, hashers with the segment, place in segment, first and end of the row in the segment)."""
+def anchors(batch, q: int, length: int):
+    """For each segment: (row, place in the row, q-gram, low, high, place in data) of its anchors. The anchor stands low to high bytes behind the start of the windows that chose it."""
     data, starts, ends, _ = column(batch, "text")
     if not len(starts) or ends[-1] == starts[0]:
         return
     lo, hi, margin, w = int(starts[0]), int(ends[-1]), 2 * length, length - q + 1
-    size = min(SEGMENT, hi - lo) + 2 * margin
-    hashers = [Hasher(size, s) for s in range(1 + second)]
     full = np.flatnonzero(ends - starts >= length)
     if not len(full):
         return
+    hasher = Hasher(min(SEGMENT, hi - lo) + 2 * margin, 0)
     for a in range(lo, hi, SEGMENT):
         z = min(a + SEGMENT, hi)
         p, r = max(lo, a - margin), min(hi, z + margin)
         d = data[p:r]
         if len(d) < length:
             continue
-        for h in hashers:
-            h.load(d)
-        gram = mix(hashers[0].all(q))
-        v = (gram >> U(32)).astype(np.uint32)
-        least = _slide(v, w, np.minimum)  # for each start of a window
-        # windows that cross rows don't count
-        inside = np.zeros(len(least) + 1, np.int32)
+        hasher.load(d)
+        gram = mix(hasher.all(q))
+        chosen = (gram & U(0xFFFFFFFF00000000)) | np.arange(len(gram), dtype=np.uint64)
+        chosen = (_slide(chosen, w, np.minimum) & U(0xFFFFFFFF)).astype(np.int64)  # for each start of a window
+        inside = np.zeros(len(chosen) + 1, np.int32)  # windows that cross rows don't count
         rows = full[(ends[full] > p) & (starts[full] < r)]
-        s, e = np.clip(starts[rows] - p, 0, len(least)), np.clip(ends[rows] - length + 1 - p, 0, len(least))
+        s, e = np.clip(starts[rows] - p, 0, len(chosen)), np.clip(ends[rows] - length + 1 - p, 0, len(chosen))
         keep = e > s
         np.add.at(inside, s[keep], 1)
         np.add.at(inside, e[keep], -1)
-        ok = np.cumsum(inside[:-1]) > 0
-        top = np.zeros(len(v) + w - 1, np.uint32)  # moved by w - 1: top[i] is for the window that starts at i - w + 1
-        top[w - 1 : w - 1 + len(least)] = np.where(ok, least, 0)
-        reach = _slide(top, w, np.maximum)
-        some = np.zeros(len(v) + w, np.int32)
-        some[w : w + len(least)] = np.cumsum(ok)
-        some[w + len(least) :] = some[w + len(least) - 1]
-        chosen = (reach == v) & (some[w:] > some[:-w])
-        chosen[: a - p] = False
-        chosen[z - p :] = False
-        at = np.flatnonzero(chosen)
-        if not len(at):
+        start = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
+        if not len(start):
             continue
+        at = chosen[start]
+        new = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        first, last = start[new], start[np.append(new[1:], len(start)) - 1]
+        at = at[new]
+        own = (at >= a - p) & (at < z - p)
+        at, first, last = at[own], first[own], last[own]
         row = full[np.searchsorted(starts[full], at + p, "right") - 1]
-        yield row, at + p - starts[row], gram[at], hashers, at, starts[row] - p, ends[row] - p
+        yield row, at + p - starts[row], gram[at], at - last, at - first, at + p
 
 
 def _grams(q: int, length: int):
@@ -130,7 +128,7 @@ def _grams(q: int, length: int):
 
     def run(batches):
         for b in batches:
-            found = [x[2] for x in anchors(b, q, length, False)]
+            found = [x[2] for x in anchors(b, q, length)]
             if found:
                 k, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n.astype(np.int64))], ["k", "n"])
@@ -138,48 +136,96 @@ def _grams(q: int, length: int):
     return run
 
 
-def _window_offsets(place, at, first, end, q: int, length: int):
-    """The least and the largest place of the anchor in windows of its row."""
-    return np.maximum(0, at + length - end), np.minimum(length - q, place)
+NAMES = ["doc", "pos", "k", "low", "high", "bytes"]
 
 
-def _regions(q: int, length: int, bits):
-    """Anchors with a repeated q-gram: (doc, pos, k, r1, r2, low, high)."""
-    names = ["doc", "pos", "k", "r1", "r2", "low", "high"]
+def _strings(q: int, length: int, wanted, hot, of_hot: bool):
+    """Anchors whose q-gram is wanted, and hot or not, with the bytes of their windows. For hot ones these are filled up on either side to those of all windows with the q-gram, by 0xFF, which no text has."""
 
     def run(batches):
         for b in batches:
-            for row, place, gram, hashers, at, first, end in anchors(b, q, length, True):
-                m = maybe_in(bits.value, gram)
+            data, _, _, _ = column(b, "text")
+            for row, place, gram, low, high, at in anchors(b, q, length):
+                m = maybe_in(wanted.value, gram) & (maybe_in(hot.value, gram) == of_hot)
                 if not m.any():
                     continue
-                row, place, gram, at, first, end = (x[m] for x in (row, place, gram, at, first, end))
-                low, high = _window_offsets(place, at, first, end, q, length)
-                shape = (low * 1000 + high).astype(np.uint64) * U(_ODD)
-                r1, r2 = (mix(h.of(at - high, at - low + length) + shape).view(np.int64) for h in hashers)
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(place), pa.array(gram.view(np.int64)), pa.array(r1), pa.array(r2), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], names)
+                row, place, gram, low, high, at = (x[m] for x in (row, place, gram, low, high, at))
+                if of_hot:
+                    strings = pa.array([b"\xff" * (length - q - h) + data[i - h : i - l + length].tobytes() + b"\xff" * l for i, h, l in zip(at, high, low)], pa.binary())
+                else:
+                    n = high - low + length
+                    ends = np.cumsum(n)
+                    flat = data[np.arange(int(ends[-1])) + np.repeat(at - high - (ends - n), n)]
+                    strings = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(place), pa.array(gram.view(np.int64)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), strings], NAMES)
 
     return run
 
 
-def _strings(q: int, length: int, bits):
-    """The bytes of the regions whose first identifier may be in the filter: (doc, pos, k, r1, r2, low, high, bytes), from length - q before the anchor to length behind it. Outside the text stands 0xFF, which no text has."""
-    names = ["doc", "pos", "k", "r1", "r2", "low", "high", "bytes"]
+def refine(k, doc, pos, low, high, flat, ends, q: int, length: int):
+    """(row, s, e) of the covered ranges of whole buckets. Rows are sorted by k, doc and pos; flat and ends: the bytes of their windows."""
+    side, n = length - q, len(k)
+    width = side + length
+    size = high - low + length
+    m = np.full((n, width), 255, np.uint8)
+    to = np.repeat(np.arange(n) * width + side - high - (ends - size), size) + np.arange(len(flat))
+    m.reshape(-1)[to] = flat
+    base = int(weights(3, 5)[2])
+    up, down = powers(width + 1, base), powers(width + 1, pow(base, -1, 1 << 64))
+    sums = np.zeros((n, width + 1), np.uint64)
+    np.cumsum(weights(256, 29)[m] * up[:width], axis=1, out=sums[:, 1:])
+    ident = lambda r, a, b: (sums[r, b] - sums[r, a]) * down[a]
+
+    row, lo, hi = np.arange(n), np.zeros(n, np.int64), np.full(n, side)
+    bucket, out = np.cumsum(np.concatenate(([0], (k[1:] != k[:-1]).astype(np.int64)))), []
+    while len(row):
+        salt = mix(bucket.astype(np.uint64) * U(_ODD) + (lo * 1000 + hi).astype(np.uint64))
+        _, bucket, times = np.unique(mix(ident(row, side - lo, side - hi + length)) + salt, return_inverse=True, return_counts=True)
+        keep = times[bucket] > 1
+        row, lo, hi, bucket = row[keep], lo[keep], hi[keep], bucket[keep]
+        if not len(row):
+            break
+        _, first, same = np.unique(mix(ident(row, side - hi, side - lo + length)) + mix(bucket.astype(np.uint64) + U(77)), return_index=True, return_inverse=True)
+        before = row[first[same]]
+        covered = (before != row) & ((doc[before] != doc[row]) | (pos[before] != pos[row]))
+        r = row[covered]
+        out.append((r, pos[r] - np.minimum(hi[covered], high[r]), pos[r] - np.maximum(lo[covered], low[r]) + length))
+        go = ~covered & (lo < hi)
+        row, lo, hi, bucket = row[go], lo[go], hi[go], bucket[go]
+        mid = (lo + hi) // 2
+        row, bucket = np.concatenate((row, row)), np.concatenate((bucket, bucket))
+        lo, hi = np.concatenate((lo, mid + 1)), np.concatenate((mid, hi))
+        some = (low[row] <= hi) & (lo <= high[row])
+        row, lo, hi, bucket = row[some], lo[some], hi[some], bucket[some]
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+
+def _refine_buckets(q: int, length: int):
+    """(doc, s, e) from rows sorted by k, doc and pos, a block of whole buckets at a time."""
+
+    def solve(batch):
+        col = lambda c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)
+        data, starts, ends, _ = column(batch, "bytes")
+        docs = batch.column("doc")
+        known = docs.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+        flat = data[starts[0] : ends[-1]]
+        row, s, e = refine(col("k"), known, col("pos"), col("low"), col("high"), flat, ends - starts[0], q, length)
+        return pa.RecordBatch.from_arrays([docs.take(pa.array(row)), pa.array(s), pa.array(e)], ["doc", "s", "e"])
 
     def run(batches):
+        held = []
         for b in batches:
-            data, starts, _, _ = column(b, "text")
-            for row, place, gram, hashers, at, first, end in anchors(b, q, length, True):
-                low, high = _window_offsets(place, at, first, end, q, length)
-                shape = (low * 1000 + high).astype(np.uint64) * U(_ODD)
-                r1 = mix(hashers[0].of(at - high, at - low + length) + shape)
-                m = maybe_in(bits.value, r1)
-                if not m.any():
-                    continue
-                r2 = mix(hashers[1].of(at - high, at - low + length) + shape)
-                row, place, gram, r1, r2, low, high = (x[m] for x in (row, place, gram, r1, r2, low, high))
-                s, side = starts[row] + place, length - q
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(place), pa.array(gram.view(np.int64)), pa.array(r1.view(np.int64)), pa.array(r2.view(np.int64)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), pa.array([b"\xff" * (side - h) + data[i - h : i - l + length].tobytes() + b"\xff" * l for i, h, l in zip(s, high, low)], pa.binary())], names)
+            held.append(b)
+            if sum(x.num_rows for x in held) < BLOCK:
+                continue
+            t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            k = t.column("k").to_numpy(zero_copy_only=False)
+            last = int(np.searchsorted(k, k[-1]))  # the last bucket may go on in the next batch
+            if last:
+                yield solve(t.slice(0, last))
+            held = [t.slice(last)]
+        if held and sum(x.num_rows for x in held):
+            yield solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
     return run
 
@@ -224,7 +270,7 @@ def _cut(whole: bool):
 
 
 def _refined(reps: DataFrame, q: int, length: int) -> list[DataFrame]:
-    """Step 3. reps: (doc, pos, k, low, high, bytes), one row a region. Returns tables of spans (doc, s, e)."""
+    """The refinement by aggregations. reps: (doc, pos, k, low, high, bytes), bytes filled up. Returns tables of spans (doc, s, e)."""
     place, side = F.struct("doc", "pos"), length - q
     lo, hi = F.col("lo"), F.col("hi")
     part = lambda start, n: F.substring("bytes", start + 1, n)
@@ -252,31 +298,24 @@ def _refined(reps: DataFrame, q: int, length: int) -> list[DataFrame]:
         nodes = left.select("doc", "pos", "low", "high", "bytes", "bucket", F.explode(halves).alias("r")).select("doc", "pos", "low", "high", "bytes", "bucket", "r.lo", "r.hi").where("low <= hi and lo <= high")
 
 
-def spans(own: DataFrame, q: int = QGRAM, length: int = LENGTH) -> DataFrame:
+def spans(own: DataFrame, q: int = QGRAM, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """Covered byte ranges (doc, s, e), which may overlap; own: doc_id and text."""
     spark = own.sparkSession
     counted = own.select("text").mapInArrow(_grams(q, length), "k long, n long")
-    repeated = materialize(counted.groupBy("k").agg(F.sum("n").alias("n")).where("n > 1").select("k"), "qgrams")
-    bits = spark.sparkContext.broadcast(bloom.build(repeated, "k", repeated.count()))
-    marked = materialize(own.mapInArrow(_regions(q, length, bits), "doc long, pos long, k long, r1 long, r2 long, low int, high int"), "regions")
-    place = F.struct("doc", "pos")
-    least = marked.groupBy("k", "r1", "r2").agg(F.min(place).alias("first"))
-    least = materialize(least, "firsts")
-    # an anchor whose region came earlier loses all windows of the region
-    again = marked.join(least, ["k", "r1", "r2"]).where(place > F.col("first"))
-    whole = again.select("doc", (F.col("pos") - F.col("high")).alias("s"), (F.col("pos") - F.col("low") + length).alias("e"))
-    # q-grams with several regions go on, with one anchor for each
-    several = least.groupBy("k").agg(F.min("first").alias("x"), F.max("first").alias("y")).where("x <> y").select("k")
-    reps = materialize(least.join(several, "k", "left_semi").select("k", "r1", "r2", "first.doc", "first.pos"), "reps")
-    bits2 = spark.sparkContext.broadcast(bloom.build(reps, "r1", reps.count()))
-    strings = own.mapInArrow(_strings(q, length, bits2), "doc long, pos long, k long, r1 long, r2 long, low int, high int, bytes binary")
-    keys = reps.select("k", "r1", "r2", F.col("doc").alias("d"), F.col("pos").alias("p"))
-    exact = [F.col(f"s.{c}") == F.col(f"t.{c}") for c in ("k", "r1", "r2")] + [F.col("s.doc").eqNullSafe(F.col("t.d")), F.col("s.pos") == F.col("t.p")]
-    strings = strings.alias("s").join(keys.alias("t"), exact, "left_semi").select("s.doc", "s.pos", "s.k", "s.low", "s.high", "s.bytes")
-    strings = materialize(strings.dropDuplicates(["doc", "pos", "k", "bytes"]), "strings")
-    out = whole
-    for part in _refined(strings, q, length):
-        out = out.unionByName(part)
+    repeated = materialize(counted.groupBy("k").agg(F.sum("n").alias("n")).where("n > 1"), "qgrams")
+    large = repeated.where(F.col("n") > hot)
+    n_large = large.count()
+    wanted = spark.sparkContext.broadcast(bloom.build(repeated, "k", repeated.count()))
+    hots = spark.sparkContext.broadcast(bloom.build(large, "k", n_large))
+    schema = "doc long, pos long, k long, low int, high int, bytes binary"
+    anchored = own.mapInArrow(_strings(q, length, wanted, hots, False), schema)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    together = anchored.repartition(parts, "k").sortWithinPartitions("k", "doc", "pos")
+    out = materialize(together.mapInArrow(_refine_buckets(q, length), "doc long, s long, e long"), "spans")
+    if n_large:
+        strings = materialize(own.mapInArrow(_strings(q, length, wanted, hots, True), schema), "strings")
+        for part in _refined(strings, q, length):
+            out = out.unionByName(part)
     return out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -44,15 +45,33 @@ def materialize(df: DataFrame, label: str, stays: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label, stays)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    free_shuffles(spark)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables that no later step reads."""
+    for t in tables:
+        _delete(t.sparkSession, t._scratch)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that nothing refers to any more; it waits for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def release(spark: SparkSession) -> None:
     """Delete all scratch tables made so far. Only for callers whose earlier results have all been written elsewhere."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _scratch:
-        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _scratch.pop())
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(df: DataFrame, limit: int) -> DataFrame:
