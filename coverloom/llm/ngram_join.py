@@ -5,9 +5,9 @@ the overlap that such a pair needs: two light sets are similar exactly if they s
 needed. Heavy sets scan inverted lists: each set is listed under its rarest shingles, as many as a similar set can't all
 miss. The boundary between the two is the size with the least estimated work over the corpus's size histogram.
 
-Lists are not paired out. Every member is first compared with one pivot of its list; components of these links are formed,
-and only pairs of a list that still lie in different components are compared, after a bound from their places in the lists
-has ruled out most. Each comparison is of whole sets, so links are exact and none is lost: pairs that are never compared
+Lists are not paired out. Every member is first compared with one pivot of its list, and components of these links are
+formed. Only pairs of a list that still lie in different components are compared, after bounds from parity sketches (within
+the join, where lists are long) and from their places in the lists have ruled out most. Each comparison is of whole sets, so links are exact and none is lost: pairs that are never compared
 are in one component already, or can't reach the threshold.
 
 The order of shingles is by counts over the whole corpus in a fixed number of counters; any order gives the same result, a
@@ -31,9 +31,13 @@ from pyspark.sql import functions as F
 from coverloom.llm import bloom
 from coverloom.llm.components import components
 from coverloom.llm.kernels import U, maybe_in, mix, shingle_sets
-from coverloom.llm.util import arrow_batches, let, materialize, ship
+from coverloom.llm.util import arrow_batches, discard, let, materialize, ship
 
 COUNTERS = 1 << 16
+#: Bits of a set's parity sketch. Sets whose sketches differ in d places differ in d shingles or more.
+SKETCH = 2048
+#: Entries of a list over which its pairs are held against the sets' sketches within the join.
+LONG = 16
 #: Largest size that may be light: beyond it a set has too many subsets to think of.
 MAX_LIGHT = 14
 
@@ -76,21 +80,24 @@ def _signed(x):
 
 
 def _classes(k: int):
-    """Rows of kind 0: (doc_id, n, s1, s2) of a text; of kind 1: a counter (s1) and what this task has counted (n)."""
+    """Rows of kind 0: (doc_id, n, s1, s2, sketch) of a text; of kind 1: a counter (s1) and what this task has counted (n)."""
+    names = ["kind", "doc_id", "n", "s1", "s2", "sketch"]
 
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
         for b in batches:
-            out = np.zeros((b.num_rows, 3), np.int64)
+            out, bits, seen = np.zeros((b.num_rows, 3), np.int64), np.zeros((b.num_rows, SKETCH), np.uint8), []
             for i, s in shingle_sets(b, "text", k):
                 a, z = _signature(s)
                 out[i] = len(s), a.astype(np.int64), z.astype(np.int64)
-                counts += np.bincount((s & U(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS) if len(s) > 5000 else 0
-                if len(s) <= 5000:
-                    np.add.at(counts, (s & U(COUNTERS - 1)).astype(np.int64), 1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column("doc_id"), *map(pa.array, out.T.copy())], ["kind", "doc_id", "n", "s1", "s2"])
+                bits[i] = np.bincount((s >> U(20) & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+                seen.append((s & U(COUNTERS - 1)).astype(np.int32))
+            counts += np.bincount(np.concatenate(seen) if seen else [], minlength=COUNTERS).astype(np.int64)
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (SKETCH // 64)), pa.array(np.packbits(bits, axis=1).reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column("doc_id"), *map(pa.array, out.T.copy()), sketch], names)
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.nulls(len(at), pa.int64()), pa.array(counts[at]), pa.array(at), pa.array(np.zeros(len(at), np.int64))], ["kind", "doc_id", "n", "s1", "s2"])
+        n = len(at)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.array(counts[at]), pa.array(at), pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.list_(pa.int64()))], names)
 
     return run
 
@@ -156,7 +163,7 @@ def _probe(bits):
 
 
 def _sets(k: int, bits):
-    """(s1, s2, n, set) of the classes that may be in the filter, once in a task while it remembers them."""
+    """(s1, s2, size, set) of the classes that may be in the filter, once in a task while it remembers them."""
 
     def run(batches):
         seen: set[tuple[int, int]] = set()
@@ -177,35 +184,41 @@ def _sets(k: int, bits):
                 offsets = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in arrays]))).astype(np.int32))
                 sig = np.array(rows, np.uint64).view(np.int64)
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(arrays)))
-                yield pa.RecordBatch.from_arrays([pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.array([len(x) for x in arrays], pa.int32()), lists], ["s1", "s2", "n", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.array([len(x) for x in arrays], pa.int32()), lists], ["s1", "s2", "size", "set"])
 
     return run
 
 
-def _node(prefix: str = ""):
-    """A class: its signature and size as one comparable value."""
-    return F.struct(F.col(prefix + "s1").alias("s1"), F.col(prefix + "s2").alias("s2"), F.col(prefix + "size").alias("n"))
+SIG = ["s1", "s2", "size"]
 
 
-def _compatible(a: str, b: str, percent: int):
-    """Whether sets of these sizes can be similar."""
-    small, large = F.least(F.col(f"{a}.n"), F.col(f"{b}.n")), F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n"))
-    return 100 * small.cast("long") >= percent * large.cast("long")
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class ids that sizes and sketches don't rule out. Both bounds are exact: no similar pair is lost."""
+    of = lambda side: classes.select(F.col("id").alias(side), F.col("size").cast("long").alias(f"{side}n"), F.col("sketch").alias(f"{side}k"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    total = F.col("an") + F.col("bn")
+    # similar sets share i >= percent * total / (100 + percent), so they differ in total - 2 i shingles at most
+    apart = F.aggregate(F.zip_with("ak", "bk", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+    fits = (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")) & ((100 + percent) * apart <= (100 - percent) * total)
+    return both.where(fits).select("a", "b")
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that are similar, by comparing their whole sets."""
+def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of class ids that are similar, by comparing their whole sets."""
     spark = texts.sparkSession
-    nodes = pairs.select(F.explode(F.array("a.s1", "b.s1")).alias("k")).distinct()
-    bits = spark.sparkContext.broadcast(bloom.build(nodes, "k", nodes.count()))
-    sets = texts.mapInArrow(_sets(k, bits), "s1 long, s2 long, n int, set array<long>")
-    sets = materialize(sets.groupBy("s1", "s2", "n").agg(F.first("set").alias("set")), "sets")
-    on = lambda side: sets.select(F.col("s1").alias(f"{side}1"), F.col("s2").alias(f"{side}2"), F.col("n").alias(f"{side}n"), F.col("set").alias(f"{side}set"))
-    left = pairs.join(on("x"), (F.col("a.s1") == F.col("x1")) & (F.col("a.s2") == F.col("x2")) & (F.col("a.n") == F.col("xn")))
-    both = left.select("a", "b", "xset").join(on("y"), (F.col("b.s1") == F.col("y1")) & (F.col("b.s2") == F.col("y2")) & (F.col("b.n") == F.col("yn")))
-    total = (F.col("a.n") + F.col("b.n")).cast("long")
-    similar = let(F.size(F.array_intersect("xset", "yset")).cast("long"), lambda i: 100 * i >= percent * (total - i))
-    return both.where(similar).select("a", "b").distinct()
+    pairs = materialize(_possible(pairs, classes, percent), "possible")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", *SIG), "id")
+    nodes = materialize(nodes, "nodes")
+    bits = spark.sparkContext.broadcast(bloom.build(nodes, "s1", nodes.count()))
+    sets = texts.mapInArrow(_sets(k, bits), "s1 long, s2 long, size int, set array<long>").join(nodes, SIG).groupBy("id").agg(F.first("set").alias("set"))
+    sets = materialize(sets, "sets")
+    left = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a")
+    both = left.join(sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
+    total = (F.size("x") + F.size("y")).cast("long")
+    similar = let(F.size(F.array_intersect("x", "y")).cast("long"), lambda i: 100 * i >= percent * (total - i))
+    links = materialize(both.where(similar).select("a", "b"), "links")
+    discard(pairs, nodes, sets)
+    return links
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -214,57 +227,74 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5
     arrow_batches(spark)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     texts = own.select("text")
-    first = materialize(own.mapInArrow(_classes(k), "kind int, doc_id long, n long, s1 long, s2 long"), "classes")
+    first = materialize(own.mapInArrow(_classes(k), "kind int, doc_id long, n long, s1 long, s2 long, sketch array<long>"), "texts")
     rows = first.where("kind = 0").select("doc_id", F.col("n").cast("int").alias("size"), "s1", "s2")
-    classes = materialize(rows.where("size > 0").groupBy("s1", "s2", "size").agg(F.min("doc_id").alias("rep")), "reps")
+    reps = rows.where("size > 0").groupBy(*SIG).agg(F.min("doc_id").alias("rep"))
+    # ids are fixed by writing them; of a class's equal sketches one is kept
+    reps = materialize(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+    sketched = first.where("kind = 0").select("s1", "s2", F.col("n").cast("int").alias("size"), "sketch").where("size > 0")
 
     counts = first.where("kind = 1").groupBy("s1").agg(F.sum("n").alias("n")).toArrow()  # COUNTERS rows at most
     order = np.zeros(COUNTERS, np.float64)
     order[counts.column("s1").to_numpy()] = counts.column("n").to_numpy()
     levels = spark.sparkContext.broadcast(np.minimum(np.round(16 * np.log2(1 + order / max(1.0, np.median(order)))), 255).astype(np.uint8))
-    sizes = {r["size"]: r["n"] for r in classes.where(F.col("size") <= MAX_LIGHT).groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # MAX_LIGHT rows at most
+    sizes = {r["size"]: r["n"] for r in reps.where(F.col("size") <= MAX_LIGHT).groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}  # MAX_LIGHT rows at most
     light = boundary(sizes, percent)
 
     index = materialize(texts.mapInArrow(_listed(k, percent, light, levels), "heavy boolean, k1 long, k2 long, lo int, hi int, size int, place int, s1 long, s2 long"), "lists")
+    ids = reps.select("id", *SIG)
 
     # light: whoever shares a subset of the needed size is linked, through the least class on either side
-    small = index.where("not heavy").select("k1", "k2", "lo", "hi", _node().alias("a"))
-    side = lambda col, f: f(F.when(F.col("a.n") == F.col(col), F.col("a")))
-    ends = small.groupBy("k1", "k2", "lo", "hi").agg(side("lo", F.min).alias("p"), side("hi", F.min).alias("q"), F.min("a").alias("low"), F.max("a").alias("high"))
+    small = index.where("not heavy").select("k1", "k2", "lo", "hi", *SIG).join(ids, SIG).select("k1", "k2", "lo", "hi", "size", F.col("id").alias("a"))
+    side = lambda col: F.min(F.when(F.col("size") == F.col(col), F.col("a")))
+    ends = small.groupBy("k1", "k2", "lo", "hi").agg(side("lo").alias("p"), side("hi").alias("q"), F.min("a").alias("low"), F.max("a").alias("high"))
     ends = ends.where("p is not null and q is not null and low <> high").select("k1", "k2", "lo", "hi", F.explode(F.array_distinct(F.array("p", "q"))).alias("b"))
     links = small.join(ends, ["k1", "k2", "lo", "hi"]).where("a <> b").select("a", "b").distinct()
 
     # heavy: lists of two or more, by a filter of their shingles
-    heavy = index.where("heavy").select("k1", "size", "place", "s1", "s2")
-    repeated = heavy.groupBy("k1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1")
-    repeated = materialize(repeated, "repeated")
+    heavy = index.where("heavy").select("k1", "place", *SIG)
+    repeated = materialize(heavy.groupBy("k1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1"), "repeated")
     bits = spark.sparkContext.broadcast(bloom.build(repeated, "k1", repeated.count()))
-    lists = heavy.mapInArrow(_probe(bits), heavy.schema).select("k1", "place", _node().alias("a"))
-    lists = materialize(lists, "heavy")
+    lists = materialize(heavy.mapInArrow(_probe(bits), heavy.schema).join(ids, SIG).select("k1", "place", F.col("id").alias("a"), F.col("size").alias("n")), "heavy")
     pivots = lists.groupBy("k1").agg(F.min("a").alias("b"), F.max("a").alias("z")).where("b <> z").select("k1", "b")
-    tried = materialize(lists.join(pivots, "k1").where((F.col("a") != F.col("b")) & _compatible("a", "b", percent)).select("a", "b").distinct(), "tried")
-    links = materialize(links.unionByName(_verified(texts, tried, k, percent)), "links")
+    tried = materialize(lists.select("k1", "a").join(pivots, "k1").where("a <> b").select("a", "b").distinct(), "tried")
+    listed = lists.select(F.col("a").alias("id")).distinct()
+    classes = materialize(reps.join(listed, "id", "left_semi").join(sketched, SIG).dropDuplicates(["id"]).select("id", *SIG, "sketch"), "sketches")
+    links = materialize(links.unionByName(_verified(texts, classes, tried, k, percent)), "links")
+    discard(index, repeated)
     roots = components(links)
 
-    # pairs of one list that are still apart
-    placed = lists.join(roots, F.col("a") == F.col("node"), "left").select("k1", "a", "place", F.coalesce("root", "a").alias("root"))
-    apart = placed.groupBy("k1").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("k1")
-    placed = materialize(placed.join(apart, "k1", "left_semi"), "apart")
-    l, r = placed.alias("l"), placed.alias("r")
-    pairs = l.join(r, "k1").where("l.a < r.a and l.root <> r.root").where(_compatible("l.a", "r.a", percent))
-    pairs = pairs.groupBy(F.col("l.a").alias("a"), F.col("r.a").alias("b")).agg(F.countDistinct("k1").alias("met"), F.max("l.place").alias("i"), F.max("r.place").alias("j"))
-    most = F.col("met") + F.least(F.col("a.n") - F.col("i"), F.col("b.n") - F.col("j"))
-    pairs = pairs.where((100 + percent) * most >= percent * (F.col("a.n") + F.col("b.n"))).select("a", "b")
-    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    pairs = materialize(pairs, "pairs")
-    if not pairs.isEmpty():
-        roots = components(links.unionByName(_verified(texts, pairs, k, percent)))
-
-    named = classes.select(_node().alias("a"), "s1", "s2", "size", "rep").join(roots, F.col("a") == F.col("node"), "left").withColumn("root", F.coalesce("root", "a"))
-    named = materialize(named.select("s1", "s2", "size", "root", "rep"), "named")
+    def apart():
+        """List entries of lists with several components, with the component and the number of entries."""
+        placed = lists.join(roots, F.col("a") == F.col("node"), "left").select("k1", "a", "n", "place", F.coalesce("root", "a").alias("root"))
+        several = placed.groupBy("k1").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("c")).where("x <> y").select("k1", "c")
+        return materialize(placed.join(several, "k1"), "apart")
+
+    def still_apart(rows: DataFrame) -> DataFrame:
+        small_n, large_n = F.least("l.n", "r.n").cast("long"), F.greatest("l.n", "r.n").cast("long")
+        met = rows.alias("l").join(rows.alias("r"), "k1").where("l.a < r.a and l.root <> r.root").where(100 * small_n >= percent * large_n)
+        if "sketch" in rows.columns:
+            bits = [F.bit_count(F.get("l.sketch", F.lit(i)).bitwiseXOR(F.get("r.sketch", F.lit(i)))) for i in range(SKETCH // 64)]
+            met = met.where((100 + percent) * sum(bits[1:], bits[0]) <= (100 - percent) * (F.col("l.n") + F.col("r.n")))
+        return met.select("k1", F.col("l.a").alias("a"), F.col("r.a").alias("b"), F.col("l.place").alias("i"), F.col("r.place").alias("j"), F.col("l.n").alias("an"), F.col("r.n").alias("bn"))
+
+    entries = apart()
+    drawn = entries.where(F.col("c") > LONG).join(classes.select(F.col("id").alias("a"), "sketch"), "a")
+    # a pair that its sketches rule out may lack entries here and be ruled out below, too; no other pair lacks any
+    pairs = still_apart(entries.where(F.col("c") <= LONG)).unionByName(still_apart(drawn))
+    pairs = pairs.groupBy("a", "b").agg(F.countDistinct("k1").alias("met"), F.max("i").alias("i"), F.max("j").alias("j"), F.max("an").alias("an"), F.max("bn").alias("bn"))
+    most = F.col("met") + F.least(F.col("an") - F.col("i"), F.col("bn") - F.col("j"))
+    pairs = pairs.where((100 + percent) * most >= percent * (F.col("an") + F.col("bn"))).select("a", "b")
+    pairs = materialize(pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+    more = None if pairs.isEmpty() else _verified(texts, classes, pairs, k, percent)
+    if more is not None and not more.isEmpty():
+        roots = components(links.unionByName(more))
+    discard(lists, classes, entries)
+
+    named = materialize(reps.join(roots, F.col("id") == F.col("node"), "left").select(*SIG, "rep", F.coalesce("root", "id").alias("root")), "named")
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "root").select("s1", "s2", "size", "component_id")
-    out = rows.where("size > 0").join(named, ["s1", "s2", "size"], "left").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
+    named = named.join(least, "root").select(*SIG, "component_id")
+    out = rows.where("size > 0").join(named, SIG, "left").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
     empty = rows.where("size = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(empty)
 
