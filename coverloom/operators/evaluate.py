@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.functions.text import strip_both, strip_mate
+from coverloom.scratch import cut
 
 NONE = "None"
 HIT = ["coassembly", "gene", "sequence", "genome", "target", "found_in", "source_samples", "source_num_hits", "source_coverage", "taxonomy"]
@@ -76,6 +77,7 @@ def novel(all_hits: DataFrame) -> DataFrame:
 
 def summary(all_hits: DataFrame, bins: DataFrame) -> DataFrame:
     """Match and nonmatch counts of six statistics for each coassembly, with totals and percent; bins: (name)."""
+    all_hits = cut(all_hits, "hits")  # read by five aggregations
     status = lambda ok: F.when(ok, F.lit("match")).otherwise(F.lit("nonmatch")).alias("status")
     sought = matched(all_hits).where("target is not null").withColumn("status", status(F.col("genome").isNotNull()))
     base = sought.groupBy("coassembly", "status").agg(F.countDistinct("sequence").alias("sequences"), F.countDistinct("genome").alias("bins"), F.countDistinct("taxonomy").alias("taxonomy"))
