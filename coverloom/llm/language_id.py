@@ -9,7 +9,7 @@ score is that mean. Chains restart at line ends, which bounds the length of most
 
 The model is fitted on the driver on at most MAX_ROWS labelled texts, the ones with the least hashes of their ids.
 
-Defined cases: a null text, or one without a letter, gives "und" with score 0; ties go to the first label in order; a label
+Defined cases: a null text, or one without a Unicode letter, gives "und" with score 0; ties go to the first label in order; a label
 needs one training text; rows are judged alone, so repeated rows agree; extra columns are dropped.
 """
 
@@ -32,10 +32,22 @@ TABLE = 1 << 15
 
 def _letters() -> np.ndarray:
     table = np.zeros(256, bool)
-    table[65:91] = table[97:123] = table[128:] = True
+    table[65:91] = table[97:123] = True
     return table
 
 
+def lettered(d, first, last):
+    """Which words d[first:last] have a Unicode letter. Only words of bytes from 128 up without an ASCII letter are decoded."""
+    if not len(first):
+        return np.zeros(0, bool)
+    edges = np.stack((first, last), 1).reshape(-1)
+    pad = np.append(d, 0)
+    found = np.logical_or.reduceat(_letters()[pad], edges)[::2]
+    for i in np.flatnonzero(np.logical_or.reduceat(pad > 127, edges)[::2] & ~found):
+        found[i] = any(map(str.isalpha, d[first[i] : last[i]].tobytes().decode("utf-8", "ignore")))
+    return found
+
+
 GRAMS = (2, 3, 4)
 
 
@@ -179,7 +191,7 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5,
 def _judge(model, kept_text: bool = False):
     def run(batches):
         names, table, trans = model.value
-        lower, words, letter = lower_table(), white_words(), _letters()
+        lower, words = lower_table(), white_words()
         k = len(names)
         for b in batches:
             data, starts, ends, _ = column(b, "text")
@@ -194,10 +206,10 @@ def _judge(model, kept_text: bool = False):
                 _, some, which = np.unique(hash_words(d, first, last, 9), return_index=True, return_inverse=True)
                 scores = emissions(features(d, first[some], last[some]), table)[which]
                 p = marginals(scores, begin, length, trans.astype(np.float32))
-                lettered = np.logical_or.reduceat(letter[d], first) if len(first) else np.zeros(0, bool)
-                n = np.bincount(row[lettered], minlength=j - i)
+                own = lettered(d, first[some], last[some])[which]
+                n = np.bincount(row[own], minlength=j - i)
                 for c in range(k):
-                    mean[i:j, c] = np.bincount(row[lettered], p[lettered, c], j - i) / np.maximum(n, 1)
+                    mean[i:j, c] = np.bincount(row[own], p[own, c], j - i) / np.maximum(n, 1)
             best = mean.argmax(1)
             score = mean[np.arange(len(best)), best]
             none = score == 0

@@ -71,6 +71,14 @@ def test_language_of_odd_texts(spark, docs, corpus):
     assert language_id.identify(docs.where("false"), model).isEmpty()
 
 
+def test_texts_of_marks_beyond_ascii_have_no_language(spark, docs):
+    odd = ["\U0001F600 \u2014 \u2026", "\u0663\u0664", "\u00bf? 12", "\u2014 a", "\u65e5\u672c", "\u00e9", "\u00df\u2014 \U0001F600"]
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in language_id.identify(rows, language_id.train(docs)).collect()}
+    assert [got[i]["lang_pred"] == "und" for i in range(len(odd))] == [True] * 3 + [False] * 4
+    assert [got[i]["score"] for i in range(3)] == [0] * 3
+
+
 @given_data
 def test_quality_of_held_out_documents(spark):
     from coverloom.llm.queries import op8_quality_model
