@@ -7,7 +7,9 @@ labelled texts and from lines that join two texts of different labels, so that a
 each word's label probabilities; a document's label is the one with the largest mean over its words with letters, and its
 score is that mean. Chains restart at line ends, which bounds the length of most chains; a long line is still one chain.
 
-The model is fitted on the driver on at most MAX_ROWS labelled texts, the ones with the least hashes of their ids.
+The model is fitted on the driver on at most MAX_ROWS labelled texts: of each label the ones with the least hashes of their
+ids, all labels with the same quota, but that what rare labels leave goes to the others. So every label is learned; of more
+than MAX_ROWS labels, only the most frequent ones.
 
 Defined cases: a null text, or one without a Unicode letter, gives "und" with score 0; ties go to the first label in order; a label
 needs one training text; rows are judged alone, so repeated rows agree; extra columns are dropped.
@@ -19,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from coverloom.llm.kernels import U, column, hash_words, lower_table, mix, pieces, split_words, weights, white_words
@@ -220,16 +223,35 @@ def _judge(model, kept_text: bool = False):
     return run
 
 
+def quota(counts: list[int], most: int) -> int:
+    """The largest q of which sum(min(n, q)) over counts is at most `most`."""
+    q, left = 0, most
+    for i, n in enumerate(sorted(counts)):
+        q = left // (len(counts) - i)
+        if n > q:
+            return q
+        left -= n
+    return max(counts, default=q)
+
+
+def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS) -> DataFrame:
+    """(i, l) of the labelled rows with the least hashes of their ids in each label, as many of each as quota gives."""
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
+    counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_rows).collect()
+    q = quota([r["n"] for r in counts], max_rows)
+    # 1.5 times too many and 30 by hash, of which the first are taken
+    shares = [(r["l"], int((1.5 * q + 30) / r["n"] * 1_000_000) + 1) for r in counts]
+    shares = docs.sparkSession.createDataFrame(shares, T.StructType([rows.schema["l"], T.StructField("keep", T.LongType())]))
+    rows = rows.join(F.broadcast(shares), "l").where(F.pmod("h", F.lit(1_000_000)) < F.col("keep"))
+    rows = rows.withColumn("k", F.row_number().over(W.partitionBy("l").orderBy("h", "i"))).where(F.col("k") <= q)
+    return rows.select("i", "l").distinct()
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS):
     """The model of the labelled rows of docs; at most max_rows of them reach the driver."""
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
-    n = rows.count()
-    if n > max_rows:  # 1.5 times too many by hash, of which the first are taken
-        keep = int(1.5 * max_rows / n * 1_000_000) + 1
-        rows = rows.where(F.pmod("h", F.lit(1_000_000)) < keep)
-    rows = rows.orderBy("h", "l").limit(max_rows)
+    rows = sample(docs, doc_id, text, lang, max_rows)
     texts = docs.select(F.col(doc_id).alias("i"), F.col(text).cast("string").alias("t"), F.col(lang).alias("l"))
-    got = texts.join(bounded(rows.select("i", "l").distinct(), max_rows), ["i", "l"], "left_semi").toArrow()
+    got = texts.join(bounded(rows, max_rows), ["i", "l"], "left_semi").toArrow()
     order = np.argsort([str(x) for x in got.column("i").to_pylist()], kind="stable")
     t, y = got.column("t").to_pylist(), got.column("l").to_pylist()
     t, y = [t[i] for i in order], [y[i] for i in order]

@@ -71,6 +71,15 @@ def test_language_of_odd_texts(spark, docs, corpus):
     assert language_id.identify(docs.where("false"), model).isEmpty()
 
 
+def test_rare_labels_are_learned(spark, prose):
+    assert [language_id.quota(*x) for x in (([], 9), ([5], 9), ([3, 100, 100], 9), ([1] * 9, 9), ([4, 4], 9))] == [0, 5, 3, 1, 4]
+    rows = [(i, prose(5, i), "x") for i in range(3000)] + [(9000 + i, "".join(reversed(prose(5, i))), "y") for i in range(2)]
+    rows = spark.createDataFrame([*rows, (None, "a b", "z"), (9999, "c d", None)], "doc_id long, text string, lang string")
+    got = language_id.sample(rows, max_rows=40).groupBy("l").count().collect()
+    assert {r["l"]: r["count"] for r in got} == {"x": 38, "y": 2}
+    assert language_id.train(rows, max_rows=40)[0] == ["x", "y"]
+
+
 def test_texts_of_marks_beyond_ascii_have_no_language(spark, docs):
     odd = ["\U0001F600 \u2014 \u2026", "\u0663\u0664", "\u00bf? 12", "\u2014 a", "\u65e5\u672c", "\u00e9", "\u00df\u2014 \U0001F600"]
     rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
