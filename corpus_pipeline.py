@@ -33,7 +33,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     release(spark)
     model = language_id.train(docs)
     plain, rest = _masked(docs)
-    found = language_id.identify(plain, model, keep=["text", *rest]).where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+    found = language_id.identify(plain, model, keep=["text", *rest], spans=False).where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
     return _restored(found.withColumn(f"_x{docs.columns.index('lang')}", F.col("lang_pred")), docs)
 
 

@@ -4,8 +4,9 @@ A word's features are its character n-grams (of bytes, with marks at the word's
 these lengths) and the word itself as a lexicon entry; all are hashed into one table of weights.
 Transitions between neighbouring words are learned with them, by stochastic gradients of the chain's log-likelihood, from
 labelled texts and from lines that join two texts of different labels, so that a text may switch. Forward-backward gives
-each word's label probabilities; a document's label is the one with the largest mean over its words with letters, and its
-score is that mean. Chains restart at line ends, which bounds the length of most chains; a long line is still one chain.
+each word's label probabilities; neighbouring words with letters of one most probable label are a run. A document's label is
+the one with the largest mean over all its words with letters, and its score is that mean: it needs the probabilities of all
+labels, which runs don't have, so it is taken from the words. Chains restart at line ends, which bounds the length of most chains; a long line is still one chain.
 
 The model is fitted on the driver on at most MAX_ROWS labelled texts: of each label the ones with the least hashes of their
 ids, all labels with the same quota, but that what rare labels leave goes to the others. So every label is learned; of more
@@ -191,14 +192,29 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5,
     return names, table, trans
 
 
-def _judge(model, kept_text: bool = False):
+def runs_of(p, own, row, n: int):
+    """Words of one most probable label in a row, as (runs of each of the n rows, first word, end word, label, mean probability); words that aren't own neither end a run nor count in it."""
+    w = np.flatnonzero(own)
+    label = p[w].argmax(1)
+    r = row[w]
+    at = np.flatnonzero(np.concatenate(([True], (r[1:] != r[:-1]) | (label[1:] != label[:-1])))[: len(w)])
+    if not len(at):
+        return np.zeros(n, np.int64), at, at, at, np.zeros(0)
+    place = w - np.searchsorted(row, r)
+    size = np.diff(np.append(at, len(w)))
+    chance = np.add.reduceat(p[w, label].astype(np.float64), at) / size
+    return np.bincount(r[at], minlength=n), place[at], place[at + size - 1] + 1, label[at], chance
+
+
+def _judge(model, kept_text: bool = False, spans: bool = True):
     def run(batches):
         names, table, trans = model.value
         lower, words = lower_table(), white_words()
         k = len(names)
         for b in batches:
             data, starts, ends, _ = column(b, "text")
-            mean = np.zeros((b.num_rows, max(k, 1)))
+            mean, sure = np.zeros((b.num_rows, max(k, 1))), np.zeros(b.num_rows)
+            count, found = np.zeros(b.num_rows, np.int64), []
             for i, j in pieces(starts, ends, 1 << 20):
                 a = starts[i]
                 d = lower[data[a : ends[j - 1]]]
@@ -213,12 +229,23 @@ def _judge(model, kept_text: bool = False):
                 n = np.bincount(row[own], minlength=j - i)
                 for c in range(k):
                     mean[i:j, c] = np.bincount(row[own], p[own, c], j - i) / np.maximum(n, 1)
+                sure[i:j] = np.bincount(row[own], p[own].max(1), j - i) / np.maximum(n, 1)
+                if spans:
+                    count[i:j], *part = runs_of(p, own, row, j - i)
+                    found.append(part)
             best = mean.argmax(1)
             score = mean[np.arange(len(best)), best]
             none = score == 0
             pred = np.where(none, "und", np.array(names or ["und"], object)[best])
+            out = {"doc_id": b.column("doc_id"), "lang_pred": pa.array(list(pred), pa.string()), "score": pa.array(np.clip(score, 0, 1)), "confidence": pa.array(np.clip(sure, 0, 1))}
+            if spans:
+                begin, end, label, chance = (np.concatenate(x) for x in zip(*found)) if found else np.zeros((4, 0))
+                label = pa.array(np.array(names or ["und"], object)[label.astype(np.int64)], pa.string())
+                fields = [pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), label, pa.array(np.clip(chance, 0, 1))]
+                offsets = pa.array(np.concatenate(([0], np.cumsum(count))).astype(np.int32))
+                out["runs"] = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(fields, ["start", "end", "label", "probability"]))
             rest = b.schema.names[2 - kept_text :]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(list(pred), pa.string()), pa.array(np.clip(score, 0, 1)), *map(b.column, rest)], ["doc_id", "lang_pred", "score", *rest])
+            yield pa.RecordBatch.from_arrays([*out.values(), *map(b.column, rest)], [*out, *rest])
 
     return run
 
@@ -258,16 +285,21 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return fit(t, y)
 
 
-def identify(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, lang_pred, score and the columns to keep for every row of docs; model: what train gave."""
+def identify(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text", keep: list[str] | tuple[str, ...] = (), spans: bool = True) -> DataFrame:
+    """doc_id, lang_pred, score, confidence, runs and the columns to keep for every row of docs; model: what train gave.
+
+    confidence: mean over the words with letters of their largest probability, whichever label has it. runs (if spans): array
+    of struct<start,end,label,probability>, the stretches of words of one label; start and end count words from 0.
+    """
     spark = docs.sparkSession
     arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     rest = [c for c in keep if c != "text"]
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), *rest)
     kept = own.select(*(["text"] if "text" in keep else []), *rest)
-    schema = T.StructType([*T.StructType.fromDDL("doc_id long, lang_pred string, score double"), *kept.schema])
-    return own.mapInArrow(_judge(shared, "text" in keep), schema)
+    runs = ", runs array<struct<start:int,end:int,label:string,probability:double>>" if spans else ""
+    schema = T.StructType([*T.StructType.fromDDL(f"doc_id long, lang_pred string, score double, confidence double{runs}"), *kept.schema])
+    return own.mapInArrow(_judge(shared, "text" in keep, spans), schema)
 
 
 ship(__name__)

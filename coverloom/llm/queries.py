@@ -38,7 +38,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.where(F.coalesce(_remainder(3) != 1, F.lit(True))))
     out = language_id.identify(docs, model)
-    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "runs")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,6 +71,19 @@ def test_language_of_odd_texts(spark, docs, corpus):
     assert language_id.identify(docs.where("false"), model).isEmpty()
 
 
+def test_runs_of_a_text_that_switches(spark, prose):
+    back = lambda n, seed: "".join(reversed(prose(n, seed)))
+    model = language_id.fit([prose(30, i) for i in range(40)] + [back(30, i) for i in range(40)], ["x"] * 40 + ["y"] * 40)
+    mixed = f"{prose(20, 99)} - {back(20, 98)}"
+    odd = [mixed, None, "- -", f"- {prose(9, 3)}\n {prose(8, 4)} 7", mixed]
+    got = {r["doc_id"]: r["runs"] for r in language_id.identify(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").coalesce(1), model).collect()}
+    assert got[1] == got[2] == [] and got[0] == got[4]
+    assert [(r["start"], r["end"], r["label"]) for r in got[3]] == [(1, 18, "x")]
+    share = {x: sum(r["end"] - r["start"] for r in got[0] if r["label"] == x) for x in "xy"}
+    assert got[0][0]["label"] == "x" and got[0][-1]["label"] == "y" and all(18 <= n <= 22 for n in share.values())
+    assert got[0][0]["start"] == 0 and got[0][-1]["end"] == 41 and all(0.5 <= r["probability"] <= 1 for r in got[0])
+
+
 def test_rare_labels_are_learned(spark, prose):
     assert [language_id.quota(*x) for x in (([], 9), ([5], 9), ([3, 100, 100], 9), ([1] * 9, 9), ([4, 4], 9))] == [0, 5, 3, 1, 4]
     rows = [(i, prose(5, i), "x") for i in range(3000)] + [(9000 + i, "".join(reversed(prose(5, i))), "y") for i in range(2)]
