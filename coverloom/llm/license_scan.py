@@ -2,7 +2,8 @@
 
 A text is cut into windows of 2c shingles that start every c shingles, for each template size class c (a power of two at
 least the template's size), so that every place where a template of the class can stand lies wholly in a window. A window
-with a share `containment` of the template has Jaccard similarity `likeness` to it at least; the number of bands of one
+with a share `containment` of the template has Jaccard similarity `likeness` to it at least (the union also counts what the
+window lacks of the template); the number of bands of one
 hash is set so that such a window meets the template in a band with probability 1 - `miss` or more. Then the template's
 shingles are counted in the window exactly.
 
@@ -46,6 +47,12 @@ TEMPLATES = (
 )
 
 
+def likeness(size: int, c: int, containment: float = CONTAINMENT) -> float:
+    """Least Jaccard similarity of a template of `size` shingles and a window of 2c that holds the share `containment` of it."""
+    need = ceil(containment * size)
+    return need / (2 * c + size - need)
+
+
 def bands(likeness: float, miss: float = MISS) -> int:
     """Bands of one hash so that sets of this Jaccard similarity meet with probability 1 - miss."""
     return ceil(log(miss) / log(1 - likeness))
@@ -81,7 +88,7 @@ class Templates:
         self.containment, self.classes = containment, {}
         for i, s in enumerate(self.sets):
             self.classes.setdefault(max(LEAST_CLASS, 1 << (len(s) - 1).bit_length()), []).append(i)
-        self.bands = max(bands(ceil(containment * len(s)) / (2 * c), miss) for c, own in self.classes.items() for s in (self.sets[i] for i in own))
+        self.bands = max(bands(likeness(len(self.sets[i]), c, containment), miss) for c, own in self.classes.items() for i in own)
         self.mult = weights(self.bands, 41)
         self.low = {c: np.stack([(self.sets[i][:, None] * self.mult[None, :]).min(0) for i in own]) for c, own in self.classes.items()}
 

@@ -164,6 +164,16 @@ def test_bands_hold_their_promise():
         license_scan.Templates((("x", "too short"),), 0.8, 1e-3)
 
 
+def test_bands_hold_their_promise_for_each_template_at_the_limit():
+    t = license_scan.Templates(license_scan.TEMPLATES, 0.8, 1e-3)
+    for c, own in t.classes.items():
+        for s in (t.sets[i] for i in own):
+            need = min(n for n in range(1, len(s) + 1) if n / len(s) >= 0.8)
+            window, template = set(range(2 * c)), {*range(need), *range(-len(s) + need, 0)}
+            assert len(template) == len(s)
+            assert (1 - len(window & template) / len(window | template)) ** t.bands <= 1e-3
+
+
 pieces = pytest.mark.skipif(not os.path.exists(sentence_pieces.MODEL), reason="the vocabulary isn't here")
 
 
