@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from coverloom.llm import decontamination, language_id, ngram_join, sentence_pieces, suffix_dedup
 from coverloom.llm.util import materialize, release, table
 
-#: A document is rejected if it has no letter, or if no label has a mean of half over its words.
+#: A document is rejected if it has no letter, or if its words have no label of half their probability in the mean, each word by its own best label.
 MIN_SCORE = 0.5
 
 
@@ -29,11 +29,11 @@ def _restored(out: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; lang becomes the predicted one. A document is rejected if its text is null or has no letter, or if its score is under MIN_SCORE."""
+    """Documents whose language is recognised; lang becomes the predicted one. A document is rejected if its text is null or has no letter, or if its confidence is under MIN_SCORE: a text that several learned languages share stays."""
     release(spark)
     model = language_id.train(docs)
     plain, rest = _masked(docs)
-    found = language_id.identify(plain, model, keep=["text", *rest], spans=False).where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+    found = language_id.identify(plain, model, keep=["text", *rest], spans=False).where((F.col("lang_pred") != "und") & (F.col("confidence") >= MIN_SCORE))
     return _restored(found.withColumn(f"_x{docs.columns.index('lang')}", F.col("lang_pred")), docs)
 
 

@@ -53,6 +53,19 @@ def test_stages(spark, folder, tmp_path):
         d = out
 
 
+def test_texts_of_several_languages_stay(spark, prose):
+    turned = str.maketrans("abcdefghijklmnopqrstuvwxyz", "nopqrstuvwxyzabcdefghijklm")
+    kinds = [str, lambda t: "".join(reversed(t)), lambda t: t.translate(turned)]
+    rows = [(100 * c + i, f(prose(30, 100 * c + i)), "xyz"[c]) for c, f in enumerate(kinds) for i in range(30)]
+    rows += [(900, "\n".join(f(prose(20, 990 + c)) for c, f in enumerate(kinds)), None), (901, "- 7", None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    model = pipeline.language_id.train(d)
+    mixed = pipeline.language_id.identify(d.where("doc_id = 900"), model).first()
+    assert mixed["score"] < pipeline.MIN_SCORE < mixed["confidence"]
+    kept = {r["doc_id"] for r in pipeline.identify_language(spark, d, "").collect()}
+    assert 900 in kept and 901 not in kept
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables aren't here")
 def test_run(spark):
     out = pipeline.run(spark, "/root/testdata/sf0.001")
