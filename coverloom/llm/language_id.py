@@ -9,8 +9,8 @@ the one with the largest mean over all its words with letters, and its score is
 labels, which runs don't have, so it is taken from the words. Chains restart at line ends, which bounds the length of most chains; a long line is still one chain.
 
 The model is fitted on the driver on at most MAX_ROWS labelled texts: of each label the ones with the least hashes of their
-ids, all labels with the same quota, but that what rare labels leave goes to the others. So every label is learned; of more
-than MAX_ROWS labels, only the most frequent ones.
+ids, a tenth of the bound for all labels alike and the rest in proportion. So every label is learned; of more than MAX_ROWS
+labels, only the most frequent ones.
 
 Defined cases: a null text, or one without a Unicode letter, gives "und" with score 0; ties go to the first label in order; a label
 needs one training text; rows are judged alone, so repeated rows agree; extra columns are dropped.
@@ -261,16 +261,24 @@ def quota(counts: list[int], most: int) -> int:
     return max(counts, default=q)
 
 
+def allotted(counts: list[int], most: int) -> list[int]:
+    """Texts to take of each label, `most` together at most: a tenth is for all labels alike, one text at least, the rest is in proportion to their texts."""
+    q = max(1, quota(counts, most // 10))
+    least = [min(n, q) for n in counts]
+    rest, over = most - sum(least), max(1, sum(counts) - sum(least))
+    return [m + min(n - m, rest * (n - m) // over) for n, m in zip(counts, least)]
+
+
 def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS) -> DataFrame:
-    """(i, l) of the labelled rows with the least hashes of their ids in each label, as many of each as quota gives."""
+    """(i, l) of the labelled rows with the least hashes of their ids in each label, as many of each as allotted gives."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
     counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_rows).collect()
-    q = quota([r["n"] for r in counts], max_rows)
+    take = allotted([r["n"] for r in counts], max_rows)
     # 1.5 times too many and 30 by hash, of which the first are taken
-    shares = [(r["l"], int((1.5 * q + 30) / r["n"] * 1_000_000) + 1) for r in counts]
-    shares = docs.sparkSession.createDataFrame(shares, T.StructType([rows.schema["l"], T.StructField("keep", T.LongType())]))
+    shares = [(r["l"], q, int((1.5 * q + 30) / r["n"] * 1_000_000) + 1) for r, q in zip(counts, take)]
+    shares = docs.sparkSession.createDataFrame(shares, T.StructType([rows.schema["l"], T.StructField("q", T.LongType()), T.StructField("keep", T.LongType())]))
     rows = rows.join(F.broadcast(shares), "l").where(F.pmod("h", F.lit(1_000_000)) < F.col("keep"))
-    rows = rows.withColumn("k", F.row_number().over(W.partitionBy("l").orderBy("h", "i"))).where(F.col("k") <= q)
+    rows = rows.withColumn("k", F.row_number().over(W.partitionBy("l").orderBy("h", "i"))).where(F.col("k") <= F.col("q"))
     return rows.select("i", "l").distinct()
 
 

@@ -86,6 +86,7 @@ def test_runs_of_a_text_that_switches(spark, prose):
 
 def test_rare_labels_are_learned(spark, prose):
     assert [language_id.quota(*x) for x in (([], 9), ([5], 9), ([3, 100, 100], 9), ([1] * 9, 9), ([4, 4], 9))] == [0, 5, 3, 1, 4]
+    assert language_id.allotted([6000, 3000, 1], 2000) == [1306, 692, 1] and language_id.allotted([9] * 30, 30) == [1] * 30 and language_id.allotted([], 9) == []
     rows = [(i, prose(5, i), "x") for i in range(3000)] + [(9000 + i, "".join(reversed(prose(5, i))), "y") for i in range(2)]
     rows = spark.createDataFrame([*rows, (None, "a b", "z"), (9999, "c d", None)], "doc_id long, text string, lang string")
     got = language_id.sample(rows, max_rows=40).groupBy("l").count().collect()
