@@ -11,8 +11,9 @@ A space stands for the vocabulary's space mark; a literal mark, and any characte
 byte pieces. Decoding joins the pieces' bytes and gives the text back exactly.
 
 Defined cases: a null text has null pieces and decodes to null, an empty one has no pieces; a null key is taken as 0 and rows
-that share a key and a text are segmented alike; extra columns are dropped. Memory follows the longest chunk and about 2 MB
-of text, longer texts are taken whole.
+that share a key and a text are segmented alike; extra columns are dropped. Texts of any length are taken whole, in steps of
+STEP bytes: lattices are built over LATTICE bytes of distinct chunks at a time, and a chunk of over LONG bytes (a text may
+have no space at all) is walked in windows, with the forward sums alone kept for all of it.
 """
 
 from __future__ import annotations
@@ -26,6 +27,10 @@ from coverloom.llm.kernels import U, column, hash_words, mix, pieces, weights
 from coverloom.llm.util import arrow_batches, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: Bytes of text of one step, of distinct chunks in one set of lattices, and of a chunk that is walked in windows of WINDOW bytes.
+STEP, LATTICE, LONG, WINDOW = 1 << 19, 1 << 17, 1 << 12, 1 << 15
+#: Places between two rescalings of the forward sums of a long chunk.
+RESCALE = 64
 
 
 def load(path: str = MODEL) -> dict:
@@ -162,30 +167,143 @@ class Lattice:
         return n, codes, places
 
 
+def _matches(b, begin: int, end: int, vocab, sharpness: float):
+    """(start, bytes, code, log weight) of the pieces that start in [begin, end) of b, by start and bytes; code -2: one character by its bytes."""
+    longest = max(vocab["by_length"])
+    part = b[begin : min(len(b), end + longest)]
+    left = len(part) - np.arange(len(part))
+    head = (part & 0xC0) != 0x80
+    head[end - begin :] = False
+    wide = 1 + (part >= 0xC0).astype(np.int64) + (part >= 0xE0) + (part >= 0xF0)
+    known, found = np.zeros(len(part), bool), []
+    for n, (key, ids) in vocab["by_length"].items():
+        i = np.flatnonzero(head & (left >= n))
+        k = _keys(part, i, n)
+        p = np.minimum(np.searchsorted(key, k), len(key) - 1)
+        hit = key[p] == k
+        i, piece = i[hit], ids[p[hit]]
+        known[i[wide[i] == n]] = True
+        found.append((i, np.full(len(i), n), piece, vocab["log"][piece] * sharpness))
+    i = np.flatnonzero(head & ~known)
+    found.append((i, wide[i], np.full(len(i), -2), (vocab["log"].min() - 1) * sharpness * wide[i]))
+    start, size, code, weight = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((size, start))
+    return start[order] + begin, size[order], code[order], weight[order]
+
+
+def sample_long(b, vocab, sharpness: float, salt):
+    """(codes, places) of one long chunk b: the forward sums of all places by windows, then the choice of each place, from the last window back."""
+    n, longest = len(b), max(vocab["by_length"])
+    log, base = np.full(n + 1, -np.inf, np.float32), np.zeros(n // RESCALE + 1)
+    sums = [1.0] + [0.0] * (WINDOW + longest)  # of the places of a window and what its pieces reach, in units of exp(unit)
+    unit = 0.0
+    for a in range(0, n, WINDOW):
+        z = min(n, a + WINDOW)
+        start, size, _, weight = _matches(b, a, z, vocab, sharpness)
+        edges = np.searchsorted(start, np.arange(a, z + RESCALE, RESCALE))
+        start, to, factor = (start - a).tolist(), (start + size - a).tolist(), np.exp(weight).tolist()
+        for block, (x, y) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            s = block * RESCALE
+            e = min(s + RESCALE, z - a)
+            most = max(sums[s : s + longest + 1])
+            sums[s : s + longest + 1] = [v / most for v in sums[s : s + longest + 1]]
+            unit += float(np.log(most))
+            for i, j, f in zip(start[x:y], to[x:y], factor[x:y]):
+                if sums[i]:
+                    sums[j] += sums[i] * f
+            base[(a + s) // RESCALE] = unit
+            with np.errstate(divide="ignore"):
+                log[a + s : a + e] = np.log(sums[s:e])
+        if z == n:
+            base[n // RESCALE] = unit
+            log[n] = np.log(sums[n - a])
+        sums = sums[z - a : z - a + longest + 1] + [0.0] * WINDOW
+    at = lambda i: log[i] + base[i // RESCALE]
+    codes, places, j = [], [], n
+    for a in range((n - 1) // WINDOW * WINDOW, -1, -WINDOW):
+        z = min(n, a + WINDOW)
+        start, size, code, weight = _matches(b, max(0, a - longest), z, vocab, sharpness)
+        end = start + size
+        use = (end > a) & (end <= z) & np.isfinite(log[start])
+        start, size, code, weight, end = (x[use] for x in (start, size, code, weight, end))
+        order = np.lexsort((size, end))
+        start, size, code, weight, end = (x[order] for x in (start, size, code, weight, end))
+        share = np.cumsum(np.exp(at(start) + weight - at(end)))
+        last = np.searchsorted(end, np.arange(a + 1, z + 1), "right")
+        first = np.concatenate(([0], last[:-1]))
+        low = np.where(first > 0, share[np.maximum(first, 1) - 1], 0.0)
+        u = (mix(salt ^ mix(np.arange(a + 1, z + 1).astype(np.uint64) * U(0x9E3779B97F4A7C15))) >> U(11)).astype(np.float64) * 2.0**-53
+        pick = np.searchsorted(share, low + u * (share[np.maximum(last, 1) - 1] - low), "right")
+        pick = np.clip(pick, first, last - 1).tolist()
+        size, code, start = size.tolist(), code.tolist(), start.tolist()
+        while j > a:
+            i = pick[j - a - 1]
+            codes.append(code[i])
+            places.append(start[i])
+            j -= size[i]
+    return np.array(codes[::-1], np.int64), np.array(places[::-1], np.int64)
+
+
+def _spelled(codes, at, b, vocab):
+    """(ids, ids of each code): codes of -2 become the byte pieces of the character at their place in b."""
+    lead = b[at]
+    width = np.where(codes >= 0, 1, 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0))
+    ids = np.repeat(codes, width).astype(np.int32)
+    spell = np.flatnonzero(ids == -2)
+    source = np.repeat(at, width)[spell] + (spell - np.repeat(np.cumsum(width) - width, width)[spell])
+    ids[spell] = vocab["byte_id"][b[source]]
+    return ids, width
+
+
+def _encode_chunks(d, begin, end, salt, vocab, sharpness: float):
+    """(ids, ids of each chunk) of the chunks [begin, end) of d, in order."""
+    size, parts = end - begin, []
+    for i in np.flatnonzero(size > LONG):
+        b = d[begin[i] : end[i]]
+        ids, _ = _spelled(*sample_long(b, vocab, sharpness, salt[i]), b, vocab)
+        parts.append((np.array([i]), np.array([len(ids)]), ids))
+    short = np.flatnonzero(size <= LONG)
+    _, some, which = np.unique(hash_words(d, begin[short], end[short], 31), return_index=True, return_inverse=True)
+    some = short[some]
+    order = np.argsort(size[some], kind="stable")
+    group = np.empty(len(some), np.int64)
+    group[order] = (np.cumsum(size[some[order]]) - 1) // LATTICE
+    for g in range(int(group.max()) + 1 if len(some) else 0):
+        own = np.flatnonzero(group == g)
+        lattice = Lattice(d, begin[some[own]], end[some[own]], vocab, sharpness)
+        place = np.full(len(some), -1)
+        place[own] = np.arange(len(own))
+        here = np.flatnonzero(place[which] >= 0)
+        for x in range(0, len(here), LATTICE):
+            some_here = here[x : x + LATTICE]
+            n, codes, at = lattice.sample(place[which[some_here]], salt[short[some_here]])
+            ids, width = _spelled(codes, at, lattice.bytes, vocab)
+            parts.append((short[some_here], np.add.reduceat(width, np.cumsum(n) - n), ids))
+    per = np.zeros(len(begin), np.int64)
+    for chunk, n, _ in parts:
+        per[chunk] = n
+    first, out = np.cumsum(per) - per, np.empty(int(per.sum()), np.int32)
+    for chunk, n, ids in parts:
+        out[np.repeat(first[chunk] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+    return out, per
+
+
 def encode_rows(data, starts, ends, keys, vocab, seed: int, sharpness: float):
     """For runs of rows: (i, j, ids, ids of each row)."""
-    for i, j in pieces(starts, ends, 1 << 21):
+    for i, j in pieces(starts, ends, STEP):
         a = starts[i]
         d = data[a : ends[j - 1]]
-        if not len(d):
-            yield i, j, np.zeros(0, np.int32), np.zeros(j - i, np.int64)
-            continue
-        begin, end, row = chunks(d, starts[i:j] - a, ends[i:j] - a)
-        _, some, which = np.unique(hash_words(d, begin, end, 31), return_index=True, return_inverse=True)
-        lattice = Lattice(d, begin[some], end[some], vocab, sharpness)
+        begin, end, row = chunks(d, starts[i:j] - a, ends[i:j] - a) if len(d) else (np.zeros(0, np.int64),) * 3
         place = np.arange(len(row)) - np.searchsorted(row, row)
         salt = mix(mix(keys[i:j] + U(seed))[row] + place.astype(np.uint64) * U(0xD1342543DE82EF95))
-        n, codes, at = lattice.sample(which, salt)
-        b = lattice.bytes
-        lead = b[at]
-        width = np.where(codes >= 0, 1, 1 + (lead >= 0xC0).astype(np.int64) + (lead >= 0xE0) + (lead >= 0xF0))
-        ids = np.repeat(codes, width)
-        spell = np.flatnonzero(ids == -2)
-        begin_of = np.cumsum(width) - width
-        source = np.repeat(at, width)[spell] + (spell - np.repeat(begin_of, width)[spell])
-        ids[spell] = vocab["byte_id"][b[source]]
-        per = np.add.reduceat(width, np.cumsum(n) - n)
-        yield i, j, ids, np.bincount(row, per, j - i).astype(np.int64)
+        out, total, x = [], np.zeros(j - i, np.int64), 0
+        while x < len(row):  # more than one step only if one row is longer than a step
+            y = max(x + 1, int(np.searchsorted(end, begin[x] + STEP, "right")))
+            ids, per = _encode_chunks(d, begin[x:y], end[x:y], salt[x:y], vocab, sharpness)
+            out.append(ids)
+            total += np.bincount(row[x:y], per, j - i).astype(np.int64)
+            x = y
+        yield i, j, np.concatenate(out) if out else np.zeros(0, np.int32), total
 
 
 def decode_ids(ids, vocab):
@@ -197,7 +315,7 @@ def decode_ids(ids, vocab):
 def encode(docs: DataFrame, path: str = MODEL, key: str = "doc_id", text: str = "text", seed: int = 1, sharpness: float = 0.3) -> DataFrame:
     """doc_id, ids (array of int; null for a null text) and lossless (whether decoding the ids gives the text's bytes) for every row of docs."""
     spark = docs.sparkSession
-    arrow_batches(spark, 4000)
+    arrow_batches(spark)
     shared = spark.sparkContext.broadcast(load(path))
 
     def run(batches):

@@ -79,9 +79,11 @@ def bounded(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-def arrow_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows of an Arrow batch sent to Python workers, so that many long texts at once stay small."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def arrow_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """Bound the bytes of an Arrow batch sent to Python workers, however long the texts are. The session's setting is only ever lowered."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("bB")) > size:
+        spark.conf.set(key, str(size))
 
 
 def let(value: Column, body) -> Column:

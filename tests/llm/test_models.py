@@ -1,6 +1,7 @@
 """Language ID, quality model, license scans, sentence pieces: held-out accuracy, brute force, exact round trips."""
 
 import os
+import random
 import zlib
 from collections import Counter
 
@@ -192,8 +193,11 @@ def test_round_trip(spark, docs, corpus):
 
 
 @pieces
-def test_samples_have_the_lattice_s_distribution():
-    v, word, n = sentence_pieces.load(), " tion", 40_000
+@pytest.mark.parametrize("long, n", [(1 << 12, 40_000), (3, 4000)])
+def test_samples_have_the_lattice_s_distribution(monkeypatch, long, n):
+    monkeypatch.setattr(sentence_pieces, "LONG", long)
+    monkeypatch.setattr(sentence_pieces, "WINDOW", 64)
+    v, word = sentence_pieces.load(), " tion"
 
     def paths(x):
         if not x:
@@ -220,3 +224,24 @@ def test_samples_have_the_lattice_s_distribution():
     for r, w in want:
         p = np.exp(w) / total
         assert abs(seen[r] / n - p) < 5 * np.sqrt(p * (1 - p) / n) + 1e-9
+
+
+@pieces
+def test_texts_without_spaces_are_walked_in_windows(spark):
+    r = random.Random(3)
+    word = "".join(r.choice("abcdeinrst") for _ in range(50_000))
+    rows = [(1, word * 100), (2, "a" * 70_000), (3, "日本€é" * 9000), (None, "x " + word + " y"), (1, word * 100), (5, "\U0001F600" * 3000)]
+    got = sentence_pieces.encode(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).selectExpr("doc_id", "lossless", "size(ids) AS n", "hash(ids) AS h").collect()
+    assert len(got) == len(rows) and all(x["lossless"] and x["n"] > 1000 for x in got)
+    assert len({(x["n"], x["h"]) for x in got if x["doc_id"] == 1}) == 1
+
+
+@pieces
+def test_windows_don_t_change_the_sums(monkeypatch):
+    """The walk in small windows gives the same pieces as in one."""
+    v, r = sentence_pieces.load(), random.Random(5)
+    b = np.frombuffer("".join(r.choice("abeinst é€") for _ in range(3000)).replace(" ", "").encode(), np.uint8)
+    whole = [x.tolist() for x in sentence_pieces.sample_long(b, v, 0.3, np.uint64(7))]
+    monkeypatch.setattr(sentence_pieces, "WINDOW", 128)
+    assert [x.tolist() for x in sentence_pieces.sample_long(b, v, 0.3, np.uint64(7))] == whole
+    assert sentence_pieces.decode_ids(sentence_pieces._spelled(*map(np.array, whole), b, v)[0], v)[0].tobytes() == b.tobytes()
