@@ -28,7 +28,9 @@ from coverloom.llm.util import arrow_batches, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text of one step, of distinct chunks in one set of lattices, and of a chunk that is walked in windows of WINDOW bytes.
-STEP, LATTICE, LONG, WINDOW = 1 << 19, 1 << 17, 1 << 12, 1 << 15
+STEP, LATTICE, LONG, WINDOW = 1 << 20, 1 << 18, 1 << 12, 1 << 15
+#: Bits of a piece's key that a table looks up first.
+SIEVE = 17
 #: Places between two rescalings of the forward sums of a long chunk.
 RESCALE = 64
 
@@ -57,7 +59,7 @@ def load(path: str = MODEL) -> dict:
         key = _keys(flat, start[ids], n)
         order = np.argsort(key)
         assert (np.diff(key[order].astype(object)) > 0).all(), "two pieces have one key"
-        by_length[n] = (key[order], ids[order])
+        by_length[n] = (key[order], ids[order], np.bincount((key >> U(64 - SIEVE)).astype(np.int64), minlength=1 << SIEVE) > 0)
     return {"flat": flat, "start": start, "end": ends, "byte_id": byte_id, "log": -np.log1p(rank), "by_length": by_length}
 
 
@@ -70,6 +72,17 @@ def _keys(d, at, n: int):
     return mix(h)
 
 
+def _found(d, at, n: int, vocab):
+    """(places among `at`, ids) of the pieces of n bytes."""
+    key, ids, sieve = vocab["by_length"][n]
+    k = _keys(d, at, n)
+    i = np.flatnonzero(sieve[(k >> U(64 - SIEVE)).astype(np.int64)])  # few other keys pass
+    k = k[i]
+    p = np.minimum(np.searchsorted(key, k), len(key) - 1)
+    hit = key[p] == k
+    return i[hit], ids[p[hit]]
+
+
 def chunks(d, starts, ends):
     """Begin, end and row of each chunk of the rows [starts, ends) of d."""
     new = np.zeros(len(d) + 1, bool)
@@ -105,12 +118,9 @@ class Lattice:
         self.code = code = np.full((len(spans), len(b)), -1, np.int32)
         known = np.zeros(len(b), bool)
         for n in lengths:
-            key, ids = vocab["by_length"][n]
             i = np.flatnonzero(head & (left >= n))
-            k = _keys(b, i, n)
-            p = np.minimum(np.searchsorted(key, k), len(key) - 1)
-            hit = key[p] == k
-            i, piece = i[hit], ids[p[hit]]
+            hit, piece = _found(b, i, n, vocab)
+            i = i[hit]
             code[col[n], i] = piece
             weight[col[n], i] = vocab["log"][piece] * sharpness
             known[i[wide[i] == n]] = True
@@ -176,12 +186,10 @@ def _matches(b, begin: int, end: int, vocab, sharpness: float):
     head[end - begin :] = False
     wide = 1 + (part >= 0xC0).astype(np.int64) + (part >= 0xE0) + (part >= 0xF0)
     known, found = np.zeros(len(part), bool), []
-    for n, (key, ids) in vocab["by_length"].items():
+    for n in vocab["by_length"]:
         i = np.flatnonzero(head & (left >= n))
-        k = _keys(part, i, n)
-        p = np.minimum(np.searchsorted(key, k), len(key) - 1)
-        hit = key[p] == k
-        i, piece = i[hit], ids[p[hit]]
+        hit, piece = _found(part, i, n, vocab)
+        i = i[hit]
         known[i[wide[i] == n]] = True
         found.append((i, np.full(len(i), n), piece, vocab["log"][piece] * sharpness))
     i = np.flatnonzero(head & ~known)
