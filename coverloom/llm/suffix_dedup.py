@@ -1,25 +1,30 @@
 """Suffix-array dedup by bucket-pointer refinement: bytes covered by a long string that starts earlier somewhere are removed.
 
-Suffixes are put into buckets by a q-gram, and buckets are refined by identifiers that stand for the bytes at later (and
-earlier) offsets; a suffix alone in its bucket is finished and leaves. Only anchored suffixes enter: of each window of
-`length` bytes the place of its least q-gram. Equal windows choose alike, so each repeated window is seen from the same place
-in it; an anchor answers for the windows that chose it. The steps are
+A suffix that starts with a repeated string of `length` bytes is found by its bucket: all suffixes are put into buckets by
+their first q-gram, and a bucket is refined by sorting its suffixes on the bucket identifiers of the suffixes at later
+offsets. The new identifiers are written back and the next refinement reads them, so that the prefix that a bucket's
+suffixes share doubles, up to `length` bytes; a suffix alone in its bucket is finished and leaves.
+
+Suffixes are kept together by anchors: of each window of `length` bytes the place of its least q-gram. Equal windows choose
+alike, so suffixes that share `length` bytes see the same anchor from the same distance, and all suffixes of an anchor's
+bucket can be refined in one task. The steps are
 
 1. buckets of anchors by q-gram are counted over all texts; q-grams that occur once are finished;
-2. the anchors left bring the bytes of their windows to their bucket, which one task has together with others;
-3. refinement: a bucket is split by the identifier of the bytes that all windows of a range of offsets share, and a suffix
-   with an equal, earlier string of all windows of the range is covered there and leaves; for the others the range is
-   halved and the new buckets are refined again, down to single windows. Identifiers are made from prefix sums of the
-   bytes, which all rounds reuse.
+2. the anchors left bring the bytes of their windows to their bucket, which one task has together with others; of anchors
+   with the same bytes the first one stays, as all windows of the others are covered;
+3. an anchor's windows are cut into NODES ranges of distances. A bucket is refined by the identifiers (q-grams) of the
+   suffixes at the later and earlier offsets that all windows of a range cover; ranges that are alone are finished;
+4. the suffixes that start the windows left, and those that lie where a window's last half starts, are refined by the
+   bucket identifiers at offset + q; then the former by these new identifiers at length - 2 q, which makes `length` bytes.
+   Of each bucket all but the first suffix are covered.
 
-Buckets of more than HOT anchors are never brought to one task: the same refinement runs for them as aggregations over
-128-bit identifiers with a partial step before each shuffle. No step pairs the members of a bucket.
+Buckets of more than HOT anchors are never brought to one task: steps 2 and 4 run for them as aggregations over 128-bit
+identifiers with a partial step before each shuffle. No step pairs the members of a bucket.
 
 Defined cases: a null or empty text has no bytes and nothing is removed; texts under `length` bytes can't match; of equal
-texts the one with the least doc id stays whole and the others lose all; rows with
-a null doc id come before all ids; rows that share a doc id count as one
-document: equal strings at equal places of them don't remove each other, and what goes from one goes from all; extra
-columns are dropped.
+texts the one with the least doc id stays whole and the others lose all; rows with a null doc id come before all ids; rows
+that share a doc id count as one document: equal strings at equal places of them don't remove each other, and what goes from
+one goes from all; extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -39,6 +44,8 @@ from coverloom.llm.util import arrow_batches, materialize, ship
 QGRAM, LENGTH = 32, 100
 #: Members of a bucket that one task refines; larger buckets are refined by aggregations.
 HOT = 20_000
+#: Ranges of an anchor's windows, by the anchor's distance from the window's start, as parts of the largest distance.
+NODES = 4
 #: Rows that the refinement holds at once, beyond the last bucket of them.
 BLOCK = 8_000
 #: Bytes that one step of the kernel works on.
@@ -162,6 +169,14 @@ def _strings(q: int, length: int, wanted, hot, of_hot: bool):
     return run
 
 
+def _ranks(*parts):
+    """A number for each row, alike for rows with the same parts; sorting makes it."""
+    h = mix(np.asarray(parts[0]).astype(np.uint64))
+    for x in parts[1:]:
+        h = mix(h * U(_ODD) + np.asarray(x).astype(np.uint64))
+    return np.unique(h, return_inverse=True, return_counts=True)[1:]
+
+
 def refine(k, doc, pos, low, high, flat, ends, q: int, length: int):
     """(row, s, e) of the covered ranges of whole buckets. Rows are sorted by k, doc and pos; flat and ends: the bytes of their windows."""
     side, n = length - q, len(k)
@@ -174,30 +189,60 @@ def refine(k, doc, pos, low, high, flat, ends, q: int, length: int):
     up, down = powers(width + 1, base), powers(width + 1, pow(base, -1, 1 << 64))
     sums = np.zeros((n, width + 1), np.uint64)
     np.cumsum(weights(256, 29)[m] * up[:width], axis=1, out=sums[:, 1:])
-    ident = lambda r, a, b: (sums[r, b] - sums[r, a]) * down[a]
-
-    row, lo, hi = np.arange(n), np.zeros(n, np.int64), np.full(n, side)
-    bucket, out = np.cumsum(np.concatenate(([0], (k[1:] != k[:-1]).astype(np.int64)))), []
-    while len(row):
-        salt = mix(bucket.astype(np.uint64) * U(_ODD) + (lo * 1000 + hi).astype(np.uint64))
-        _, bucket, times = np.unique(mix(ident(row, side - lo, side - hi + length)) + salt, return_inverse=True, return_counts=True)
-        keep = times[bucket] > 1
-        row, lo, hi, bucket = row[keep], lo[keep], hi[keep], bucket[keep]
-        if not len(row):
-            break
-        _, first, same = np.unique(mix(ident(row, side - hi, side - lo + length)) + mix(bucket.astype(np.uint64) + U(77)), return_index=True, return_inverse=True)
-        before = row[first[same]]
-        covered = (before != row) & ((doc[before] != doc[row]) | (pos[before] != pos[row]))
-        r = row[covered]
-        out.append((r, pos[r] - np.minimum(hi[covered], high[r]), pos[r] - np.maximum(lo[covered], low[r]) + length))
-        go = ~covered & (lo < hi)
-        row, lo, hi, bucket = row[go], lo[go], hi[go], bucket[go]
-        mid = (lo + hi) // 2
-        row, bucket = np.concatenate((row, row)), np.concatenate((bucket, bucket))
-        lo, hi = np.concatenate((lo, mid + 1)), np.concatenate((mid, hi))
-        some = (low[row] <= hi) & (lo <= high[row])
-        row, lo, hi, bucket = row[some], lo[some], hi[some], bucket[some]
-    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+    gram = lambda r, j: mix((sums[r, j + q] - sums[r, j]) * down[j])  # noqa: E731  the q-gram bucket of the suffix at j
+    place = np.cumsum(np.concatenate(([0], ((doc[1:] != doc[:-1]) | (pos[1:] != pos[:-1]) | (k[1:] != k[:-1])).astype(np.int64))))
+    out = []
+
+    # anchors with the same bytes as an earlier one
+    bucket = _ranks(k.view(np.uint64))[0]
+    _, first, same = np.unique(mix(sums[:, width] ^ mix(bucket.astype(np.uint64) + U(77))), return_index=True, return_inverse=True)
+    gone = place[first[same]] != place
+    out.append((np.flatnonzero(gone), (pos - high)[gone], (pos - low + length)[gone]))
+    row = np.flatnonzero(~gone)
+
+    # ranges of windows: refined by what all their windows cover
+    rows, ranges = [], []
+    for i in range(NODES):
+        lo, hi = side * i // NODES + (i > 0), side * (i + 1) // NODES
+        r = row[(low[row] <= hi) & (lo <= high[row])]
+        b, left, right = bucket[r], side - lo, side - hi + length - q
+        later = [min(side + q * x, right) for x in range(1, 1 + -(-(right - side) // q))]
+        earlier = [max(side - q * x, left) for x in range(1, 1 + -(-lo // q))]
+        for j in [*later, *earlier]:
+            b, times = _ranks(b, gram(r, j))
+            keep = times[b] > 1
+            r, b = r[keep], b[keep]
+        if not (later or earlier):
+            b, times = _ranks(b)
+            r = r[times[b] > 1]
+        rows.append(r)
+        ranges.append(np.stack((np.maximum(low[r], lo), np.minimum(high[r], hi))))
+    row, (near, far) = np.concatenate(rows), np.concatenate(ranges, axis=1)
+    if not len(row):
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    # suffixes of the windows left, by row and place
+    starts = np.zeros((n, side + 2), np.int8)
+    np.add.at(starts, (row, side - far), 1)
+    np.add.at(starts, (row, side - near + 1), -1)
+    starts = np.cumsum(starts, axis=1, dtype=np.int8)[:, :-1] > 0
+    step = length - 2 * q
+    asked = np.zeros((n, side + 1 + step), bool)
+    asked[:, : side + 1] = starts
+    asked[:, step:] |= starts
+    number = np.zeros(asked.shape, np.int64)
+    r, j = np.nonzero(asked)
+    number[r, j] = _ranks(gram(r, j), gram(r, j + q))[0]  # 2 q bytes
+    r, j = np.nonzero(starts)
+    h = mix(mix(number[r, j].astype(np.uint64) + U(_ODD)) * U(_ODD) + number[r, j + step].astype(np.uint64))  # length bytes
+    _, first, same = np.unique(mix(h ^ mix(bucket[r].astype(np.uint64) + U(77))), return_index=True, return_inverse=True)
+    covered = place[r[first[same]]] != place[r]
+    r, j = r[covered], j[covered]
+    if len(r):
+        new = np.concatenate(([True], (r[1:] != r[:-1]) | (j[1:] != j[:-1] + 1)))
+        last = np.append(np.flatnonzero(new)[1:], len(r)) - 1
+        out.append((r[new], pos[r[new]] + j[new] - side, pos[r[new]] + j[last] - side + length))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _refine_buckets(q: int, length: int):
@@ -269,33 +314,24 @@ def _cut(whole: bool):
     return run
 
 
-def _refined(reps: DataFrame, q: int, length: int) -> list[DataFrame]:
-    """The refinement by aggregations. reps: (doc, pos, k, low, high, bytes), bytes filled up. Returns tables of spans (doc, s, e)."""
-    place, side = F.struct("doc", "pos"), length - q
-    lo, hi = F.col("lo"), F.col("hi")
-    part = lambda start, n: F.substring("bytes", start + 1, n)
-    nodes = reps.select("doc", "pos", "low", "high", "bytes", F.struct(F.col("k").alias("a"), F.col("k").alias("b")).alias("bucket"), F.lit(0).alias("lo"), F.lit(side).alias("hi"))
-    spans = []
-    while True:
-        # what all windows of the range share refines the bucket; the whole string is that of its windows together
-        shared = part(side - lo, length - hi + lo)
-        same = F.struct(*[F.xxhash64(F.lit(i), "bucket", "lo", "hi", shared).alias(n) for i, n in ((1, "a"), (2, "b"))])
-        whole = part(side - hi, hi - lo + length)
-        ident = F.struct(*[F.xxhash64(F.lit(i), whole).alias(n) for i, n in ((1, "a"), (2, "b"))])
-        nodes = nodes.withColumns({"bucket": same, "whole": ident})
-        several = nodes.groupBy("bucket").agg(F.min(place).alias("x"), F.max(place).alias("y")).where("x <> y").select("bucket")
-        equal = nodes.groupBy("bucket", "whole").agg(F.min(place).alias("least"))
-        met = nodes.join(several, "bucket", "left_semi").join(equal, ["bucket", "whole"])
-        met = materialize(met.withColumn("covered", F.col("least") < place).drop("whole", "least"), "refined")
-        a, z = F.greatest("lo", "low"), F.least("hi", "high")  # windows inside the text
-        spans.append(met.where("covered").select("doc", (F.col("pos") - z).alias("s"), (F.col("pos") - a + length).alias("e")))
-        # of equal strings the first goes on, for others to be found equal to parts of it
-        left = met.where("not covered and lo < hi")
-        if left.isEmpty():
-            return spans
-        mid = F.floor((lo + hi) / 2).cast("int")
-        halves = F.array(F.struct(lo.alias("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), hi.alias("hi")))
-        nodes = left.select("doc", "pos", "low", "high", "bytes", "bucket", F.explode(halves).alias("r")).select("doc", "pos", "low", "high", "bytes", "bucket", "r.lo", "r.hi").where("low <= hi and lo <= high")
+def _refined(strings: DataFrame, q: int, length: int) -> DataFrame:
+    """Steps 2 and 4 by aggregations. strings: (doc, pos, k, low, high, bytes), bytes filled up. Returns spans (doc, s, e)."""
+    place, side, step = F.struct("doc", "pos"), length - q, length - 2 * q
+    ids = lambda *cols: F.struct(*[F.xxhash64(F.lit(i), *cols).alias(n) for i, n in ((1, "a"), (2, "b"))])
+    strings = strings.withColumn("whole", ids("k", "bytes"))
+    firsts = strings.groupBy("whole").agg(F.min(F.struct("doc", "pos", "k", "low", "high", "bytes")).alias("x"))
+    firsts = materialize(firsts.select("whole", "x.*", F.struct("x.doc", "x.pos").alias("least")), "firsts")
+    met = strings.select("doc", "pos", "low", "high", "whole").join(firsts.select("whole", "least"), "whole").where(place != F.col("least"))
+    whole = met.select("doc", (F.col("pos") - F.col("high")).alias("s"), (F.col("pos") - F.col("low") + length).alias("e"))
+    gram = lambda j: F.xxhash64(F.lit(3), F.substring("bytes", j + 1, q))  # noqa: E731  the q-gram bucket of the suffix at j
+    pair = lambda j: ids("k", gram(j), gram(j + q))
+    j = F.col("j")
+    windows = firsts.select("doc", "pos", "k", "bytes", F.explode(F.sequence(side - F.col("high"), side - F.col("low"))).alias("j"))
+    windows = windows.select("doc", "pos", "j", pair(j).alias("one"), pair(j + step).alias("two")).select("doc", "pos", "j", ids("one", "two", "j").alias("id"))
+    least = windows.groupBy("id").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most").select("id", "least")
+    covered = windows.join(least, "id").where(place != F.col("least"))
+    start = F.col("pos") + j - side
+    return whole.unionByName(covered.select("doc", start.alias("s"), (start + length).alias("e")))
 
 
 def spans(own: DataFrame, q: int = QGRAM, length: int = LENGTH, hot: int = HOT) -> DataFrame:
@@ -314,8 +350,7 @@ def spans(own: DataFrame, q: int = QGRAM, length: int = LENGTH, hot: int = HOT)
     out = materialize(together.mapInArrow(_refine_buckets(q, length), "doc long, s long, e long"), "spans")
     if n_large:
         strings = materialize(own.mapInArrow(_strings(q, length, wanted, hots, True), schema), "strings")
-        for part in _refined(strings, q, length):
-            out = out.unionByName(part)
+        out = out.unionByName(materialize(_refined(strings, q, length), "spans"))
     return out
 
 
