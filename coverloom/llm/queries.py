@@ -47,11 +47,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = sharding.Store(spark, scratch_path(spark, "shards"))
     store.append(docs)
     version = store.compact(docs.schema)
-    files = store.manifest(version).select("file", "tier", "version", F.col("rows").alias("shard_rows"))
     rows = store.read(docs.schema, version, with_file=True)
-    out = rows.join(sharding.bounded(files, sharding.PLAN_ROWS), F.col("_file") == F.col("file"))
+    rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.col(f"{rows.columns[-1]}.*"))
+    files = store.manifest(version).select("file", "tier", "version", F.col("rows").alias("shard_rows"))
+    out = rows.join(sharding.bounded(files, sharding.PLAN_ROWS), "file")
     shard = F.regexp_extract("file", r"/data/(.*)$", 1)
-    return out.select("doc_id", shard.alias("shard"), F.col("_size").alias("shard_bytes"), "shard_rows", "tier", "version", F.octet_length("text").cast("long").alias("n_bytes"))
+    return out.select("doc_id", shard.alias("shard"), F.col("bytes").alias("shard_bytes"), "shard_rows", "tier", "version", "n_bytes")
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
