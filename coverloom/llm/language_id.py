@@ -10,7 +10,8 @@ labels, which runs don't have, so it is taken from the words. Chains restart at
 
 The model is fitted on the driver on at most MAX_ROWS labelled texts: of each label the ones with the least hashes of their
 ids, a tenth of the bound for all labels alike and the rest in proportion. So every label is learned; of more than MAX_ROWS
-labels, only the most frequent ones.
+labels, only the most frequent ones. Of rows that share an id and a label the least text is taken; a text of over
+MAX_BYTES / 16 isn't, nor are texts beyond MAX_BYTES together.
 
 Defined cases: a null text, or one without a Unicode letter, gives "und" with score 0; ties go to the first label in order; a label
 needs one training text; rows are judged alone, so repeated rows agree; extra columns are dropped.
@@ -28,8 +29,8 @@ from pyspark.sql import types as T
 from coverloom.llm.kernels import U, column, hash_words, lower_table, mix, pieces, split_words, weights, white_words
 from coverloom.llm.util import arrow_batches, bounded, ship
 
-#: Bound of the training sample, in texts, and of its bytes of text that the driver takes in one step of the gradient.
-MAX_ROWS = 2_000
+#: Bounds of the training sample, in texts and in bytes of text; a text of over a sixteenth of these bytes isn't sampled.
+MAX_ROWS, MAX_BYTES = 2_000, 64 << 20
 #: Weights of each label: a power of two.
 TABLE = 1 << 15
 
@@ -270,23 +271,24 @@ def allotted(counts: list[int], most: int) -> list[int]:
 
 
 def sample(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS) -> DataFrame:
-    """(i, l) of the labelled rows with the least hashes of their ids in each label, as many of each as allotted gives."""
-    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.xxhash64(F.col(doc_id).cast("string")).alias("h"))
+    """(i, l, k) of the labelled rows with the least hashes of their ids in each label, as many of each as allotted gives; k: their place in the label. Rows that share an id and a label count as one."""
+    rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("i"), F.col(lang).alias("l"), F.xxhash64(F.col(doc_id).cast("string")).alias("h")).distinct()
     counts = rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(max_rows).collect()
     take = allotted([r["n"] for r in counts], max_rows)
-    # 1.5 times too many and 30 by hash, of which the first are taken
-    shares = [(r["l"], q, int((1.5 * q + 30) / r["n"] * 1_000_000) + 1) for r, q in zip(counts, take)]
-    shares = docs.sparkSession.createDataFrame(shares, T.StructType([rows.schema["l"], T.StructField("q", T.LongType()), T.StructField("keep", T.LongType())]))
-    rows = rows.join(F.broadcast(shares), "l").where(F.pmod("h", F.lit(1_000_000)) < F.col("keep"))
-    rows = rows.withColumn("k", F.row_number().over(W.partitionBy("l").orderBy("h", "i"))).where(F.col("k") <= F.col("q"))
-    return rows.select("i", "l").distinct()
+    shares = docs.sparkSession.createDataFrame([(r["l"], q) for r, q in zip(counts, take)], T.StructType([rows.schema["l"], T.StructField("q", T.LongType())]))
+    # each task keeps max_rows rows of a label at most before they meet
+    rows = rows.withColumn("k", F.row_number().over(W.partitionBy("l").orderBy("h", "i"))).where(F.col("k") <= max_rows)
+    rows = rows.join(F.broadcast(shares), "l").where(F.col("k") <= F.col("q"))
+    return rows.select("i", "l", "k")
 
 
-def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS):
-    """The model of the labelled rows of docs; at most max_rows of them reach the driver."""
+def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES):
+    """The model of the labelled rows of docs; at most max_rows texts of max_bytes bytes together reach the driver."""
     rows = sample(docs, doc_id, text, lang, max_rows)
-    texts = docs.select(F.col(doc_id).alias("i"), F.col(text).cast("string").alias("t"), F.col(lang).alias("l"))
-    got = texts.join(bounded(rows, max_rows), ["i", "l"], "left_semi").toArrow()
+    texts = docs.select(F.col(doc_id).alias("i"), F.col(text).cast("string").alias("t"), F.col(lang).alias("l")).where(F.octet_length("t") <= max_bytes // 16)
+    one = texts.join(bounded(rows, max_rows), ["i", "l"]).groupBy("i", "l").agg(F.min("t").alias("t"), F.min("k").alias("k"))  # rows may share an id
+    size = F.sum(F.octet_length("t").cast("long")).over(W.orderBy("k", "l", "i"))  # over max_rows rows at most
+    got = one.withColumn("size", size).where(F.col("size") <= max_bytes).select("i", "l", "t").toArrow()
     order = np.argsort([str(x) for x in got.column("i").to_pylist()], kind="stable")
     t, y = got.column("t").to_pylist(), got.column("l").to_pylist()
     t, y = [t[i] for i in order], [y[i] for i in order]
