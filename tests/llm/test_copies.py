@@ -31,6 +31,41 @@ def test_join_with_any_boundary(spark, monkeypatch, prose, light):
     assert got == brute.components(rows)
 
 
+@pytest.mark.parametrize("hot, flush, ranges", [(-(1 << 40), 1 << 20, 1 << 20), (1 << 18, 50, 40), (30, 200, 300)])
+def test_join_with_hot_cells_and_small_blobs(spark, monkeypatch, docs, corpus, hot, flush, ranges):
+    """All shingles taken as hot, none, or some; many blobs and ranges."""
+    monkeypatch.setattr(ngram_join, "FLUSH", flush)
+    monkeypatch.setattr(ngram_join, "RANGE", ranges)
+    monkeypatch.setattr(ngram_join, "SEEN", 7)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(docs, hot=hot).collect()}
+    assert got == brute.components(corpus)
+
+
+def test_join_of_a_large_group_of_near_copies(spark, prose):
+    """A hub with 150 near copies, most of which aren't similar to each other, beside sets that share half of it."""
+    r, base = random.Random(8), prose(140, 1).split()
+    rows = [(77, " ".join(base))]
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.randrange(1, 6)):
+            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(w)))
+    rows += [(i, " ".join(base[: 70 + i] + prose(60, 500 + i).split())) for i in range(30)]
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    want = brute.components(rows)
+    assert got == want and len({c for _, c in want.values()}) > 5
+
+
+def test_join_of_long_and_repeated_rows(spark, prose):
+    """Very long texts, rows that share an id with other texts, extra columns of the operator's own names."""
+    long = prose(30_000, 3)
+    rows = [(1, long), (2, long + " end"), (3, prose(30_000, 4)), (4, "w " * 50_000), (5, "w w w w w w"), (6, None), (7, prose(40, 9)), (8, prose(40, 9)), (8, prose(40, 9))]
+    d = spark.createDataFrame([(*r, "k", 1, 2, 3) for r in rows], "doc_id long, text string, e string, s1 int, size int, rep int")
+    got = sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in ngram_join.join(d).collect())
+    want = brute.components(rows)
+    assert got == sorted((i, *want[i]) for i, _ in rows) and want[2][1] == 1 and want[5][1] == 4
+
+
 def test_join_of_few_rows(spark):
     d = spark.createDataFrame([(None, "a b c d e f"), (5, "a b c d e f"), (5, "q"), (7, "Q"), (8, None)], "doc_id long, text string")
     got = sorted(map(str, (tuple(r) for r in ngram_join.join(d).collect())))

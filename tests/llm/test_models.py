@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -205,7 +206,7 @@ def test_samples_have_the_lattice_s_distribution(monkeypatch, long, n):
         out = []
         for k in range(1, len(x) + 1):
             if k in v["by_length"]:
-                key, ids = v["by_length"][k]
+                key, ids, _ = v["by_length"][k]
                 h = sentence_pieces._keys(np.frombuffer(x[:k], np.uint8), np.array([0]), k)[0]
                 i = np.searchsorted(key, h)
                 if i < len(key) and key[i] == h:
@@ -245,3 +246,72 @@ def test_windows_don_t_change_the_sums(monkeypatch):
     monkeypatch.setattr(sentence_pieces, "WINDOW", 128)
     assert [x.tolist() for x in sentence_pieces.sample_long(b, v, 0.3, np.uint64(7))] == whole
     assert sentence_pieces.decode_ids(sentence_pieces._spelled(*map(np.array, whole), b, v)[0], v)[0].tobytes() == b.tobytes()
+
+
+def test_samples_of_repeated_rows_are_bounded_and_not_empty(spark, prose, monkeypatch):
+    rows = [(i % 10, f"{prose(9, i % 10)} {i}" if i % 10 < 5 else "".join(reversed(prose(9, i % 10))), "xy"[i % 10 >= 5]) for i in range(3000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    taken = []
+    monkeypatch.setattr(language_id, "fit", lambda t, y: taken.append(list(zip(t, y))))
+    language_id.train(d, max_rows=20)
+    assert sorted(taken.pop()) == sorted({(min(t for j, t, _ in rows if j == i), "xy"[i >= 5]) for i in range(10)})
+    language_id.train(d, max_rows=20, max_bytes=1000)
+    assert 0 < sum(len(t) for t, _ in taken.pop()) <= 1000
+    long = d.union(spark.createDataFrame([(50 + i, "a b " * 100, "z") for i in range(9)], d.schema))
+    language_id.train(long, max_rows=20, max_bytes=1600)  # none of the long texts
+    assert {y for _, y in taken.pop()} == {"x", "y"}
+    seen = []
+    monkeypatch.setattr(quality_model, "fit", lambda x, y: seen.append((len(x), sorted(y))))
+    labels = spark.createDataFrame([(i % 10, int(i % 10 < 5)) for i in range(300)], "doc_id long, quality int")
+    quality_model.train(d, labels, max_rows=20)
+    quality_model.train(d, labels, max_rows=4)
+    assert [n for n, _ in seen] == [10, 4] and seen[0][1] == [0] * 5 + [1] * 5
+
+
+def test_language_agrees_with_a_plain_model(spark, docs, corpus, prose):
+    """Every row's label, score and runs, by all label sequences of its lines (short ones) with the model's own weights."""
+    texts = [prose(30, i) for i in range(40)] + ["".join(reversed(prose(30, i))) for i in range(40)]
+    names, table, trans = model = language_id.fit(texts, ["x"] * 40 + ["y"] * 40)
+    odd = [(i, t) for i, t in corpus if t is None or max((len(x.split()) for x in t.split("\n")), default=0) <= 10]
+    odd += [(900 + i, "\n".join(prose(r, 10 * i + r) if r % 2 else "".join(reversed(prose(r, r))) for r in range(1, 9))) for i in range(6)] + [(905, "the of and"), (905, "the of and")]
+    got = sorted((r["doc_id"], r["lang_pred"], round(r["score"], 4)) for r in language_id.identify(spark.createDataFrame(odd, "doc_id long, text string").repartition(3), model).collect())
+    want = []
+    for i, t in odd:
+        total, n = np.zeros(2), 0
+        for line in (t or "").split("\n"):
+            words = [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w]
+            if not words:
+                continue
+            e = []
+            for w in words:
+                b = np.frombuffer(w.encode().lower(), np.uint8)
+                e.append(language_id.emissions(language_id.features(b, np.array([0]), np.array([len(b)])), table)[0].astype(float))
+            p = brute_marginals(np.array(e), trans)
+            own = np.array([any(c.isalpha() for c in w) for w in words])
+            total, n = total + p[own].sum(0), n + int(own.sum())
+        want.append((i, names[int(total.argmax())] if n else "und", round(total.max() / n, 4) if n else 0.0))
+    assert len(got) == len(want) and all(a[:2] == b[:2] and abs(a[2] - b[2]) < 2e-3 for a, b in zip(got, sorted(want)))
+
+
+def test_quality_agrees_with_plain_counts(spark, corpus):
+    """Every row's score, from counts made one text at a time in plain Python."""
+    r = np.random.default_rng(4)
+    model = r.normal(size=13) * 0.1, np.abs(r.normal(size=13)) + 0.5, r.normal(size=13), 0.3
+    rows = [*corpus, (0, "again"), (0, "again"), (999, "a b c d e\na b c d e\n\nA! 5 | # x."), (998, "w " * 30_000)]
+    got = sorted((x["doc_id"], round(x["score"], 5), x["predicted"]) for x in quality_model.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), model).collect())
+    want = []
+    for i, t in rows:
+        b = (t or "").encode()
+        w = re.findall(rb"[^\x20\x09-\x0D]+", b)
+        low = [x.lower() for x in w]
+        n, size, count = max(len(w), 1), max(len(b), 1), lambda s, b=b: sum(c in s for c in b)
+        grams = [tuple(low[j : j + 5]) for j in range(len(low) - 4)]
+        times = Counter(grams)
+        cover = {j + x for j, g in enumerate(grams) if times[g] > 1 for x in range(5)}
+        lines = [x for x in b.split(b"\n") if x]
+        letters = sum(c >= 128 or chr(c).isalpha() for c in b)
+        x = [np.log1p(len(w)), min(len(b) / n, 40), count(b"#*$%&<>") / n, count(b"!") / n, count(b"|") / n, sum(65 <= c <= 90 for c in b) / max(letters, 1), sum(48 <= c <= 57 for c in b) / size]
+        x += [(len(lines) - len(set(lines))) / max(len(lines), 1), len(cover) / n, len(set(low)) / n, np.log1p(len(w) / max(len(lines), 1)), min(count(b".?") / n, 1), 1 - letters / size]
+        s = 1 / (1 + np.exp(-(np.clip((np.array(x) - model[0]) / model[1], -8, 8) @ model[2] - model[3])) * 0.7 / 0.3)
+        want.append((i, s, int(s >= 0.3)))
+    assert len(got) == len(want) and all(a[0] == b[0] and abs(a[1] - b[1]) < 1e-4 and (a[2] == b[2] or abs(b[1] - 0.3) < 1e-6) for a, b in zip(got, sorted(want)))

@@ -1,6 +1,7 @@
 """Quality rules, URL filters, decontamination and sharding."""
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def test_shards(spark, docs, tmp_path):
     store = sharding.Store(spark, f"file://{tmp_path}/s")
     assert store.version() == 0 and store.read(docs.schema).isEmpty()
     for i in range(3):
-        store.append(docs, small_rows=20, target=200_000)
+        store.append(docs, small_bytes=4000, target=200_000)
     small = store.manifest().count()
     v = store.compact(docs.schema, target=200_000)
     assert v == 4 and 0 < store.manifest().count() < small
@@ -102,10 +103,91 @@ def test_shards(spark, docs, tmp_path):
     assert store.read(docs.schema, 1).count() == docs.count()  # an old version still reads
     assert store.manifest().agg(F.sum("rows")).first()[0] == 3 * docs.count()
     assert store.compact(docs.schema, target=1) == v  # nothing to merge
-    with pytest.raises(RuntimeError):
+    with pytest.raises(sharding.Conflict):
         store.commit(store.manifest(v).drop("version"), v - 1)  # that version is there
-    with pytest.raises(ValueError):
-        store.append(docs.withColumn("_run", F.lit(1)))
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_one_of_two_writers_wins(spark, docs, tmp_path, plain, monkeypatch):
+    store = sharding.Store(spark, f"file://{tmp_path}/s")
+    store.append(docs.limit(3))
+    drafts = [store.draft(store.manifest(1).drop("version").withColumn("rows", F.lit(i).cast("long")), 2) for i in range(8)]
+    if plain:
+        with ThreadPoolExecutor(8) as pool:
+            futures = [pool.submit(store.publish, d, 2) for d in drafts]
+        errors = [f.exception() for f in futures]
+    else:  # the way of other file systems; on a local one it is only safe in turn
+        monkeypatch.setattr(sharding.Store, "_fs", lambda self, f=sharding.Store._fs: Named(f(self)))
+        errors = []
+        for d in drafts:
+            try:
+                store.publish(d, 2)
+                errors.append(None)
+            except sharding.Conflict as e:
+                errors.append(e)
+    assert [type(e) for e in errors].count(sharding.Conflict) == 7 and errors.count(None) == 1
+    assert store.version() == 2 and [r["rows"] for r in store.manifest(2).collect()][0] == errors.index(None)
+
+
+class Named:
+    """A file system under another name."""
+
+    def __init__(self, fs):
+        self.fs = fs
+
+    def getUri(self):
+        return self
+
+    def getScheme(self):
+        return "other"
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+
+def test_a_late_writer_commits_on_top(spark, docs, tmp_path, monkeypatch):
+    store = sharding.Store(spark, f"file://{tmp_path}/s")
+    for _ in range(2):
+        store.append(docs, small_bytes=4000, target=200_000)
+    # another append is committed while an append, and then a compaction, are under way
+    late = [store.version()]
+    monkeypatch.setattr(store, "version", lambda: late.pop() if late else sharding.Store.version(store))
+    sharding.Store(spark, store.root).append(docs)
+    assert store.append(docs) == 4
+    late.append(store.version())
+    sharding.Store(spark, store.root).append(docs)
+    assert store.compact(docs.schema, target=200_000) == 6
+    assert store.read(docs.schema).count() == 5 * docs.count()
+    # both merge the same shards: the second gives way
+    late.append(4)
+    with pytest.raises(sharding.Conflict):
+        store.compact(docs.schema, target=200_000)
+    assert store.read(docs.schema).count() == 5 * docs.count()
+
+
+def test_shards_of_odd_rows(spark, tmp_path):
+    """Names that the store uses itself, nulls in every column, repeated rows, a long text."""
+    names = ["file", "tier", "Version", "run", "shard", "rows", "_metadata", "text"]
+    data = [(None,) * 8, ("a",) * 8, ("a",) * 8, *[(str(i),) * 7 + ("x" * 200_000 if i == 7 else "",) for i in range(40)]]
+    d = spark.createDataFrame(data, ", ".join(f"{n} string" for n in names)).repartition(4)
+    store = sharding.Store(spark, f"file://{tmp_path}/o")
+    for _ in range(2):
+        store.append(d, small_bytes=10_000, target=1 << 20)
+    assert store.compact(d.schema, target=1 << 20) == 3
+    back = store.read(d.schema)
+    assert back.columns == names and back.exceptAll(d.union(d)).isEmpty() and back.count() == 2 * len(data)
+    assert store.read(d.schema, with_file=True).columns == [*names, "shard_"]
+
+
+def test_each_run_is_one_file(spark, docs, tmp_path):
+    store = sharding.Store(spark, f"file://{tmp_path}/r")
+    for _ in range(4):
+        store.append(docs, small_bytes=3000, target=40_000)
+    plan = store.plan(store.manifest(), 40_000).collect()
+    before = {r["file"] for r in store.manifest().collect()}
+    store.compact(docs.schema, target=40_000)
+    new = {r["file"] for r in store.manifest().collect()} - before
+    assert len(new) == len({r["run"] for r in plan}) > 1
 
 
 def test_shards_of_an_empty_table(spark, docs, tmp_path):
