@@ -266,7 +266,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5
     # heavy: the classes of which enough is shared, with their shared shingles from the rarest on
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(cells.sum()) // RANGE)
     packed = own.select("text").mapInArrow(_packed(k, percent, light, ranges, warm), "part int, n int, hashes binary, members binary, classes binary")
-    shared = packed.repartition(ranges, "part").sortWithinPartitions("part").mapInArrow(_shared(ranges), "s1 long, k long, c int")
+    shared = packed.repartitionById(ranges, "part").sortWithinPartitions("part").mapInArrow(_shared(ranges), "s1 long, k long, c int")
     by_class = shared.groupBy("s1").agg(F.collect_list(F.struct("c", "k")).alias("e")).where(F.size("e") > 0)
     cands = reps.select("id", "s1", F.col("size").cast("long").alias("n")).join(by_class, "s1").where(100 * F.size("e") >= percent * F.col("n"))
     cands = materialize(cands.select("id", "n", F.array_sort("e").alias("e")), "shared")
