@@ -6,12 +6,14 @@ import gc
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_scratch: list[str] = []
+#: Lists of the scratch paths that are made while `collecting` is active, the innermost last.
+_collected: list[list[str]] = []
 
 
 def ship(name: str) -> None:
@@ -24,26 +26,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset (tests on one machine)."""
+    """The folder named in spark.checkpoint.dir. Where that is unset, a temporary one if all runs on this machine; on a cluster that raises."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="coverloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, label: str, stays: bool = False) -> str:
-    """A new path in the shared folder; release deletes it unless it stays."""
-    path = f"{shared_dir(spark)}/coverloom/{label}-{uuid.uuid4().hex}"
-    if not stays:
-        _scratch.append(path)
-    return path
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends, or before by `delete`."""
+    folder = f"{shared_dir(spark)}/coverloom/{uuid.uuid4().hex}"
+    path, fs = _path(spark, folder)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)  # only what is there can be marked
+    for made in _collected[-1:]:
+        made.append(folder)
+    return f"{folder}/{label}"
 
 
-def materialize(df: DataFrame, label: str, stays: bool = False) -> DataFrame:
+@contextmanager
+def collecting():
+    """The folders of the scratch paths that are made within, as a list."""
+    _collected.append([])
+    try:
+        yield _collected[-1]
+    finally:
+        _collected.pop()
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
     spark = df.sparkSession
-    path = scratch_path(spark, label, stays)
+    path = scratch_path(spark, label)
     df.write.parquet(path)
     free_shuffles(spark)
     out = spark.read.schema(df.schema).parquet(path)
@@ -54,7 +71,7 @@ def materialize(df: DataFrame, label: str, stays: bool = False) -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Delete scratch tables that no later step reads."""
     for t in tables:
-        _delete(t.sparkSession, t._scratch)
+        delete(t.sparkSession, [t._scratch.rpartition("/")[0]])
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -63,15 +80,16 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def release(spark: SparkSession) -> None:
-    """Delete all scratch tables made so far. Only for callers whose earlier results have all been written elsewhere."""
-    while _scratch:
-        _delete(spark, _scratch.pop())
+def delete(spark: SparkSession, names: list[str]) -> None:
+    """Delete these folders of scratch paths. Only for callers whose results that read them have been written elsewhere."""
+    for name in names:
+        path, fs = _path(spark, name)
+        fs.delete(path, True)
 
 
-def _delete(spark: SparkSession, name: str) -> None:
+def _path(spark: SparkSession, name: str):
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def bounded(df: DataFrame, limit: int) -> DataFrame:
