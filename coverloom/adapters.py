@@ -69,9 +69,29 @@ class Tables:
         from pyspark.sql import Window as W
 
         w = W.partitionBy("sample").orderBy("conv_id", "turn")
-        rows = self.raw("conversations").select(F.concat(F.lit("C"), F.col("conv_id") % 16).alias("sample"), "conv_id", "turn", "role")
+        rows = self.raw("conversations").select(F.concat(F.lit("C"), F.floor(F.col("conv_id") / 8).cast("string")).alias("sample"), "conv_id", "turn", "role")
         return rows.select("sample", F.concat("role", F.lit(" "), (F.col("conv_id") / 2).cast("bigint").cast("string")).alias("read"), F.row_number().over(w).cast("bigint").alias("number"))
 
+    def fastq(self) -> DataFrame:
+        """The same reads as lines of read files: (sample, number, i, value)."""
+        four = F.array(F.concat(F.lit("@"), "read"), F.concat(F.lit("ACGT"), "number"), F.lit("+"), F.lit("!!!!"))
+        return self.reads().select("sample", "number", F.posexplode(four).alias("i", "value"))
+
+    def genome_files(self) -> DataFrame:
+        """Parts as contigs of genomes' files, one for each size: (bin, i, p_partkey, value)."""
+        two = F.array(F.concat(F.lit(">"), "p_name"), F.concat("p_brand", F.lit(">"), "p_type"))
+        return self.raw("part").select(F.concat(F.lit("B"), "p_size").alias("bin"), "p_partkey", F.posexplode(two).alias("i", "value"))
+
+    def some_hits(self) -> DataFrame:
+        """query_hits where every seventh sample hit nothing."""
+        return self.query_hits().where(self.number("query_name") % 7 != 0)
+
+    def fine(self) -> DataFrame:
+        """unbinned with sequences told apart by a part's place and state in its order, so that many are in one sample alone."""
+        rows = self.raw("lineitem").groupBy("l_suppkey", "l_partkey", "l_returnflag", "l_linestatus", "l_linenumber").agg(F.count(F.lit(1)).alias("num_hits"), F.sum("l_quantity").alias("coverage"))
+        name = F.concat(F.lit("P"), "l_partkey", F.lit("."), "l_returnflag", "l_linestatus", "l_linenumber")
+        return rows.select(F.lit("g").alias("gene"), F.concat(F.lit("S"), "l_suppkey").alias("sample"), name.alias("sequence"), "num_hits", "coverage", F.lit("Root").alias("taxonomy"))
+
     def lines(self) -> DataFrame:
         """Lines of documents as of read files: (sample, line_no, value)."""
         each = self.raw("documents").select(F.concat(F.lit("D"), "doc_id").alias("sample"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "value"))
@@ -91,9 +111,11 @@ SQL = {
     "binned": "SELECT gene, sample, sequence, num_hits, coverage, taxonomy, CASE WHEN p % 6 = 0 THEN 'G' || (p % 5) || '_protein,G' || (p % 5 + 5) || '_protein' ELSE 'G' || (p % 5) || '_protein' END AS found_in FROM (SELECT *, substr(sequence, 2)::BIGINT AS p FROM otu) WHERE p % 3 = 0",
     "unbinned": "SELECT gene, sample, sequence, num_hits, coverage, taxonomy, NULL::VARCHAR AS found_in FROM (SELECT *, substr(sequence, 2)::BIGINT AS p FROM otu) WHERE p % 3 <> 0",
     "recovered": "SELECT gene, 'coassembly_' || (p % 7) AS coassembly, 'genome_' || (p % 3) AS genome, CASE WHEN p % 20 = 0 THEN sequence || 'x' ELSE sequence END AS sequence, taxonomy FROM (SELECT DISTINCT gene, sequence, taxonomy, substr(sequence, 2)::BIGINT AS p FROM otu) WHERE p % 4 = 0",
-    "reads": "SELECT 'C' || (conv_id % 16) AS sample, role || ' ' || (conv_id // 2) AS read, row_number() OVER (PARTITION BY conv_id % 16 ORDER BY conv_id, turn) AS number FROM conversations",
+    "reads": "SELECT 'C' || (conv_id // 8) AS sample, role || ' ' || (conv_id // 2) AS read, row_number() OVER (PARTITION BY conv_id // 8 ORDER BY conv_id, turn) AS number FROM conversations",
     "lines": "SELECT sample, row_number() OVER (PARTITION BY sample ORDER BY i) AS line_no, value FROM (SELECT 'D' || doc_id AS sample, unnest(string_split(coalesce(text, ''), chr(10))) AS value, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)",
     "bins": "SELECT 'bin_' || s_suppkey AS Name, abs(round(s_acctbal * 100))::BIGINT % 101 AS comp, CASE WHEN s_suppkey % 17 <> 0 THEN abs(round(s_acctbal * 100))::BIGINT % 23 END AS cont FROM supplier",
+    "some_hits": "SELECT * FROM query_hits WHERE substr(query_name, 2)::BIGINT % 7 <> 0",
+    "fine": "SELECT 'S' || l_suppkey AS sample, 'P' || l_partkey || '.' || l_returnflag || l_linestatus || l_linenumber AS sequence, sum(l_quantity) AS coverage FROM lineitem GROUP BY ALL",
     # dense ids of the unbinned sequences
     "targets": "SELECT u.*, t.target FROM unbinned u JOIN (SELECT gene, sequence, row_number() OVER (ORDER BY gene, sequence) - 1 AS target FROM (SELECT DISTINCT gene, sequence FROM unbinned)) t USING (gene, sequence)",
     "pairs": "SELECT a.sample AS s1, b.sample AS s2, list_sort(list(a.target)) AS ids FROM targets a JOIN targets b ON a.target = b.target AND a.sample < b.sample WHERE a.coverage + b.coverage > 90 GROUP BY a.sample, b.sample",
@@ -102,7 +124,7 @@ SQL = {
     "distances": "SELECT x AS query_name, y AS match_name, c / (p.n + q.n - c) AS jaccard FROM (SELECT a.sample AS x, b.sample AS y, count(*) AS c FROM (SELECT DISTINCT sample, sequence FROM otu) a JOIN (SELECT DISTINCT sample, sequence FROM otu) b ON a.sequence = b.sequence AND a.sample < b.sample GROUP BY ALL) JOIN (SELECT sample, count(DISTINCT sequence) AS n FROM otu GROUP BY sample) p ON p.sample = x JOIN (SELECT sample, count(DISTINCT sequence) AS n FROM otu GROUP BY sample) q ON q.sample = y WHERE c / (p.n + q.n - c) >= 0.1",
 }
 #: What each view is made of.
-_USES = {"query_hits": ["otu"], "binned": ["otu"], "unbinned": ["otu"], "recovered": ["otu"], "targets": ["otu", "unbinned"], "pairs": ["otu", "unbinned", "targets"], "pools": ["otu", "unbinned", "targets"], "distances": ["otu"]}
+_USES = {"query_hits": ["otu"], "some_hits": ["otu", "query_hits"], "binned": ["otu"], "unbinned": ["otu"], "recovered": ["otu"], "targets": ["otu", "unbinned"], "pairs": ["otu", "unbinned", "targets"], "pools": ["otu", "unbinned", "targets"], "distances": ["otu"]}
 
 
 def with_views(body: str, *views: str, recursive: bool = False) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -28,18 +30,15 @@ def matched(edges: DataFrame, min_samples: int = 2, min_targets: int = 1) -> Dat
     return own.select(sample_key(F.col("samples")).alias("key"), F.array_sort("samples").alias("samples"), "target_ids")
 
 
-def _longer(samples: str, n: int):
-    """All n-combinations of a sorted sample array, as explodes of ascending places."""
-    places = F.sequence(F.lit(0), F.size(samples) - 1)
-
-    def grow(df: DataFrame) -> DataFrame:
-        out = df.withColumn("_c", F.array().cast("array<int>"))
-        for _ in range(n):
-            last = F.coalesce(F.try_element_at("_c", F.lit(-1)), F.lit(-1))
-            out = out.withColumn("_c", F.explode(F.transform(F.filter(places, lambda i: i > last), lambda i: F.concat("_c", F.array(i)))))
-        return out.withColumn("samples", F.transform("_c", lambda i: F.get(samples, i))).drop("_c")
-
-    return grow
+def _combinations(pools: DataFrame, n: int) -> DataFrame:
+    """(key, target_ids) of all n-combinations of sorted sample arrays. Each step takes one sample and goes on with those behind it; the last and longest carries no array of samples."""
+    out = pools.select("target_ids", F.lit("").alias("key"), F.col("samples").alias("rest"))
+    for left in range(n - 1, -1, -1):
+        out = out.select("target_ids", "key", "rest", F.posexplode("rest").alias("p", "s"))
+        key = F.when(F.col("key") == "", F.col("s")).otherwise(F.concat_ws(",", "key", "s"))
+        rest = F.slice("rest", F.col("p") + 2, F.size("rest"))
+        out = out.select("target_ids", key.alias("key"), rest.alias("rest")).where(F.size("rest") >= left) if left else out.select("target_ids", key.alias("key"))
+    return out
 
 
 def pooled(edges: DataFrame, min_samples: int = 2, min_targets: int = 1, max_combined: int = 100) -> DataFrame:
@@ -47,14 +46,11 @@ def pooled(edges: DataFrame, min_samples: int = 2, min_targets: int = 1, max_com
     pools = edges.where((F.col("style") == "pool") & (F.col("cluster_size") >= min_samples) & (F.size("samples") <= max_combined))
     pools = pools.select("cluster_size", F.array_sort("samples").alias("samples"), "target_ids")
     sizes = [r[0] for r in pools.select("cluster_size").distinct().orderBy("cluster_size").collect()]  # the few set sizes
-    out = None
-    for n in sizes:
-        part = _longer("samples", n)(pools.where(F.col("cluster_size") == n)).select(sample_key(F.col("samples")).alias("key"), "samples", "target_ids")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    parts = [_combinations(pools.where((F.col("cluster_size") == n) & (F.size("samples") >= n)), n) for n in sizes]
+    if not parts:
         return pools.select(sample_key(F.col("samples")).alias("key"), "samples", "target_ids").where(F.lit(False))
-    got = out.groupBy("key", "samples").agg(F.flatten(F.collect_list("target_ids")).alias("target_ids"))
-    return got.where(F.size("target_ids") >= min_targets)
+    got = reduce(DataFrame.unionByName, parts).groupBy("key").agg(F.flatten(F.collect_list("target_ids")).alias("target_ids"))
+    return got.where(F.size("target_ids") >= min_targets).select("key", F.split("key", ",").alias("samples"), "target_ids")
 
 
 def of_sources(edges: DataFrame, samples: list[str] | None = None) -> DataFrame:
@@ -104,7 +100,8 @@ def greedy(candidates: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """Candidates taken in order of score (falling), size and key, each if none of its samples is in one taken before it with as many samples.
 
     Few candidates are gone through in one task for each length. Otherwise rounds take every candidate that comes first for all
-    its samples, and drop those that share a sample with a taken one, until none is left; this gives the same choice.
+    its samples, and drop those that share a sample with a taken one, until none is left; this gives the same choice. The
+    candidates are read more than once and should be a written table.
     """
     thin = candidates.select("key", "length", "samples", "total_targets", "total_size")
     most = thin.groupBy("length").count().agg(F.max("count")).first()[0] or 0

@@ -17,8 +17,10 @@ def _ids(distinct: bool = False) -> Column:
 
 
 def pairs(targets: DataFrame, min_coverage: float = 10) -> DataFrame:
-    """`match` edges: unordered sample pairs whose coverages of a target sum to over min_coverage. An equi-join on the target with the order of samples as residual, never a nested loop."""
+    """`match` edges: unordered sample pairs whose coverages of a target sum to over min_coverage. An equi-join on the target with the order of samples as residual, never a nested loop; rows that don't reach the minimum even with their target's largest coverage stay out of it."""
     t = targets.select("target", "sample", "coverage")
+    most = t.groupBy("target").agg(F.max("coverage").alias("most"), F.min("sample").alias("x"), F.max("sample").alias("y")).where("x <> y").select("target", "most")
+    t = t.join(most, "target").where(F.col("coverage") + F.col("most") > min_coverage).drop("most")
     a, b = t.alias("a"), t.alias("b")
     both = a.join(b, F.col("a.target") == F.col("b.target")).where("a.sample < b.sample").where(F.col("a.coverage") + F.col("b.coverage") > min_coverage)
     got = both.groupBy(F.col("a.sample").alias("s1"), F.col("b.sample").alias("s2")).agg(F.array_sort(F.collect_list("a.target")).alias("target_ids"))

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from itertools import combinations, islice
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from coverloom.functions.text import clean_sequence, reverse_complement
+from coverloom.scratch import cut, small
 
 
 def sketch(otu: DataFrame, k: int = 60, taxa: str | None = None) -> DataFrame:
@@ -19,14 +22,69 @@ def sketch(otu: DataFrame, k: int = 60, taxa: str | None = None) -> DataFrame:
     return each.select("sample", F.least("kmer", reverse_complement(F.col("kmer"))).alias("kmer")).distinct()
 
 
-def jaccard(sketches: DataFrame, threshold: float = 0.1) -> DataFrame:
-    """(query_name, match_name, jaccard) of sample pairs that share k-mers, at or over the threshold; an equi-join on the k-mer, so that samples without a common k-mer never meet."""
+#: Samples that share a k-mer from which on it is compared by blocks of samples, and samples of a block.
+HOT, BLOCK = 5_000, 512
+
+
+def _by_blocks(hot: DataFrame, sizes: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(s, t, h): pairs of samples, s < t, with the number h of hot k-mers that they share, for all pairs that can reach the threshold if they also share all their other k-mers.
+
+    hot: (kmer, sample); sizes: (sample, n, h: its hot k-mers). A task has two blocks of samples and multiplies their bit matrices, so that a k-mer that all samples have makes no row for each pair.
+    """
+    blocks = max(1, -(-sizes.count() // block))
+    of = F.pmod(F.xxhash64("sample"), F.lit(blocks)).cast("int")
+    lists = hot.groupBy("sample").agg(F.collect_list(F.xxhash64("kmer")).alias("k"))
+    rows = sizes.join(lists, "sample", "left").withColumn("b", of)
+    rows = rows.select("sample", "n", "h", "k", "b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("o"))
+    rows = rows.select("sample", "n", "h", "k", "b", F.least("b", "o").alias("x"), F.greatest("b", "o").alias("y"))
+
+    def multiply(key, rows):
+        x, y = key
+        rows = rows.sort_values("sample").reset_index(drop=True)
+        ids = [np.asarray(k if k is not None else [], np.int64) for k in rows["k"]]
+        words, at = np.unique(np.concatenate(ids), return_inverse=True)
+        owner = np.repeat(np.arange(len(ids)), [len(k) for k in ids])
+        name, n, cold = rows["sample"].to_numpy(), rows["n"].to_numpy(), (rows["n"] - rows["h"]).to_numpy()
+        left, right = np.flatnonzero(rows["b"] == x), np.flatnonzero(rows["b"] == y)
+        both = np.zeros((len(left), len(right)), np.float32)
+        for a in range(0, len(words), 4096):
+            m = np.zeros((len(ids), min(4096, len(words) - a)), np.float32)
+            own = (at >= a) & (at < a + 4096)
+            m[owner[own], at[own] - a] = 1
+            both += m[left] @ m[right].T
+        most = both + np.minimum(cold[left][:, None], cold[right][None])
+        # a little slack covers rounding, the exact test comes last
+        i, j = np.nonzero(most * (1 + threshold) >= threshold * (n[left][:, None] + n[right][None]) - 1e-6)
+        i, j, h = left[i], right[j], both[i, j]
+        keep = name[i] < name[j] if x == y else np.ones(len(i), bool)
+        i, j, h = i[keep], j[keep], h[keep]
+        turn = name[i] > name[j]
+        return pd.DataFrame({"s": np.where(turn, name[j], name[i]), "t": np.where(turn, name[i], name[j]), "h": h.astype(np.int64)})
+
+    return rows.groupBy("x", "y").applyInPandas(multiply, "s string, t string, h long")
+
+
+def jaccard(sketches: DataFrame, threshold: float = 0.1, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """(query_name, match_name, jaccard) of sample pairs that share k-mers, at or over the threshold; an equi-join on the k-mer, so that samples without a common k-mer never meet. K-mers of over `hot` samples are compared by blocks of samples instead."""
+    sketches = cut(sketches, "sketches")  # read again and again
     n = sketches.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
-    a, b = sketches.alias("a"), sketches.alias("b")
-    both = a.join(b, F.col("a.kmer") == F.col("b.kmer")).where("a.sample < b.sample").groupBy(F.col("a.sample").alias("query_name"), F.col("b.sample").alias("match_name")).agg(F.count(F.lit(1)).alias("i"))
-    sized = both.join(n.select(F.col("sample").alias("query_name"), F.col("n").alias("n1")), "query_name").join(n.select(F.col("sample").alias("match_name"), F.col("n").alias("n2")), "match_name")
+    common = cut(sketches.groupBy("kmer").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("kmer"), "common")
+    many = not common.isEmpty()
+    rest = sketches.join(small(common), "kmer", "left_anti") if many else sketches
+    rest = rest.join(n, "sample")
+    a, b = rest.alias("a"), rest.alias("b")
+    met = a.join(b, F.col("a.kmer") == F.col("b.kmer")).where("a.sample < b.sample").where(F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-6)
+    both = met.groupBy(F.col("a.sample").alias("query_name"), F.col("b.sample").alias("match_name"), F.col("a.n").alias("n1"), F.col("b.n").alias("n2")).agg(F.count(F.lit(1)).alias("i"))
+    if many:
+        own = sketches.join(small(common), "kmer", "left_semi")
+        h = own.groupBy("sample").agg(F.count(F.lit(1)).alias("h"))
+        sizes = cut(n.join(h, "sample", "left").fillna(0, ["h"]), "sizes")
+        pairs = _by_blocks(own, sizes, threshold, block)
+        of = lambda s, c: sizes.select(F.col("sample").alias(s), F.col("n").alias(c))
+        pairs = pairs.join(of("s", "n1"), "s").join(of("t", "n2"), "t").select(F.col("s").alias("query_name"), F.col("t").alias("match_name"), "n1", "n2", "h")
+        both = pairs.join(both.drop("n1", "n2"), ["query_name", "match_name"], "left").withColumn("i", F.col("h") + F.coalesce("i", F.lit(0))).where("i > 0")
     value = F.col("i") / (F.col("n1") + F.col("n2") - F.col("i"))
-    return filtered(sized.select("query_name", "match_name", value.alias("jaccard")), threshold)
+    return filtered(both.select("query_name", "match_name", value.alias("jaccard")), threshold)
 
 
 def filtered(distances: DataFrame, threshold: float = 0.1) -> DataFrame:

@@ -51,6 +51,11 @@ def deinterleave(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines.where(odd == 0), lines.where(odd == 1)
 
 
+def renumbered(mates: DataFrame) -> DataFrame:
+    """Lines that deinterleave has taken out, counted on without the gaps of four."""
+    return mates.withColumn("line_no", (F.floor((F.col("line_no") - 1) / 8) * 4 + (F.col("line_no") - 1) % 4 + 1).cast("bigint"))
+
+
 def sample_names(files: list[str]) -> dict[str, str]:
     """Sample name -> file, by the file name without folder, compression, type and mate mark. Two files of one name are an error."""
     import re

@@ -63,7 +63,11 @@ def _files(samples: str, reads: DataFrame, column: str) -> DataFrame:
     )
 
 
-def commands(clusters: DataFrame, reads: DataFrame, out: str, assemble_threads: int = 64, assemble_memory: int = 500, recover_threads: int = 32, recover_memory: int = 250, fast: bool = False, program: str = "assembler") -> DataFrame:
+#: Fixed value: the external assembler's program.
+ASSEMBLER = "aviary"
+
+
+def commands(clusters: DataFrame, reads: DataFrame, out: str, assemble_threads: int = 64, assemble_memory: int = 500, recover_threads: int = 32, recover_memory: int = 250, fast: bool = False, program: str = ASSEMBLER) -> DataFrame:
     """(coassembly, assemble, recover): shell commands of the external assembler; reads: (sample, r1, r2). The trailing space is part of the format."""
     t = clusters.select("coassembly", "samples", "recover_samples")
     for samples in ("samples", "recover_samples"):

@@ -17,16 +17,25 @@ _WEIGHTS = "total AS (SELECT sample, gene, sum(coverage) AS total FROM (SELECT s
 _CAND = "cand AS (SELECT s1 || ',' || s2 AS samples, s1, s2, ids FROM pairs)"
 _TRIPLES = "triples AS (SELECT array_to_string([samples[i], samples[j], samples[k]], ',') AS samples, count(*)::INT AS pools, sum(len(ids))::INT AS n_targets FROM pools, range(1, 200) AS x(i), range(1, 200) AS y(j), range(1, 200) AS z(k) WHERE i < j AND j < k AND k <= len(samples) GROUP BY ALL)"
 _SCORED = _CAND + ", scored AS (SELECT c.samples, s1, s2, ids, 2 AS length, len(ids)::DOUBLE AS total_targets, (coalesce(a.read_size, 0) + coalesce(b.read_size, 0))::BIGINT AS total_size FROM cand c LEFT JOIN read_size a ON a.sample = s1 LEFT JOIN read_size b ON b.sample = s2)"
-_GREEDY = _SCORED + """, lined AS (
-  SELECT *, row_number() OVER (ORDER BY total_targets DESC, total_size, samples) AS i FROM scored
-), walk AS (
+
+
+def _walk(scored: str, chosen: str) -> str:
+    """The greedy choice among the pairs of one CTE, as another."""
+    return f"""{chosen}_lined AS (
+  SELECT *, row_number() OVER (ORDER BY total_targets DESC, total_size, samples) AS i FROM {scored}
+), {chosen}_walk AS (
   SELECT 0::BIGINT AS i, []::VARCHAR[] AS used, NULL::VARCHAR AS took
   UNION ALL
   SELECT l.i, CASE WHEN list_contains(used, s1) OR list_contains(used, s2) THEN used ELSE used || [s1, s2] END,
          CASE WHEN list_contains(used, s1) OR list_contains(used, s2) THEN NULL ELSE l.samples END
-  FROM walk w JOIN lined l ON l.i = w.i + 1
-), chosen AS (SELECT s.* FROM scored s WHERE samples IN (SELECT took FROM walk))"""
+  FROM {chosen}_walk w JOIN {chosen}_lined l ON l.i = w.i + 1
+), {chosen} AS (SELECT s.* FROM {scored} s WHERE samples IN (SELECT took FROM {chosen}_walk))"""
+
+
+_GREEDY = _SCORED + ", " + _walk("scored", "chosen")
 _RECOVER = "has AS (SELECT DISTINCT sample, unnest(ids) AS target FROM (SELECT s1 AS sample, ids FROM pairs UNION ALL SELECT s2, ids FROM pairs)), shared AS (SELECT samples, sample, count(*) AS n FROM (SELECT samples, unnest(ids) AS target FROM {chosen}) c JOIN has USING (target) GROUP BY ALL), top AS (SELECT samples, sample, row_number() OVER (PARTITION BY samples ORDER BY n DESC, sample) AS k FROM shared QUALIFY k <= 6)"
+#: Ranked clusters of the chosen pairs.
+_FINISHED = "r AS (SELECT c.samples, any_value(total_targets) AS total_targets, any_value(total_size) AS total_size, string_split(c.samples, ',') || list_filter(list(sample ORDER BY k), lambda s: NOT list_contains(string_split(c.samples, ','), s)) AS rec FROM {chosen} c JOIN top USING (samples) GROUP BY c.samples) SELECT samples, 2 AS length, {total} AS total_targets, total_size, array_to_string(list_sort(rec[1:6]), ',') AS recover_samples, 'coassembly_' || (row_number() OVER (ORDER BY total_targets DESC, total_size, samples DESC) - 1) AS coassembly FROM r"
 _HAY = """member AS (SELECT coassembly, unnest(string_split(samples, ',')) AS sample FROM groups
 ), edge AS (
   SELECT g.coassembly, p.s1, p.s2, p.ids FROM pairs p JOIN member g ON g.sample = p.s1 JOIN member h ON h.sample = p.s2 AND h.coassembly = g.coassembly
@@ -55,6 +64,10 @@ ORACLE = {
     "appraise_query_binned": with_views(f"{_APPRAISED.format(otu='otu')} SELECT {_OTU}, found_in FROM app WHERE divergence <= (1 - 0.86::DOUBLE) * 60", "otu", "query_hits"),
     "appraise_query_unbinned": with_views(f"{_APPRAISED.format(otu='otu')} SELECT {_OTU}, NULL::VARCHAR AS found_in FROM otu LEFT JOIN app USING ({_OTU}) WHERE NOT coalesce(divergence <= (1 - 0.86::DOUBLE) * 60, false)", "otu", "query_hits"),
     "appraise_no_genomes": with_views("SELECT *, '' AS found_in FROM otu WHERE gene <> 'Brand#3'", "otu"),
+    "appraise_by_sample_binned": with_views(f"{_APPRAISED.format(otu='otu').replace('query_hits', 'some_hits')} SELECT {_OTU}, found_in FROM app WHERE divergence <= (1 - 0.86::DOUBLE) * 60", "otu", "some_hits"),
+    "appraise_by_sample_unbinned": with_views(f"{_APPRAISED.format(otu='otu').replace('query_hits', 'some_hits')} SELECT {_OTU}, NULL::VARCHAR AS found_in FROM otu LEFT JOIN app USING ({_OTU}) WHERE sample IN (SELECT query_name FROM some_hits) AND NOT coalesce(divergence <= (1 - 0.86::DOUBLE) * 60, false)", "otu", "some_hits"),
+    "appraise_combine": with_views(f"SELECT {_OTU}, found_in FROM binned UNION ALL SELECT {_OTU}, found_in FROM unbinned", "binned", "unbinned"),
+    "tables_as_text": with_views(f"SELECT {_OTU} FROM otu", "otu"),
     "appraise_update_union": with_views(f"{_APPRAISED.format(otu='unbinned')[:-1].replace('o.*', 'o.gene, o.sample, o.sequence, o.num_hits, o.coverage, o.taxonomy')}) SELECT * FROM binned UNION ALL SELECT {_OTU}, found_in FROM app WHERE divergence <= (1 - 0.86::DOUBLE) * 60", "otu", "query_hits", "binned", "unbinned"),
     "bad_marker_filter": with_views("SELECT * FROM otu WHERE NOT contains(concat_ws(chr(9), gene, sample, sequence, num_hits, coverage, taxonomy), 'Brand#2')", "otu"),
     "sample_rename": with_views("SELECT gene, sample, sequence FROM otu", "otu"),
@@ -64,7 +77,7 @@ ORACLE = {
     "edges_match_pairs": with_views(f"SELECT 'match' AS style, 2 AS cluster_size, s1 || ',' || s2 AS samples, {_IDS} FROM pairs", "pairs"),
     "edges_pool": with_views(f"SELECT 'pool' AS style, n AS cluster_size, array_to_string(samples, ',') AS samples, {_IDS} FROM pools", "pools"),
     "edges_single_directional": with_views(f"SELECT 'directional' AS style, 2 AS cluster_size, a || ',' || b AS samples, {_IDS} FROM (SELECT s.sample AS a, d.sample AS b, list(DISTINCT s.target) AS ids FROM targets s JOIN targets d ON s.target = d.target AND s.sample <> d.sample WHERE s.coverage > 90 GROUP BY ALL)", "targets"),
-    "edges_single_singleton": with_views(f"WITH strong AS (SELECT u.*, t.target FROM unbinned u JOIN (SELECT gene, sequence, row_number() OVER (ORDER BY gene, sequence) - 1 AS target FROM (SELECT DISTINCT gene, sequence FROM unbinned WHERE coverage > 100)) t USING (gene, sequence) WHERE coverage > 100) SELECT 'singleton' AS style, 1 AS cluster_size, sample AS samples, {_IDS} FROM (SELECT sample, list(DISTINCT target) AS ids FROM strong WHERE coverage > 110 AND target IN (SELECT target FROM strong GROUP BY target HAVING count(DISTINCT sample) = 1) GROUP BY sample)", "unbinned"),
+    "edges_single_singleton": with_views(f"WITH t AS (SELECT f.*, d.target FROM fine f JOIN (SELECT sequence, row_number() OVER (ORDER BY sequence) - 1 AS target FROM (SELECT DISTINCT sequence FROM fine)) d USING (sequence)) SELECT 'singleton' AS style, 1 AS cluster_size, sample AS samples, {_IDS} FROM (SELECT sample, list(target) AS ids FROM t WHERE coverage > 10 AND target IN (SELECT target FROM t GROUP BY target HAVING count(DISTINCT sample) = 1) GROUP BY sample)", "fine"),
     "kmer_sketch": with_views("""
 WITH d AS (
   SELECT DISTINCT sample, substr(sequence, 2)::BIGINT AS p FROM otu
@@ -84,6 +97,7 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
     "abundance_weighting_restricted": with_views("WITH " + _WEIGHTS.format(where="WHERE sample IN ('S1', 'S2', 'S3', 'S5', 'S8')") + " SELECT gene, sequence, round(weight, 9) AS weight FROM weights", "binned", "unbinned"),
     "target_weighting": with_views(f"WITH {_WEIGHTS.format(where='')} SELECT target, round(weight, 9) AS weight FROM (SELECT DISTINCT gene, sequence, target FROM targets) JOIN weights USING (gene, sequence)", "binned", "unbinned", "targets"),
     "cluster_candidates_match": with_views(f"WITH {_CAND} SELECT samples, len(ids)::INT AS n_targets FROM cand", "pairs"),
+    "cluster_least_targets": with_views(f"WITH {_CAND} SELECT samples, len(ids)::INT AS n_targets FROM cand WHERE len(ids) >= (SELECT CASE WHEN count(*) > 4000 THEN 10 ELSE 1 END FROM cand)", "pairs"),
     "cluster_candidates_pool": with_views(f"WITH {_TRIPLES} SELECT samples, n_targets FROM triples", "pools"),
     "cluster_candidates_single": with_views("WITH s AS (SELECT x.sample, x.target FROM targets x WHERE x.coverage > 90) SELECT sample AS samples, count(DISTINCT target)::INT AS n_targets FROM s GROUP BY sample", "targets"),
     "cluster_restrict_samples": with_views("WITH r AS (SELECT list_filter(samples, lambda s: list_contains(list_transform(range(1, 41), lambda i: 'S' || i), s)) AS x, n, ids FROM pools) SELECT array_to_string(x, ',') AS samples, n AS cluster_size, len(ids)::INT AS n_targets FROM r WHERE len(x) >= n", "pools"),
@@ -94,7 +108,12 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
     "cluster_greedy": with_views(f"WITH {_GREEDY} SELECT samples, length, total_targets, total_size FROM chosen", "pairs", "read_size", recursive=True),
     "cluster_extra_targets": with_views("WITH small AS (SELECT array_to_string([samples[i], samples[j], samples[k]], ',') AS key, [samples[i], samples[j], samples[k]] AS x, ids FROM pools, range(1, 10) AS a(i), range(1, 10) AS b(j), range(1, 10) AS c(k) WHERE len(samples) <= 9 AND i < j AND j < k AND k <= len(samples)), own AS (SELECT key, any_value(x) AS x, flatten(list(ids)) AS ids FROM small GROUP BY key), m AS (SELECT key, unnest(x) AS s FROM own), b AS (SELECT row_number() OVER () AS pool, samples, ids FROM pools WHERE len(samples) > 9), e AS (SELECT pool, unnest(samples) AS s FROM b), met AS (SELECT key, pool FROM m JOIN e USING (s) GROUP BY key, pool HAVING count(*) = 3), extra AS (SELECT key, unnest(ids) AS t FROM met JOIN b USING (pool) UNION SELECT key, unnest(ids) FROM own) SELECT key AS samples, count(DISTINCT t)::INT AS n_targets FROM extra GROUP BY key", "pools"),
     "recover_candidates_topk": with_views(f"WITH {_CAND}, {_RECOVER.format(chosen='cand')} SELECT samples, string_agg(sample, ',' ORDER BY k) AS recover_candidates FROM top GROUP BY samples", "pairs"),
-    "elusive_clusters": with_views(f"WITH {_GREEDY}, {_RECOVER.format(chosen='chosen')}, r AS (SELECT c.samples, any_value(total_targets) AS total_targets, any_value(total_size) AS total_size, any_value([s1, s2]) || list_filter(list(sample ORDER BY k), lambda s: s NOT IN (any_value(s1), any_value(s2))) AS rec FROM chosen c JOIN top USING (samples) GROUP BY c.samples) SELECT samples, 2 AS length, total_targets, total_size, array_to_string(list_sort(rec[1:6]), ',') AS recover_samples, 'coassembly_' || (row_number() OVER (ORDER BY total_targets DESC, total_size, samples DESC) - 1) AS coassembly FROM r", "pairs", "read_size", recursive=True).replace("lambda s: s NOT IN (any_value(s1), any_value(s2))", "lambda s: NOT list_contains(string_split(c.samples, ','), s)"),
+    "elusive_clusters": with_views(f"WITH {_GREEDY}, {_RECOVER.format(chosen='chosen')}, {_FINISHED.format(chosen='chosen', total='total_targets')}", "pairs", "read_size", recursive=True),
+    "plan_weighted": with_views(f"WITH {_WEIGHTS.format(where='')}, w AS (SELECT target, weight FROM (SELECT DISTINCT gene, sequence, target FROM targets) JOIN weights USING (gene, sequence)), {_SCORED}, sums AS (SELECT samples, sum(coalesce(weight, 0)) AS total FROM (SELECT samples, unnest(ids) AS target FROM cand) LEFT JOIN w USING (target) GROUP BY samples), weighed AS (SELECT s.* REPLACE (total AS total_targets) FROM scored s JOIN sums USING (samples)), {_walk('weighed', 'chosen')}, {_RECOVER.format(chosen='chosen')}, {_FINISHED.format(chosen='chosen', total='round(total_targets, 6)')}", "binned", "unbinned", "targets", "pairs", "read_size", recursive=True),
+    "plan_iterate": with_views(f"WITH {_GREEDY}, left_over AS (SELECT * FROM scored WHERE samples NOT IN (SELECT samples FROM chosen)), {_walk('left_over', 'again')}, {_RECOVER.format(chosen='again')}, {_FINISHED.format(chosen='again', total='total_targets')}", "pairs", "read_size", recursive=True),
+    "plan_given_distances": with_views(f"WITH {_SETS2}, got AS (SELECT array_to_string(s, ',') AS samples, s[1] AS s1, s[2] AS s2, list(x.target) AS ids FROM sets JOIN targets x ON x.sample = s[1] JOIN targets y ON y.sample = s[2] AND y.target = x.target WHERE x.coverage + y.coverage > 90 GROUP BY ALL), {_SCORED.replace('FROM pairs)', 'FROM got)', 1)}, {_walk('scored', 'chosen')}, {_RECOVER.replace('FROM pairs', 'FROM got').format(chosen='chosen')}, {_FINISHED.format(chosen='chosen', total='total_targets')}", "distances", "targets", "read_size", recursive=True),
+    "plan_single": with_views("WITH cov AS (SELECT sample, target FROM targets WHERE coverage > 90), edge AS (SELECT DISTINCT d.sample AS candidate, d.target FROM targets d JOIN cov s ON s.target = d.target AND s.sample <> d.sample), shared AS (SELECT c.sample AS samples, candidate, count(*) AS n FROM cov c LEFT JOIN edge e ON e.target = c.target GROUP BY ALL), top AS (SELECT *, row_number() OVER (PARTITION BY samples ORDER BY n DESC, candidate NULLS LAST) AS k FROM shared QUALIFY k <= 6), r AS (SELECT samples, [samples] || list_filter(list(candidate ORDER BY k), lambda x: x IS DISTINCT FROM samples) AS rec FROM top GROUP BY samples) SELECT samples, 1 AS length, (SELECT count(*) FROM cov c WHERE c.sample = r.samples)::DOUBLE AS total_targets, coalesce(read_size, 0)::BIGINT AS total_size, array_to_string(list_sort(rec[1:6]), ',') AS recover_samples, samples AS coassembly FROM r LEFT JOIN read_size z ON z.sample = r.samples", "targets", "read_size"),
+    "plan_update": with_views(f"WITH {_PLAN} SELECT coassembly, samples, total_size, array_to_string(list_sort(list_distinct(list_filter(string_split(recover_samples, ','), lambda s: s NOT IN ('S2', 'S6')))), ',') AS recover_samples FROM plan WHERE coassembly IN ('coassembly_0', 'coassembly_3', 'coassembly_4') AND NOT list_has_any(string_split(samples, ','), ['S2', 'S6'])", "groups", "read_size"),
     "coassembly_summary": with_views(f"WITH {_PLAN} SELECT coassembly, samples, length, total_targets, total_size, (2 * total_size)::BIGINT AS unmapped_size FROM plan", "groups", "read_size"),
     "cluster_length_histogram": with_views("SELECT len(string_split(samples, ','))::INT AS length, count(*) AS clusters FROM groups GROUP BY 1", "groups"),
     "unused_samples": with_views("SELECT DISTINCT sample FROM otu WHERE sample NOT IN (SELECT unnest([a.sample, b.sample]) FROM targets a JOIN targets b ON a.target = b.target AND a.sample < b.sample WHERE a.coverage + b.coverage > 200)", "otu", "targets"),
@@ -121,11 +140,16 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
 SELECT coassembly, statistic, CASE WHEN statistic IN ('sequences', 'taxonomy') THEN 'targets' ELSE 'recovery' END AS within, match, nonmatch, match + nonmatch AS total, round(CASE WHEN match + nonmatch <> 0 THEN match / (match + nonmatch) * 100 END, 2) AS match_percent FROM wide""", *_EVAL),
     "evaluate_by_phylum": with_views(f"WITH {_HAY} SELECT string_split(taxonomy, '; ')[2] AS \"group\", count(genome) AS recovered, count(*) - count(genome) AS missed FROM matched WHERE target IS NOT NULL GROUP BY 1", *_EVAL),
     "evaluate_by_gene": with_views(f"WITH {_HAY} SELECT gene, count(genome) AS recovered, count(*) - count(genome) AS missed FROM matched WHERE target IS NOT NULL GROUP BY 1", *_EVAL),
+    "evaluate_wide_table": None,
     "command_rendering": with_views(f"""WITH {_PLAN}, x AS (SELECT *, string_split(samples, ',') AS s, string_split(recover_samples, ',') AS r, (SELECT list(DISTINCT sample) FROM otu) AS known FROM plan
 ), f AS (SELECT coassembly, {', '.join(f"array_to_string(list_transform({c}, lambda v: CASE WHEN list_contains(known, v) THEN '/r/' || v || '_{i}.fq' ELSE v END), ' ') AS {c}{i}" for c in 'sr' for i in (1, 2))} FROM x)
-SELECT coassembly, 'assembler assemble --coassemble -1 ' || s1 || ' -2 ' || s2 || ' --output out/coassemble/' || coassembly || '/assemble -n 64 -t 64 -m 500 --skip-qc &> out/coassemble/logs/' || coassembly || '_assemble.log ' AS assemble,
-  'assembler recover --assembly out/coassemble/' || coassembly || '/assemble/assembly/final_contigs.fasta -1 ' || r1 || ' -2 ' || r2 || ' --output out/coassemble/' || coassembly || '/recover --binning-only --refinery-max-iterations 0 -n 32 -t 32 -m 250 --skip-qc &> out/coassemble/logs/' || coassembly || '_recover.log ' AS recover FROM f""", "groups", "read_size", "otu"),
+SELECT coassembly, 'aviary assemble --coassemble -1 ' || s1 || ' -2 ' || s2 || ' --output out/coassemble/' || coassembly || '/assemble -n 64 -t 64 -m 500 --skip-qc &> out/coassemble/logs/' || coassembly || '_assemble.log ' AS assemble,
+  'aviary recover --assembly out/coassemble/' || coassembly || '/assemble/assembly/final_contigs.fasta -1 ' || r1 || ' -2 ' || r2 || ' --output out/coassemble/' || coassembly || '/recover --binning-only --refinery-max-iterations 0 -n 32 -t 32 -m 250 --skip-qc &> out/coassemble/logs/' || coassembly || '_recover.log ' AS recover FROM f""", "groups", "read_size", "otu"),
     "interleave_pairs": with_views("WITH h AS (SELECT sample, (number + 1) // 2 AS i, number % 2 AS r, regexp_extract(read, '^[^ ]*(.*)', 1) AS h FROM reads), p AS (SELECT sample, i, max(h) FILTER (r = 1) AS a, max(h) FILTER (r = 0) AS b FROM h GROUP BY ALL), o AS (SELECT sample, count(*) FILTER (a <> b) AS bad FROM p GROUP BY sample), n AS (SELECT sample, count(*) AS n FROM reads GROUP BY sample) SELECT sample, n % 2 = 0 AND bad = 0 AS interleaved, CASE WHEN n % 2 = 1 THEN 'Odd readcount' WHEN bad > 0 THEN 'Consecutive reads do not match (' || bad || '/' || (n // 2) || ')' ELSE 'Duplicate read names in consecutive reads with even readcount' END AS reason FROM n JOIN o USING (sample)", "reads"),
+    "interleave_ends": with_views("WITH n AS (SELECT sample, count(*) AS n FROM reads GROUP BY sample), e AS (SELECT r.* FROM reads r JOIN n USING (sample) WHERE number <= 6 OR number > n - 4), p AS (SELECT sample, (number + 1) // 2 AS i, max(regexp_extract('@' || read, '^[^ ]*(.*)', 1)) FILTER (number % 2 = 1) AS a, max(regexp_extract('@' || read, '^[^ ]*(.*)', 1)) FILTER (number % 2 = 0) AS b FROM e GROUP BY ALL), o AS (SELECT sample, count(*) FILTER (a <> b) AS bad FROM p GROUP BY sample), k AS (SELECT sample, count(*) AS k FROM e GROUP BY sample) SELECT sample, n % 2 = 0 AND bad = 0 AS interleaved, CASE WHEN n % 2 = 1 THEN 'Odd readcount' WHEN bad > 0 THEN 'Consecutive reads do not match (' || bad || '/' || (k // 2) || ')' ELSE 'Duplicate read names in consecutive reads with even readcount' END AS reason FROM n JOIN o USING (sample) JOIN k USING (sample)", "reads"),
+    "base_pairs_of_files": with_views("SELECT sample, sum(length('ACGT' || number))::BIGINT AS read_size FROM reads GROUP BY sample", "reads"),
+    "deinterleave_mates": with_views("SELECT sample, '@' || read AS read, number // 2 AS number FROM reads WHERE number % 2 = 0", "reads"),
+    "genome_fasta": "SELECT 'B' || p_size AS bin, '>B' || p_size || '~' || p_name AS value FROM part UNION ALL SELECT 'B' || p_size, p_brand || '>' || p_type FROM part",
     "base_pair_count": with_views("SELECT sample, sum(length(value))::BIGINT AS read_size FROM lines WHERE line_no % 4 = 2 GROUP BY sample", "lines"),
     "single_ended_filter": with_views(f"WITH {_PLAN} SELECT coassembly, samples, array_to_string(list_sort(list_distinct(list_filter(string_split(recover_samples, ','), lambda s: s NOT IN ('S2', 'S5')))), ',') AS recover_samples FROM plan WHERE NOT list_has_any(string_split(samples, ','), ['S2', 'S5'])", "groups", "read_size"),
     "recovery_samples": with_views(f"WITH {_PLAN} SELECT DISTINCT unnest(string_split(recover_samples, ',')) AS sample FROM plan WHERE coassembly IN ('coassembly_0', 'coassembly_3', 'coassembly_4')", "groups", "read_size"),
@@ -138,3 +162,4 @@ SELECT coassembly, 'assembler assemble --coassemble -1 ' || s1 || ' -2 ' || s2 |
     "completion_report": "WITH d AS (SELECT o_orderpriority AS dir, count(*) AS total, count(*) FILTER (o_orderstatus <> 'O') AS assembled, count(*) FILTER (o_orderstatus = 'F') AS recovered FROM orders GROUP BY 1) SELECT dir, total, assembled, recovered, total - recovered AS incomplete FROM d UNION ALL SELECT count(*)::VARCHAR, sum(total)::BIGINT, sum(assembled)::BIGINT, sum(recovered)::BIGINT, sum(total - recovered)::BIGINT FROM d",
     "consecutive_uniq_count": "SELECT count(*) AS clusters FROM (SELECT event_type, lag(event_type) OVER (ORDER BY ts, event_id) AS b, row_number() OVER (ORDER BY ts, event_id) AS i FROM events) WHERE i = 1 OR event_type IS DISTINCT FROM b",
 }
+ORACLE["evaluate_wide_table"] = with_views(f"WITH {_PLAN}, st AS ({ORACLE['evaluate_summary_stats']}) SELECT p.coassembly, any_value(p.length) AS length, any_value(p.total_size) / 1e9 AS total_size, {', '.join(f'max(match) FILTER (statistic = {n!r}) AS {n}' for n in ('sequences', 'bins', 'nontarget_bin_sequences', 'nontarget_unbin_sequences', 'novel_sequences'))} FROM plan p LEFT JOIN st ON st.coassembly = p.coassembly GROUP BY p.coassembly", "groups", "read_size")

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coverloom import scratch
 from coverloom.adapters import Tables
 from coverloom.operators import appraise, clusters, edges, evaluate, genomes, precluster, reads, report, targets
+from coverloom.params import Params
+from coverloom.plans import assemble
+from coverloom.sources import files
 
 MIN_COVERAGE = 90
 QUERIES = {}
@@ -46,6 +52,31 @@ def appraise_no_genomes(t):
     return appraise.no_genomes(t.otu(), "Brand#3")[1]
 
 
+@query
+def appraise_by_sample_binned(t):
+    """A sample whose query is empty gives nothing, other samples are appraised."""
+    return appraise.by_query_per_sample(t.some_hits(), t.otu())[0]
+
+
+@query
+def appraise_by_sample_unbinned(t):
+    return appraise.by_query_per_sample(t.some_hits(), t.otu())[1]
+
+
+@query
+def appraise_combine(t):
+    """Observations of new genomes behind those of earlier ones."""
+    return appraise.combine(t.binned(), t.unbinned())
+
+
+@query
+def tables_as_text(t):
+    """Observations written as tab-separated text, and read back from all files."""
+    path = f"{scratch.folder(t.spark)}/otu"
+    files.write_tsv(t.otu(), path)
+    return files.otu_tables(t.spark, path)
+
+
 @query
 def appraise_update_union(t):
     newly = appraise.by_query(t.query_hits(), t.unbinned().drop("found_in"))[0]
@@ -95,9 +126,8 @@ def edges_single_directional(t):
 
 @query
 def edges_single_singleton(t):
-    """Among observations of over 100 alone, so that some sequences are in one sample."""
-    strong = targets.dense(t.unbinned().drop("found_in").where("coverage > 100"))
-    return _edge_text(edges.single(strong, 110).where("style = 'singleton'"))
+    """Over sequences that are told apart so finely that many are in one sample."""
+    return _edge_text(edges.single(targets.dense(t.fine()), 10).where("style = 'singleton'"))
 
 
 @query
@@ -166,6 +196,13 @@ def cluster_candidates_match(t):
     return _candidates(t).select(F.col("key").alias("samples"), F.size("target_ids").alias("n_targets"))
 
 
+@query
+def cluster_least_targets(t):
+    """Of many edges only those with ten targets or more are candidates."""
+    e = edges.pairs(_hashed(t), MIN_COVERAGE)
+    return clusters.matched(e, 2, clusters.min_targets(e, 4000)).select(F.col("key").alias("samples"), F.size("target_ids").alias("n_targets"))
+
+
 @query
 def cluster_candidates_pool(t):
     got = clusters.pooled(edges.pools(_hashed(t), MIN_COVERAGE, 3))
@@ -208,7 +245,7 @@ def cluster_weighted_score(t):
 
 
 def _chosen(t: Tables) -> DataFrame:
-    return clusters.greedy(clusters.scored(clusters.sized(_candidates(t), t.read_size())))
+    return clusters.greedy(scratch.cut(clusters.scored(clusters.sized(_candidates(t), t.read_size()))))
 
 
 @query
@@ -231,14 +268,51 @@ def recover_candidates_topk(t):
     return got.select(F.col("key").alias("samples"), F.array_join("recover_candidates", ",").alias("recover_candidates"))
 
 
+#: The planner's knobs at the size of the driver's tables.
+PLAN = Params(min_sequence_coverage=MIN_COVERAGE, max_size_gbp=None, max_recovery_samples=6, kmer_precluster="never", min_cluster_targets=1)
+
+
+def _elusive(t: Tables) -> DataFrame:
+    return assemble.plan(t.unbinned(), t.binned(), t.read_size(), PLAN).clusters
+
+
 @query
 def elusive_clusters(t):
     """Targets to ranked, disjoint sample pairs with their recovery samples, end to end."""
-    from coverloom.plans.assemble import plan
-    from coverloom.params import Params
+    return _elusive(t)
+
+
+@query
+def plan_single(t):
+    """One sample to an assembly."""
+    return assemble.plan(t.unbinned(), t.binned(), t.read_size(), PLAN.single()).clusters
+
+
+@query
+def plan_weighted(t):
+    got = assemble.plan(t.unbinned(), t.binned(), t.read_size(), replace(PLAN, abundance_weighted=True)).clusters
+    return got.withColumn("total_targets", F.round("total_targets", 6))
+
 
-    p = Params(min_sequence_coverage=MIN_COVERAGE, max_size_gbp=None, max_recovery_samples=6, kmer_precluster="never", min_cluster_targets=1)
-    return plan(t.unbinned(), t.binned(), t.read_size(), p).clusters
+@query
+def plan_given_distances(t):
+    """Among the sets that given distances suggest."""
+    near = precluster.jaccard(t.sequence_sets())
+    return assemble.plan(t.unbinned(), t.binned(), t.read_size(), replace(PLAN, precluster_size=4), distances=near).clusters
+
+
+@query
+def plan_iterate(t):
+    """The plan after a first one, whose sets are left out."""
+    first = scratch.cut(_elusive(t), "first")
+    return assemble.iterate(t.unbinned(), t.binned(), t.read_size(), PLAN, [], first)[0].clusters
+
+
+@query
+def plan_update(t):
+    """Chosen coassemblies without single-ended samples."""
+    kept, _ = assemble.update(_group_plan(t), ["coassembly_0", "coassembly_3", "coassembly_4"], ["S2", "S6"])
+    return kept.select("coassembly", "samples", "total_size", "recover_samples")
 
 
 def _group_plan(t: Tables) -> DataFrame:
@@ -269,7 +343,7 @@ def reference_bins_trimmed_mean(t):
 
 
 def _hits(t: Tables) -> DataFrame:
-    tg = _targets(t)
+    tg = scratch.cut(_targets(t))  # read by the edges and three times by the haystack
     return evaluate.combined(t.recovered(), evaluate.haystack(tg, t.binned(), t.groups(), edges.to_text(edges.pairs(tg, MIN_COVERAGE))))
 
 
@@ -293,6 +367,11 @@ def evaluate_by_phylum(t):
     return evaluate.by_rank(evaluate.matched(_hits(t)), 1)
 
 
+@query
+def evaluate_wide_table(t):
+    return evaluate.wide_table(evaluate.summary(_hits(t), t.recovered().select(F.col("sample").alias("name")).distinct()), _group_plan(t))
+
+
 @query
 def evaluate_by_gene(t):
     return evaluate.by_gene(evaluate.matched(_hits(t))).select("gene", "recovered", "missed")
@@ -310,6 +389,39 @@ def interleave_pairs(t):
     return reads.interleaved(r, r.groupBy("sample").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _read_lines(t: Tables) -> DataFrame:
+    """The reads as text files, read back with their line numbers."""
+    path = f"{scratch.folder(t.spark)}/reads"
+    return files.numbered_lines(t.spark, files.write_lines(t.fastq(), path, "sample", "number", "i"))
+
+
+@query
+def interleave_ends(t):
+    """From text files: pairs among the first three and last two of each file."""
+    own = reads.headers(_read_lines(t))
+    n = own.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
+    return reads.interleaved(reads.ends(own, 3, 2), n)
+
+
+@query
+def base_pairs_of_files(t):
+    return reads.base_pairs(_read_lines(t))
+
+
+@query
+def deinterleave_mates(t):
+    """Headers of the second mates' files."""
+    return reads.headers(reads.renumbered(reads.deinterleave(_read_lines(t))[1]))
+
+
+@query
+def genome_fasta(t):
+    """From text files: contigs under their genome's name."""
+    path = f"{scratch.folder(t.spark)}/genomes"
+    names = files.write_lines(t.genome_files(), path, "bin", "p_partkey", "i")
+    return genomes.prefixed_fasta(files.fasta(t.spark, names))
+
+
 @query
 def base_pair_count(t):
     return reads.base_pairs(t.lines())

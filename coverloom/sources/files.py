@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from coverloom import schemas
+from coverloom.scratch import cut, small
 
 
 def tsv(spark: SparkSession, path: str | list[str], schema: str, header: bool = True, sep: str = "\t") -> DataFrame:
@@ -54,23 +56,51 @@ def name_list(spark: SparkSession, path) -> list[str]:
     return out
 
 
+def _lines_of(spark: SparkSession, paths: dict[str, str], name: str) -> DataFrame:
+    """Lines of all files in one scan: (the file's name in `paths`, value, start of the split, a number that counts on within a split)."""
+    if not paths:
+        return schemas.empty(spark, f"{name} string, value string, block bigint, at bigint")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = {}
+    for key, path in paths.items():
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        where[p.getFileSystem(conf).makeQualified(p).toUri().getPath()] = key
+    if len(where) < len(paths):
+        raise ValueError("a file is given twice")
+    names = small(spark.createDataFrame([(k, v) for k, v in where.items()], f"_path string, {name} string"))
+    rows = spark.read.text(list(paths.values()))
+    meta = rows.metadataColumn("_metadata")
+    rows = rows.select("value", meta["file_path"].alias("_file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"))
+    # the path behind scheme and host, with its escapes undone; a plus sign is no space here
+    path = F.url_decode(F.replace(F.regexp_replace("_file", "^[A-Za-z0-9+.-]+:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
+    return rows.withColumn("_path", path).join(names, "_path").select(name, "value", "block", "at")
+
+
 def numbered_lines(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(sample, line_no from 1, value) of text or gzip files, one for each sample. A file's lines are numbered within Spark: by byte order of its splits, of which only the line counts are gathered."""
-    out = None
-    for sample, path in paths.items():
-        rows = spark.read.text(path).rdd.map(lambda r: r[0]).zipWithIndex()  # the text source has no line numbers; this keeps partitions in file order
-        part = spark.createDataFrame(rows, T.StructType.fromDDL("value string, i bigint")).select(F.lit(sample).alias("sample"), (F.col("i") + 1).alias("line_no"), "value")
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else schemas.empty(spark, "sample string, line_no bigint, value string")
+    """(sample, line_no from 1, value) of text or gzip files, one for each sample, in one scan. A line's number is its place in its split and the lines of the file's splits before it; one row for each split is gathered."""
+    rows = _lines_of(spark, paths, "sample")
+    splits = cut(rows.groupBy("sample", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")), "splits")
+    before = F.coalesce(F.sum("n").over(W.partitionBy("sample").orderBy("block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.join(small(splits.withColumn("before", before).drop("n")), ["sample", "block"])
+    return placed.select("sample", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), "value")
 
 
 def fasta(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """(bin, value): lines of FASTA files under their bins' names."""
-    out = None
-    for name, path in paths.items():
-        part = spark.read.text(path).select(F.lit(name).alias("bin"), "value")
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else schemas.empty(spark, "bin string, value string")
+    return _lines_of(spark, paths, "bin").select("bin", "value")
+
+
+def write_lines(df: DataFrame, path: str, name: str, *order) -> dict[str, str]:
+    """Write the column value as one text file for each value of the column `name`, lines in the given order; name -> file."""
+    df.repartition(name).sortWithinPartitions(name, *order).select(name, "value").write.partitionBy(name).text(path)
+    spark = df.sparkSession
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs, found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), {}
+    for part in fs.listStatus(root):
+        key, eq, value = part.getPath().getName().partition("=")
+        if eq and key == name:
+            found |= {value: x.getPath().toString() for x in fs.listStatus(part.getPath()) if x.getPath().getName().startswith("part-")}
+    return found
 
 
 def write_tsv(df: DataFrame, path: str, header: bool = True, sep: str = "\t", one_file: bool = False) -> None:

@@ -114,6 +114,22 @@ def test_jaccard_of_sketches(spark, frame):
     assert got == {("a", "b"): 1.0, ("a", "c"): 0.67, ("b", "c"): 0.67, ("d", "e"): 0.5}
 
 
+@pytest.mark.parametrize("hot, block, threshold", [(0, 3, 0.1), (4, 2, 0.3), (6, 50, 0.0), (9, 4, 0.2)])
+def test_jaccard_by_blocks(spark, frame, hot, block, threshold):
+    """K-mers that many or all samples share, compared by blocks, give what they give as a join."""
+    r = random.Random(hot)
+    rows = [(f"s{i}", f"k{j}") for i in range(14) for j in range(40) if j < 3 or r.random() < (0.9 if j < 12 else 0.15) and i % 5 or j == 100 + i]
+    rows += [("lone", "only"), ("s0", "x")]
+    sets = {}
+    for s, k in rows:
+        sets.setdefault(s, set()).add(k)
+    want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b and sets[a] & sets[b]}
+    want = {k: round(v, 9) for k, v in want.items() if v >= threshold}
+    k = frame(rows, "sample string, kmer string")
+    got = [(x["query_name"], x["match_name"], round(x["jaccard"], 9)) for x in precluster.jaccard(k, threshold, hot, block).collect()]
+    assert {(a, b): v for a, b, v in got} == want and len(got) == len(want)
+
+
 def test_sketch_is_canonical_and_clean(spark, frame):
     o = frame([("g", "a", "AC-GT", 1, 1.0, "r"), ("g", "b", "ACTGT", 1, 1.0, "r"), ("g", "c", "AC", 1, 1.0, "r")], schemas.OTU)
     got = {(r["sample"], r["kmer"]) for r in precluster.sketch(o, 5).collect()}

@@ -38,6 +38,32 @@ def test_other_formats(spark, tmp_path):
     assert files.hashed_folder("ABCDEF") == "AB/CD/ABCDEF"
 
 
+def test_lines_are_numbered_over_splits_and_files(spark, tmp_path):
+    names = {"s 1": "a b.fq", "s+2": "c+d%20e.fq", "s3": "z.fq.gz", "s4": "empty.fq"}
+    want = {"s 1": [f"line {i} {'x' * (i % 50)}" for i in range(3000)], "s+2": ["only"], "s3": [str(i) for i in range(500)], "s4": []}
+    for k, f in names.items():
+        text = "".join(x + "\n" for x in want[k]).encode()
+        (tmp_path / f).write_bytes(gzip.compress(text) if f.endswith("gz") else text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        paths = {k: f"{tmp_path}/{f}" for k, f in names.items()}
+        lines = files.numbered_lines(spark, paths)
+        assert lines.rdd.getNumPartitions() > 10
+        got = {k: [] for k in names}
+        for r in lines.orderBy("sample", "line_no").collect():
+            got[r["sample"]].append(r["value"])
+            assert r["line_no"] == len(got[r["sample"]])
+        assert got == want
+        assert files.fasta(spark, paths).groupBy("bin").count().count() == 3
+        assert "python" not in lines._jdf.queryExecution().toString().lower()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert files.numbered_lines(spark, {}).isEmpty() and files.fasta(spark, {}).isEmpty()
+    with pytest.raises(ValueError):
+        files.numbered_lines(spark, {"a": paths["s3"], "b": "file:" + paths["s3"]})
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     head = "gene\tsample\tsequence\tnum_hits\tcoverage\ttaxonomy\n"
