@@ -118,5 +118,30 @@ WITH lowered AS (
 SELECT w.id AS doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN cov ON w.id = cov.id LEFT JOIN its ON w.id = its.id WHERE kind = 'd'
+""",
+    # what is stored and read back through the manifest; places of rows aren't for SQL
+    "op6_sharding": "SELECT doc_id, octet_length(encode(text))::BIGINT AS n_bytes, sha256(text) AS text_sha256, true AS live FROM documents",
+    # texts as hexadecimal digits, two for each byte
+    "op10_suffix_dedup": """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS g FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d)
+), c AS (
+  SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM w) WHERE k > 1
+), o AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM c
+), s AS (
+  SELECT doc_id, min(i) AS s, max(i) + 100 AS e FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o) GROUP BY doc_id, run
+), p AS (
+  SELECT d.doc_id, h, s, coalesce(lag(e) OVER (PARTITION BY d.doc_id ORDER BY s), 0) AS b FROM d JOIN s ON s.doc_id = d.doc_id
+), k AS (
+  SELECT doc_id, string_agg(substr(h, 2 * b + 1, 2 * (s - b)), '' ORDER BY s) AS kept FROM p GROUP BY doc_id
+), t AS (
+  SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS last FROM s GROUP BY doc_id
+)
+SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
 """,
 }

@@ -42,17 +42,18 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each document is after all of them have arrived and been compacted."""
+    """Each document as it is read back after all of them have arrived and been compacted; live: its shard is in the manifest, with the bytes and rows that are read."""
     docs = table(spark, sf_dir, "documents")
     store = sharding.Store(spark, scratch_path(spark, "shards"))
     store.append(docs)
     version = store.compact(docs.schema)
     rows = store.read(docs.schema, version, with_file=True)
-    rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.col(f"{rows.columns[-1]}.*"))
-    files = store.manifest(version).select("file", "tier", "version", F.col("rows").alias("shard_rows"))
-    out = rows.join(sharding.bounded(files, sharding.PLAN_ROWS), "file")
-    shard = F.regexp_extract("file", r"/data/(.*)$", 1)
-    return out.select("doc_id", shard.alias("shard"), F.col("bytes").alias("shard_bytes"), "shard_rows", "tier", "version", "n_bytes")
+    shard = F.col(rows.columns[-1])
+    rows = rows.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("text_sha256"), shard["file"].alias("file"), shard["bytes"].alias("read"))
+    files = store.manifest(version).join(rows.groupBy("file").agg(F.count(F.lit(1)).alias("found")), "file")
+    files = files.select("file", "bytes", (F.col("rows") == F.col("found")).alias("whole"))
+    live = F.coalesce(F.col("whole") & (F.col("read") == F.col("bytes")), F.lit(False))
+    return rows.join(sharding.bounded(files, sharding.PLAN_ROWS), "file", "left").select("doc_id", "n_bytes", "text_sha256", live.alias("live"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
