@@ -137,11 +137,11 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
     """doc_id, n_words and matches (array of struct<license, containment, first, end>; one for each license, by name) for every row of docs; first and end count words."""
     spark = docs.sparkSession
     arrow_batches(spark)
-    shared = spark.sparkContext.broadcast(Templates(templates, containment, miss))
+    Templates(templates, containment, miss)  # raises here if a template is too short; each task makes its own
     kind = pa.struct([("license", pa.string()), ("containment", pa.float64()), ("first", pa.int32()), ("end", pa.int32())])
 
     def run(batches):
-        t = shared.value
+        t = Templates(templates, containment, miss)
         for b in batches:
             data, starts, ends, _ = column(b, "text")
             words, best = np.zeros(b.num_rows, np.int64), {}
