@@ -1,9 +1,10 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
 The index is a table of postings (term, doc, position) of the training texts, written once and partitioned by document, as
-search shards are; only terms of the benchmark are stored. Every window of the benchmark looks its terms up from the rarest
-on: the lists, moved back by the term's offset, are intersected as joins on (window, doc, start). What the rarest lists
-leave is compared with the whole text, which gives exact phrases; `proximity` answers for terms near each other.
+search shards are. The benchmark's terms are counted over all texts first, and the terms that are among the rarest of a window
+are the ones whose postings are stored. Every window looks these up from the rarest on: the lists, moved back by the term's
+offset, are intersected as joins on (window, doc, start). What they leave is compared with the whole text, which gives exact
+phrases; `proximity` answers for terms near each other.
 
 Defined cases: a null or empty text has no words and is clean; an item without words has no window; a window that several
 items hold counts for each; repeated rows, also rows that share a doc id or have a null one, are each judged by their own
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from coverloom.llm.url_filter import maybe_in
 from coverloom.llm.util import ascii_lower, bounded, let, materialize
 
 #: Rows of a benchmark-sized table (terms, windows) that may be broadcast.
@@ -45,15 +47,18 @@ def build_index(docs: DataFrame, vocabulary: DataFrame | None = None, doc_id: st
     return tokens if vocabulary is None else tokens.join(bounded(vocabulary, limit), "term").select(*[c for c in vocabulary.columns if c != "term"] or ["term"], "doc", "pos")
 
 
-def phrase_candidates(postings: DataFrame, wins: DataFrame, lists: int = 2, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """(window, doc, start) that the `lists` rarest term lists of each window, moved by their offsets, have in common.
-
-    postings: (t, doc, pos) with a number t for each term; wins: (window, t array). A window of fewer distinct terms uses all.
-    """
-    df = postings.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+def rarest(wins: DataFrame, df: DataFrame, lists: int = 2) -> DataFrame:
+    """(window, t, off, k): the `lists` rarest terms of each window, with their offsets. wins: (window, ts: numbers of the terms in order); df: (t, df), how often the texts have a term."""
     terms = wins.select("window", F.posexplode("ts").alias("off", "t")).join(df, "t", "left").fillna(0, ["df"])
     ranked = terms.withColumn("k", F.row_number().over(W.partitionBy("window").orderBy("df", "off")))
-    ranked = materialize(ranked.where(F.col("k") <= lists).select("window", "t", "off", "k"), "rarest")
+    return ranked.where(F.col("k") <= lists).select("window", "t", "off", "k")
+
+
+def phrase_candidates(postings: DataFrame, wins: DataFrame, ranked: DataFrame, lists: int = 2, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """(window, doc, start) that the lists of each window's ranked terms, moved by their offsets, have in common. A window of fewer terms uses all.
+
+    postings: (t, doc, pos) with a number t for each term; ranked: what rarest gave.
+    """
     found = None
     for k in range(1, lists + 1):
         lookup = ranked.where(F.col("k") == k).select("window", "t", "off")
@@ -82,13 +87,19 @@ def decontaminate(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", tex
     # numbers of terms are hashes: no numbering pass, and a clash only lets a candidate through to the exact comparison
     vocab = vocab.withColumn("t", F.xxhash64("term"))
     wins = materialize(wins.withColumn("ts", F.transform("terms", lambda x: F.xxhash64(x))), "windows")
-    postings = materialize(build_index(docs, vocab, doc_id, text, limit), "postings")
-    found = phrase_candidates(postings, wins, lists, limit)
+    df = build_index(docs, vocab, doc_id, text, limit).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+    ranked = materialize(rarest(wins, df, lists), "rarest")
+    postings = materialize(build_index(docs, vocab.join(ranked, "t", "left_semi"), doc_id, text, limit).select("t", "doc", "pos"), "postings")
+    found = phrase_candidates(postings, wins, ranked, lists, limit)
     phrases = wins.select("window", F.array_join("terms", " ").alias("phrase"), F.size("terms").alias("len"), "items")
     found = found.join(bounded(phrases, limit), "window")
-    by_doc = found.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set(F.struct("start", "len", "phrase", "items")).alias("_c"))
+    by_doc = materialize(found.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set(F.struct("start", "len", "phrase", "items")).alias("_c")), "candidates")
+    # only texts that may have a candidate meet theirs; the others, most of a corpus, are not shuffled
     own = docs.select(F.col(doc_id).alias("doc_id"), *keep, F.col(text).alias("_text"))
-    joined = own.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    probed = maybe_in(own, by_doc, "doc_id", "_doc", "_maybe").withColumn("_maybe", F.col("_maybe") | F.col("doc_id").isNull())
+    met = probed.where("_maybe").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    rest = probed.where("not _maybe").withColumns({"_doc": F.lit(None).cast(by_doc.schema["_doc"].dataType), "_c": F.lit(None).cast(by_doc.schema["_c"].dataType)})
+    joined = met.unionByName(rest)
 
     def true_hits(w: Column) -> Column:
         real = F.filter(F.coalesce("_c", F.array()), lambda c: F.array_join(F.slice(w, c.getField("start") + 1, c.getField("len")), " ") == c.getField("phrase"))

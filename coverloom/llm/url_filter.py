@@ -81,13 +81,18 @@ def bloom(keys: DataFrame, key: str, max_blocks: int = MAX_BLOCKS) -> tuple[Data
     return keys.where(k.isNotNull()).groupBy(_block(k, blocks).alias("block")).agg(F.bit_or(_mask(k)).alias("bits")), blocks
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str, own: str, name: str, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """rows with boolean `name`: whether the column key may be among keys' column own (false for null). The filter's rows, max_blocks at most, are broadcast."""
+    table, blocks = bloom(keys, own, max_blocks)
+    k = F.col(key)
+    probed = rows.withColumn("_block", _block(k, blocks)).join(F.broadcast(table.select(F.col("block").alias("_block"), F.col("bits").alias("_bits"))), "_block", "left")
+    return probed.withColumn(name, F.coalesce(F.col("_bits").bitwiseAND(_mask(k)) == _mask(k), F.lit(False)) & k.isNotNull()).drop("_block", "_bits")
+
+
 def listed(pages: DataFrame, listing: DataFrame, key: str = "canon", max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """pages with boolean `listed`: whether the key is among the listing's keys. The filter's rows, max_blocks at most, are broadcast; possible hits go to the exact join."""
+    """pages with boolean `listed`: whether the key is among the listing's keys. Only possible hits go to the exact join, so that no other row is shuffled."""
     keys = listing.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull() & (F.col("_key") != "")).distinct()
-    table, blocks = bloom(keys, "_key", max_blocks)
-    k = F.coalesce(F.col(key), F.lit(""))
-    probed = pages.withColumn("block", _block(k, blocks)).join(F.broadcast(table), "block", "left")
-    probed = probed.withColumn("_maybe", F.coalesce(F.col("bits").bitwiseAND(_mask(k)) == _mask(k), F.lit(False)) & (k != "")).drop("block", "bits")
+    probed = maybe_in(pages, keys, key, "_key", "_maybe", max_blocks)
     exact = probed.where("_maybe").join(keys.withColumn("_in", F.lit(True)), F.col(key) == F.col("_key"), "left")
     return exact.withColumn("listed", F.coalesce("_in", F.lit(False))).drop("_key", "_in", "_maybe").unionByName(probed.where("not _maybe").withColumn("listed", F.lit(False)).drop("_maybe"))
 
