@@ -1,7 +1,8 @@
 """Language ID by a linear-chain conditional random field over the words of each line.
 
-A word's features are its character n-grams (of bytes, with marks at the word's edges, so that they include its affixes of
-these lengths) and the word itself as a lexicon entry; all are hashed into one table of weights.
+A word's features are its n-grams (of bytes, with marks at the word's edges), its affixes (the first and the last one to three
+bytes), both hashed into one table of weights, and its entry in a lexicon: the words that the training texts have more than
+once, LEXICON of them at most, each with weights of its own, and one entry for all other words.
 Transitions between neighbouring words are learned with them, by stochastic gradients of the chain's log-likelihood, from
 labelled texts and from lines that join two texts of different labels, so that a text may switch. Forward-backward gives
 each word's label probabilities; neighbouring words with letters of one most probable label are a run. A document's label is
@@ -26,13 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from coverloom.llm.kernels import U, column, hash_words, lower_table, mix, pieces, split_words, weights, white_words
+from coverloom.llm.kernels import U, column, hash_words, lower_table, mix, pieces, split_words, tidy, weights, white_words
 from coverloom.llm.util import arrow_batches, bounded, ship
 
 #: Bounds of the training sample, in texts and in bytes of text; a text of over a sixteenth of these bytes isn't sampled.
 MAX_ROWS, MAX_BYTES = 2_000, 64 << 20
-#: Weights of each label: a power of two.
-TABLE = 1 << 15
+#: Hashed weights of each label, a power of two, and the most words that the lexicon has.
+TABLE, LEXICON = 1 << 15, 1 << 16
 
 
 def _letters() -> np.ndarray:
@@ -53,11 +54,11 @@ def lettered(d, first, last):
     return found
 
 
-GRAMS = (2, 3, 4)
+GRAMS, AFFIXES = (2, 3, 4), (1, 2, 3)
 
 
 def features(d, first, last):
-    """(start, hashed n-grams, whole): n-grams have a row for each length and a place for each byte of the edged words, TABLE where none begins; start is where each word begins in them. d: lower-cased bytes."""
+    """(start, hashed n-grams, hashed affixes, hash of the word): n-grams have a row for each length and a place for each byte of the edged words, affixes a row for each length and side; TABLE where there is none; start is where each word begins in the n-grams. d: lower-cased bytes."""
     n = (last - first).astype(np.int64)
     size = n + 2  # an edge mark on either side
     start = np.concatenate(([0], np.cumsum(size)[:-1]))
@@ -73,23 +74,46 @@ def features(d, first, last):
         for i in range(1, g):
             h += marked[i : len(left) + i] * c[i]
         out[r] = np.where(left >= g, (mix(h + U(g)) & U(TABLE - 1)).astype(np.int32), TABLE)
-    return start, out, (hash_words(d, first, last, 5) & U(TABLE - 1)).astype(np.int32)
+    affix = np.full((2 * len(AFFIXES), len(n)), TABLE, np.int32)
+    for r, size in enumerate(AFFIXES):
+        own = np.flatnonzero(n >= size)
+        for side, begin in enumerate((first[own], last[own] - size)):
+            h = sum((d[begin + i].astype(np.uint64) + U(2)) * c[i] for i in range(size))
+            affix[2 * r + side, own] = (mix(h + U(100 + 10 * size + side)) & U(TABLE - 1)).astype(np.int32)
+    return start, out, affix, hash_words(d, first, last, 5)
 
 
-def counted(start, grams):
+def counted(start, grams, affix, words):
     """Features of each word."""
     size = np.diff(np.append(start, grams.shape[1]))
-    return 1 + sum(np.maximum(size - g + 1, 0) for g in GRAMS)
+    return 1 + (affix < TABLE).sum(0) + sum(np.maximum(size - g + 1, 0) for g in GRAMS)
+
+
+def entries(words, lexicon):
+    """Place of each word's hash in the sorted lexicon, its length for a word that it lacks."""
+    at = np.minimum(np.searchsorted(lexicon, words), max(len(lexicon) - 1, 0))
+    return np.where(lexicon[at] == words, at, len(lexicon)) if len(lexicon) else np.zeros(len(words), np.int64)
+
+
+def lexicon_of(texts: list[bytes], most: int = LEXICON) -> np.ndarray:
+    """Sorted hashes of the most frequent words that occur more than once, lower-cased."""
+    data, starts, ends = _flat(texts)
+    d = lower_table()[data]
+    first, last, _ = split_words(d, starts, ends, white_words())
+    h, n = np.unique(hash_words(d, first, last, 5), return_counts=True)
+    h, n = h[n > 1], n[n > 1]
+    return np.sort(h[np.lexsort((h, -n))[:most]])
 
 
 def emissions(feats, table):
-    """Scores (words, labels): sums of the features' weights over the square root of their number."""
-    start, grams, whole = feats
+    """Scores (words, labels): sums of the features' weights over the square root of their number. table: hashed weights, the lexicon and its words' weights."""
+    start, grams, affix, words = feats
+    hashed = table["hashed"]
     if not len(start):
-        return np.zeros((0, table.shape[1]), np.float32)
-    wide = np.concatenate((table, np.zeros((1, table.shape[1]), table.dtype)))
-    total = table[whole] + np.add.reduceat(wide[grams].sum(0), start, axis=0)
-    return total / np.sqrt(counted(start, grams))[:, None].astype(np.float32)
+        return np.zeros((0, hashed.shape[1]), np.float32)
+    wide = np.concatenate((hashed, np.zeros((1, hashed.shape[1]), hashed.dtype)))
+    total = table["words"][entries(words, table["lexicon"])] + wide[affix].sum(0) + np.add.reduceat(wide[grams].sum(0), start, axis=0)
+    return total / np.sqrt(counted(*feats))[:, None].astype(np.float32)
 
 
 def chains(begin, length):
@@ -145,14 +169,16 @@ def _flat(texts: list[bytes]):
 
 
 def fit(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5, decay: float = 1e-6, step: int = 1 << 16, mixed: float = 0.1, seed: int = 7):
-    """(labels, weights, transitions), by Adagrad over texts in random order. mixed: share of texts that are joined line by line with another."""
+    """(labels, weights as emissions takes them, transitions), by Adagrad over texts in random order. mixed: share of texts that are joined line by line with another."""
     names = sorted(set(labels))
     code = {n: i for i, n in enumerate(names)}
     rng = np.random.default_rng(seed)
-    table, trans = np.zeros((TABLE, len(names)), np.float32), np.zeros((len(names), len(names)))
-    g_table, g_trans = np.full_like(table, 1e-3), np.full_like(trans, 1e-3)
-    lower, words = lower_table(), white_words()
     raw = [t.encode() for t in texts]
+    lexicon = lexicon_of(raw)
+    hashed, known, trans = np.zeros((TABLE, len(names)), np.float32), np.zeros((len(lexicon) + 1, len(names)), np.float32), np.zeros((len(names), len(names)))
+    g_hashed, g_known, g_trans = (np.full_like(x, 1e-3) for x in (hashed, known, trans))
+    table = {"hashed": hashed, "lexicon": lexicon, "words": known}
+    lower, words = lower_table(), white_words()
     y_of = np.array([code[x] for x in labels])
     steps = sum(map(len, raw)) // step + 1
     for _ in range(max(epochs, -(-160 // steps) if raw else 0)):  # small samples are gone through more often
@@ -174,18 +200,18 @@ def fit(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 0.5,
             join[0] = False
             begin = begin[~join]
             length = np.diff(np.append(begin, len(first)))
-            start, grams, whole = feats = features(d, first, last)
+            start, grams, affix, whole = feats = features(d, first, last)
             p, pairs, at = marginals(emissions(feats, table).astype(np.float64), begin, length, trans, True)
             p[np.arange(len(y)), y] -= 1
-            p /= np.sqrt(counted(start, grams))[:, None]
+            p /= np.sqrt(counted(*feats))[:, None]
             owner = np.repeat(np.arange(len(y)), np.diff(np.append(start, grams.shape[1])))
+            entry = entries(whole, lexicon)
             for c in range(len(names)):
-                g = np.bincount(whole, p[:, c], TABLE + 1)
-                for line in grams:
-                    g += np.bincount(line, p[owner, c], TABLE + 1)
-                g = g[:TABLE] / len(y) + decay * table[:, c]
-                g_table[:, c] += g * g
-                table[:, c] -= rate * g / np.sqrt(g_table[:, c])
+                g = sum(np.bincount(line, p[owner, c], TABLE + 1) for line in grams) + sum(np.bincount(line, p[:, c], TABLE + 1) for line in affix)
+                for weights_, squares, own in ((hashed, g_hashed, g[:TABLE]), (known, g_known, np.bincount(entry, p[:, c], len(lexicon) + 1))):
+                    own = own / len(y) + decay * weights_[:, c]
+                    squares[:, c] += own * own
+                    weights_[:, c] -= rate * own / np.sqrt(squares[:, c])
             np.subtract.at(pairs, (y[at - 1], y[at]), 1)
             pairs = pairs / max(1, len(at)) + 1e-4 * trans
             g_trans += pairs * pairs
@@ -248,7 +274,7 @@ def _judge(model, kept_text: bool = False, spans: bool = True):
             rest = b.schema.names[2 - kept_text :]
             yield pa.RecordBatch.from_arrays([*out.values(), *map(b.column, rest)], [*out, *rest])
 
-    return run
+    return tidy(run)
 
 
 def quota(counts: list[int], most: int) -> int:
