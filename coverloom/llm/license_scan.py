@@ -8,8 +8,8 @@ hash is set so that such a window meets the template in a band with probability
 shingles are counted in the window exactly.
 
 Defined cases: null and empty texts and texts of fewer than five words have no shingles and no match; templates need five
-words; of several matches of a license in a text the one with the largest containment, then the first, is reported; rows
-are judged alone; extra columns are dropped.
+words; of several matches of a license in a text the one with the largest containment, then the first, is reported, by the
+shortest stretch of words that holds it; rows are judged alone; extra columns are dropped.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverloom.llm.kernels import U, byte_set, column, grams, hash_words, lower_table, mix, pieces, split_words, weights
+from coverloom.llm.kernels import U, byte_set, column, grams, hash_words, lower_table, mix, pieces, split_words, tidy, weights
 from coverloom.llm.util import arrow_batches, ship
 
 SHINGLE, CONTAINMENT, MISS, LEAST_CLASS = 5, 0.8, 1e-3, 2
@@ -73,6 +73,21 @@ def shingled(data, starts, ends):
     return at - np.searchsorted(row, row[at]), row[at], g[ok], n
 
 
+def shortest(kinds) -> tuple[int, int]:
+    """First and last place of the shortest, then first, stretch that has all kinds."""
+    most, held, have, a, best = len(set(kinds.tolist())), {}, 0, 0, (0, len(kinds) - 1)
+    for z, k in enumerate(kinds.tolist()):
+        held[k] = held.get(k, 0) + 1
+        have += held[k] == 1
+        while have == most:
+            if z - a < best[1] - best[0]:
+                best = a, z
+            held[int(kinds[a])] -= 1
+            have -= held[int(kinds[a])] == 0
+            a += 1
+    return best
+
+
 class Templates:
     """Size classes with the band values of their templates."""
 
@@ -129,7 +144,8 @@ class Templates:
                 share = len(np.unique(g[lo:hi][inside])) / len(s)
                 if share >= self.containment:
                     at = np.flatnonzero(inside)
-                    out.append((r, i, share, int(place[lo + at[0]]), int(place[lo + at[-1]]) + SHINGLE))
+                    a, z = shortest(np.searchsorted(s, g[lo:hi][at]))
+                    out.append((r, i, share, int(place[lo + at[a]]), int(place[lo + at[z]]) + SHINGLE))
         return out
 
 
@@ -158,7 +174,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates=
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(words), pa.array(rows, pa.list_(kind))], ["doc_id", "n_words", "matches"])
 
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, n_words long, matches array<struct<license:string,containment:double,first:int,end:int>>")
+    return own.mapInArrow(tidy(run), "doc_id long, n_words long, matches array<struct<license:string,containment:double,first:int,end:int>>")
 
 
 ship(__name__)
