@@ -56,21 +56,49 @@ def renumbered(mates: DataFrame) -> DataFrame:
     return mates.withColumn("line_no", (F.floor((F.col("line_no") - 1) / 8) * 4 + (F.col("line_no") - 1) % 4 + 1).cast("bigint"))
 
 
-def sample_names(files: list[str]) -> dict[str, str]:
-    """Sample name -> file, by the file name without folder, compression, type and mate mark. Two files of one name are an error."""
-    import re
+#: Endings of read and contig files, and what is cut from the end of what a pair's names share.
+ENDINGS, MATE_MARK = (".fna", ".fq", ".fastq", ".fasta", ".fa"), "_R|\\."
+
+
+def file_name(path: str) -> str:
+    """A file's name without folder, compression and type."""
+    name = path.rsplit("/", 1)[-1].removesuffix(".gz")
+    return next((name.removesuffix(e) for e in ENDINGS if name.endswith(e)), name)
 
-    out: dict[str, str] = {}
-    for f in files:
-        name = re.sub(r"(_|\.)R?1$", "", re.sub(r"\.(fastq|fq|fasta|fa|fna)$", "", re.sub(r"\.gz$", "", f.rsplit("/", 1)[-1])))
-        if name in out:
-            raise ValueError(f"duplicate sample name {name}")
-        out[name] = f
-    return out
 
+def joint_name(forward: str, reverse: str) -> str:
+    """What the names of a pair of files begin with, without the mark of the mate."""
+    a, b = (x.rsplit("/", 1)[-1] for x in (forward, reverse))
+    same = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[:same].rstrip(MATE_MARK)
+
+
+def sample_names(files: list[str]) -> dict[str, str]:
+    """Sample name -> file, for files without mates. Two files of one name are an error."""
+    return {name: f for name, f, _ in _named([(file_name(f), f, "") for f in files])}
 
-def mates(forward: list[str], reverse: list[str]) -> list[tuple[str, str, str]]:
-    """(sample, forward file, reverse file) in order; the lists must pair up."""
+
+def mates(forward: list[str], reverse: list[str], keep_order: bool = False) -> list[tuple[str, str, str]]:
+    """(sample, forward file, reverse file); the lists are sorted, or else paired up as they stand. Two pairs of one name are an error."""
     if len(forward) != len(reverse):
         raise ValueError("as many forward as reverse files are needed")
-    return [(name, f, r) for (name, f), r in zip(sample_names(forward).items(), reverse)]
+    pairs = zip(forward, reverse) if keep_order else zip(sorted(forward), sorted(reverse))
+    return _named([(joint_name(f, r), f, r) for f, r in pairs])
+
+
+def _named(rows: list[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    seen: set[str] = set()
+    for name, *_ in rows:
+        if name in seen:
+            raise ValueError(f"duplicate sample name {name}")
+        seen.add(name)
+    return rows
+
+
+def named_files(files: DataFrame) -> DataFrame:
+    """files: (forward, reverse), reverse null for files without mates. Adds the sample's name, as file_name and joint_name give it."""
+    base = lambda c: F.element_at(F.split(c, "/"), -1)
+    a, b = base("forward"), base("reverse")
+    alone = F.regexp_replace(F.regexp_replace(a, r"\.gz$", ""), r"(\.fna|\.fq|\.fastq|\.fasta|\.fa)$", "")
+    same = F.filter(F.sequence(F.lit(1), F.least(F.length(a), F.length(b))), lambda i: F.left(a, i) == F.left(b, i))
+    return files.withColumn("sample", F.when(F.col("reverse").isNull(), alone).otherwise(F.regexp_replace(F.left(a, F.size(same)), r"[_R|\\.]+$", "")))

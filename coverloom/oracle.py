@@ -72,10 +72,12 @@ ORACLE = {
     "bad_marker_filter": with_views("SELECT * FROM otu WHERE NOT contains(concat_ws(chr(9), gene, sample, sequence, num_hits, coverage, taxonomy), 'Brand#2')", "otu"),
     "sample_rename": with_views("SELECT gene, sample, sequence FROM otu", "otu"),
     "targets_dense": with_views(f"SELECT {_OTU}, target FROM targets", "targets"),
+    "targets_in_file_order": with_views("SELECT gene, sequence, row_number() OVER (ORDER BY substr(sequence, 2)::BIGINT DESC, gene, sequence) - 1 AS target, count(*) AS n FROM unbinned GROUP BY gene, sequence", "unbinned"),
     "targets_taxa_filter": with_views("SELECT taxonomy, count(*) AS n, count(DISTINCT (gene, sequence)) AS n_targets FROM otu WHERE regexp_matches(taxonomy, 'd__ECONOMY|d__PROMO') GROUP BY taxonomy", "otu"),
     "targets_hashed_groups": with_views("SELECT gene, sequence, 1::BIGINT AS n_sequences, count(*) AS n_rows FROM unbinned GROUP BY gene, sequence", "unbinned"),
     "edges_match_pairs": with_views(f"SELECT 'match' AS style, 2 AS cluster_size, s1 || ',' || s2 AS samples, {_IDS} FROM pairs", "pairs"),
     "edges_pool": with_views(f"SELECT 'pool' AS style, n AS cluster_size, array_to_string(samples, ',') AS samples, {_IDS} FROM pools", "pools"),
+    "edges_pool_sizes": with_views(f"WITH p AS (SELECT target, n, list_sort(list(sample)) AS samples FROM targets, (VALUES (3), (4)) AS v(n) WHERE coverage > 90.0 / n GROUP BY target, n), g AS (SELECT n, samples, list(target) AS ids FROM p WHERE len(samples) >= n GROUP BY n, samples) SELECT 'pool' AS style, n AS cluster_size, array_to_string(samples, ',') AS samples, {_IDS} FROM g", "targets"),
     "edges_single_directional": with_views(f"SELECT 'directional' AS style, 2 AS cluster_size, a || ',' || b AS samples, {_IDS} FROM (SELECT s.sample AS a, d.sample AS b, list(DISTINCT s.target) AS ids FROM targets s JOIN targets d ON s.target = d.target AND s.sample <> d.sample WHERE s.coverage > 90 GROUP BY ALL)", "targets"),
     "edges_single_singleton": with_views(f"WITH t AS (SELECT f.*, d.target FROM fine f JOIN (SELECT sequence, row_number() OVER (ORDER BY sequence) - 1 AS target FROM (SELECT DISTINCT sequence FROM fine)) d USING (sequence)) SELECT 'singleton' AS style, 1 AS cluster_size, sample AS samples, {_IDS} FROM (SELECT sample, list(target) AS ids FROM t WHERE coverage > 10 AND target IN (SELECT target FROM t GROUP BY target HAVING count(DISTINCT sample) = 1) GROUP BY sample)", "fine"),
     "kmer_sketch": with_views("""
@@ -106,6 +108,7 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
     "cluster_size_score": with_views(f"WITH {_SCORED} SELECT samples, length, total_targets, total_size FROM scored WHERE total_size <= 9e6", "pairs", "read_size"),
     "cluster_weighted_score": with_views(f"WITH {_WEIGHTS.format(where='')}, w AS (SELECT target, weight FROM (SELECT DISTINCT gene, sequence, target FROM targets) JOIN weights USING (gene, sequence)), {_CAND} SELECT samples, round(sum(coalesce(weight, 0)), 6) AS total_targets FROM (SELECT samples, unnest(ids) AS target FROM cand) LEFT JOIN w USING (target) GROUP BY samples", "binned", "unbinned", "targets", "pairs"),
     "cluster_greedy": with_views(f"WITH {_GREEDY} SELECT samples, length, total_targets, total_size FROM chosen", "pairs", "read_size", recursive=True),
+    "cluster_greedy_rounds": with_views(f"WITH {_GREEDY} SELECT samples, length, total_targets, total_size FROM chosen", "pairs", "read_size", recursive=True),
     "cluster_extra_targets": with_views("WITH small AS (SELECT array_to_string([samples[i], samples[j], samples[k]], ',') AS key, [samples[i], samples[j], samples[k]] AS x, ids FROM pools, range(1, 10) AS a(i), range(1, 10) AS b(j), range(1, 10) AS c(k) WHERE len(samples) <= 9 AND i < j AND j < k AND k <= len(samples)), own AS (SELECT key, any_value(x) AS x, flatten(list(ids)) AS ids FROM small GROUP BY key), m AS (SELECT key, unnest(x) AS s FROM own), b AS (SELECT row_number() OVER () AS pool, samples, ids FROM pools WHERE len(samples) > 9), e AS (SELECT pool, unnest(samples) AS s FROM b), met AS (SELECT key, pool FROM m JOIN e USING (s) GROUP BY key, pool HAVING count(*) = 3), extra AS (SELECT key, unnest(ids) AS t FROM met JOIN b USING (pool) UNION SELECT key, unnest(ids) FROM own) SELECT key AS samples, count(DISTINCT t)::INT AS n_targets FROM extra GROUP BY key", "pools"),
     "recover_candidates_topk": with_views(f"WITH {_CAND}, {_RECOVER.format(chosen='cand')} SELECT samples, string_agg(sample, ',' ORDER BY k) AS recover_candidates FROM top GROUP BY samples", "pairs"),
     "elusive_clusters": with_views(f"WITH {_GREEDY}, {_RECOVER.format(chosen='chosen')}, {_FINISHED.format(chosen='chosen', total='total_targets')}", "pairs", "read_size", recursive=True),
@@ -146,6 +149,7 @@ SELECT coassembly, statistic, CASE WHEN statistic IN ('sequences', 'taxonomy') T
 SELECT coassembly, 'aviary assemble --coassemble -1 ' || s1 || ' -2 ' || s2 || ' --output out/coassemble/' || coassembly || '/assemble -n 64 -t 64 -m 500 --skip-qc &> out/coassemble/logs/' || coassembly || '_assemble.log ' AS assemble,
   'aviary recover --assembly out/coassemble/' || coassembly || '/assemble/assembly/final_contigs.fasta -1 ' || r1 || ' -2 ' || r2 || ' --output out/coassemble/' || coassembly || '/recover --binning-only --refinery-max-iterations 0 -n 32 -t 32 -m 250 --skip-qc &> out/coassemble/logs/' || coassembly || '_recover.log ' AS recover FROM f""", "groups", "read_size", "otu"),
     "interleave_pairs": with_views("WITH h AS (SELECT sample, (number + 1) // 2 AS i, number % 2 AS r, regexp_extract(read, '^[^ ]*(.*)', 1) AS h FROM reads), p AS (SELECT sample, i, max(h) FILTER (r = 1) AS a, max(h) FILTER (r = 0) AS b FROM h GROUP BY ALL), o AS (SELECT sample, count(*) FILTER (a <> b) AS bad FROM p GROUP BY sample), n AS (SELECT sample, count(*) AS n FROM reads GROUP BY sample) SELECT sample, n % 2 = 0 AND bad = 0 AS interleaved, CASE WHEN n % 2 = 1 THEN 'Odd readcount' WHEN bad > 0 THEN 'Consecutive reads do not match (' || bad || '/' || (n // 2) || ')' ELSE 'Duplicate read names in consecutive reads with even readcount' END AS reason FROM n JOIN o USING (sample)", "reads"),
+    "read_file_names": "WITH f AS (SELECT s_suppkey AS k, '/r/' || s_name || CASE s_suppkey % 4 WHEN 0 THEN '_1.fq.gz' WHEN 1 THEN '.1.fastq' WHEN 2 THEN '_R1.fna' ELSE 'R_R1.txt' END AS forward, '/r/' || s_name || CASE s_suppkey % 4 WHEN 0 THEN '_2.fq.gz' WHEN 1 THEN '.2.fastq' WHEN 2 THEN '_R2.fna' ELSE 'R_R2.txt' END AS reverse, s_name AS n FROM supplier) SELECT forward, CASE WHEN k % 3 <> 0 THEN reverse END AS reverse, CASE WHEN k % 3 <> 0 THEN n ELSE n || CASE k % 4 WHEN 0 THEN '_1' WHEN 1 THEN '.1' WHEN 2 THEN '_R1' ELSE 'R_R1.txt' END END AS sample FROM f",
     "interleave_ends": with_views("WITH n AS (SELECT sample, count(*) AS n FROM reads GROUP BY sample), e AS (SELECT r.* FROM reads r JOIN n USING (sample) WHERE number <= 6 OR number > n - 4), p AS (SELECT sample, (number + 1) // 2 AS i, max(regexp_extract('@' || read, '^[^ ]*(.*)', 1)) FILTER (number % 2 = 1) AS a, max(regexp_extract('@' || read, '^[^ ]*(.*)', 1)) FILTER (number % 2 = 0) AS b FROM e GROUP BY ALL), o AS (SELECT sample, count(*) FILTER (a <> b) AS bad FROM p GROUP BY sample), k AS (SELECT sample, count(*) AS k FROM e GROUP BY sample) SELECT sample, n % 2 = 0 AND bad = 0 AS interleaved, CASE WHEN n % 2 = 1 THEN 'Odd readcount' WHEN bad > 0 THEN 'Consecutive reads do not match (' || bad || '/' || (k // 2) || ')' ELSE 'Duplicate read names in consecutive reads with even readcount' END AS reason FROM n JOIN o USING (sample) JOIN k USING (sample)", "reads"),
     "base_pairs_of_files": with_views("SELECT sample, sum(length('ACGT' || number))::BIGINT AS read_size FROM reads GROUP BY sample", "reads"),
     "deinterleave_mates": with_views("SELECT sample, '@' || read AS read, number // 2 AS number FROM reads WHERE number % 2 = 0", "reads"),

@@ -98,6 +98,13 @@ def targets_dense(t):
     return _targets(t).select("gene", "sample", "sequence", "num_hits", "coverage", "taxonomy", "target")
 
 
+@query
+def targets_in_file_order(t):
+    """Ids by the first place of a sequence in the table, which here is in falling order of its key."""
+    rows = t.unbinned().drop("found_in").withColumn("row", -t.number())
+    return targets.dense(rows, row_index="row").groupBy("gene", "sequence", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def targets_taxa_filter(t):
     return targets.chosen(t.otu(), taxa="d__ECONOMY|d__PROMO").groupBy("taxonomy").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("gene", "sequence").alias("n_targets"))
@@ -119,6 +126,12 @@ def edges_pool(t):
     return _edge_text(edges.pools(_targets(t), MIN_COVERAGE, 3))
 
 
+@query
+def edges_pool_sizes(t):
+    """Pools of three and of four samples."""
+    return _edge_text(edges.pools(_targets(t), MIN_COVERAGE, 4))
+
+
 @query
 def edges_single_directional(t):
     return _edge_text(edges.single(_targets(t), MIN_COVERAGE).where("style = 'directional'"))
@@ -253,6 +266,13 @@ def cluster_greedy(t):
     return _chosen(t).select(F.col("key").alias("samples"), "length", "total_targets", "total_size")
 
 
+@query
+def cluster_greedy_rounds(t):
+    """The same choice in distributed rounds."""
+    ranked = scratch.cut(clusters.scored(clusters.sized(_candidates(t), t.read_size())))
+    return clusters.greedy(ranked, one_task=0).select(F.col("key").alias("samples"), "length", "total_targets", "total_size")
+
+
 @query
 def cluster_extra_targets(t):
     h = _hashed(t)
@@ -395,6 +415,14 @@ def _read_lines(t: Tables) -> DataFrame:
     return files.numbered_lines(t.spark, files.write_lines(t.fastq(), path, "sample", "number", "i"))
 
 
+@query
+def read_file_names(t):
+    """Names of samples from those of their read files, with and without mates."""
+    kind = F.col("s_suppkey") % 4
+    name = lambda m: F.concat(F.lit("/r/"), "s_name", F.when(kind == 0, f"_{m}.fq.gz").when(kind == 1, f".{m}.fastq").when(kind == 2, f"_R{m}.fna").otherwise(f"R_R{m}.txt"))
+    return reads.named_files(t.raw("supplier").select(name(1).alias("forward"), F.when(F.col("s_suppkey") % 3 != 0, name(2)).alias("reverse")))
+
+
 @query
 def interleave_ends(t):
     """From text files: pairs among the first three and last two of each file."""

@@ -107,8 +107,18 @@ def test_read_lines(spark, frame):
     assert reads.ends(reads.headers(lines), 1, 1).count() == 2
 
 
-def test_sample_names():
-    assert reads.sample_names(["x/a_1.fastq.gz", "b.1.fq", "c_R1.fq"]) == {"a": "x/a_1.fastq.gz", "b": "b.1.fq", "c": "c_R1.fq"}
-    assert reads.mates(["a_1.fq"], ["a_2.fq"]) == [("a", "a_1.fq", "a_2.fq")]
-    with pytest.raises(ValueError):
-        reads.sample_names(["a_1.fq", "y/a.1.fq"])
+def test_sample_names(frame):
+    assert reads.sample_names(["x/a_1.fastq.gz", "b.1.fq", "c_R1.fa", "d.txt"]) == {"a_1": "x/a_1.fastq.gz", "b.1": "b.1.fq", "c_R1": "c_R1.fa", "d.txt": "d.txt"}
+    pairs = [("x/b.1.fq", "x/b.2.fq"), ("x/a_1.fq.gz", "y/a_2.fq.gz"), ("c_R1.fq", "c_R2.fq"), ("dR_R1.fq", "dR_R2.fq")]
+    own = [p for p in pairs if "/" not in p[0]]
+    assert reads.mates([f for f, _ in own], [r for _, r in reversed(own)]) == [("c", *own[0]), ("d", *own[1])]
+    assert reads.mates(*map(list, zip(*pairs)), keep_order=True) == [("b", *pairs[0]), ("a", *pairs[1]), ("c", *pairs[2]), ("d", *pairs[3])]
+    with pytest.raises(ValueError, match="duplicate"):
+        reads.sample_names(["a.fq", "y/a.fq.gz"])
+    with pytest.raises(ValueError, match="duplicate"):
+        reads.mates(["a_1.fq", "y/a_1.fq"], ["a_2.fq", "y/a_2.fq"])
+    with pytest.raises(ValueError, match="as many"):
+        reads.mates(["a_1.fq"], [])
+    rows = [*pairs, ("x/a_1.fastq.gz", None), ("e.fq", None)]
+    named = reads.named_files(frame(rows, "forward string, reverse string")).collect()
+    assert {r["forward"]: r["sample"] for r in named} == {"x/b.1.fq": "b", "x/a_1.fq.gz": "a", "c_R1.fq": "c", "dR_R1.fq": "d", "x/a_1.fastq.gz": "a_1", "e.fq": "e"}
