@@ -6,8 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: 64-bit words of a filter: 4 MB at most, whatever the input.
-MAX_WORDS = 1 << 19
+#: 64-bit words of a filter: 32 MB at most, whatever the input.
+MAX_WORDS = 1 << 22
 
 
 def build(keys: DataFrame, key: str, n: int, max_words: int = MAX_WORDS) -> np.ndarray:
