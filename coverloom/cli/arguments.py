@@ -81,22 +81,30 @@ def parser() -> argparse.ArgumentParser:
     sub = top.add_subparsers(dest="command", required=True)
     for name, what in (("coassemble", "sets of samples to assemble together"), ("single", "samples to assemble alone")):
         p = sub.add_parser(name, help=what)
-        _general(p), _inputs(p), _planning(p)
+        _general(p)
+        _inputs(p)
+        _planning(p)
     p = sub.add_parser("evaluate", help="what a plan's assemblies have recovered")
-    _general(p), _earlier(p)
+    _general(p)
+    _earlier(p)
     p.add_argument("--recovered-otu", nargs="+", required=True, help="observation tables of the recovered genomes")
     p.add_argument("--recovered-bins", help="name and path of the recovered genomes; else those that have observations")
     _several(p, "new-genomes", "recovered genomes of another run")
     p.add_argument("--coassembly-run", help="name of the run that made them")
     p = sub.add_parser("update", help="an earlier plan again, for chosen sets")
-    _general(p), _earlier(p), _inputs(p)
+    _general(p)
+    _earlier(p)
+    _inputs(p)
     _several(p, "coassemblies", "names of the sets to keep")
     p.add_argument("--single-ended", help="file with the samples that turned out to have one read of a pair only")
     for name, value in (("assemble-threads", 64), ("assemble-memory", 500), ("recover-threads", 32), ("recover-memory", 250)):
         p.add_argument(f"--{name}", type=int, default=value)
     p.add_argument("--speed", choices=("fast", "comprehensive"), default="fast")
     p = sub.add_parser("iterate", help="the next plan, with the genomes recovered since")
-    _general(p), _earlier(p), _inputs(p), _planning(p)
+    _general(p)
+    _earlier(p)
+    _inputs(p)
+    _planning(p)
     p.add_argument("--new-query", nargs="+", default=[], help="hits of the unbinned sequences in the new genomes")
     _several(p, "new-genomes", "new genomes")
     p.add_argument("--elusive-clusters", nargs="+", default=[], help="plans before the last one")
