@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from coverloom.llm.url_filter import maybe_in
-from coverloom.llm.util import ascii_lower, bounded, let, materialize
+from coverloom.llm.util import bounded, let, materialize
 
 #: Rows of a benchmark-sized table (terms, windows) that may be broadcast.
 BROADCAST_ROWS = 50_000

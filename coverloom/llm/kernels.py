@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 
@@ -10,6 +13,8 @@ from coverloom.llm.util import ship
 U = np.uint64
 #: Bytes of text that one step of a kernel works on; longer texts are taken whole where words are needed.
 PIECE = 1 << 20
+#: Bytes of words that are hashed at once.
+BLOCK = 1 << 16
 
 
 def column(batch, name: str):
@@ -27,6 +32,23 @@ def column(batch, name: str):
     return data, starts, ends, valid
 
 
+def tidy(run):
+    """run (over Arrow batches), after which the worker, which Spark keeps for later tasks, gives back the memory that it holds unused."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return tidied
+
+
 def pieces(starts, ends, size: int = PIECE):
     """Ranges of rows of about `size` bytes together."""
     i, n = 0, len(starts)
@@ -65,9 +87,9 @@ def mix(x):
     return x
 
 
-def weights(n: int, seed: int) -> np.ndarray:
-    """n odd 64-bit multipliers, the first ones of one stream for a seed."""
-    return mix((np.arange(n, dtype=np.uint64) + U(seed * 1_000_003 + 1)) * U(0x9E3779B97F4A7C15)) | U(1)
+def weights(n: int, seed: int, start: int = 0) -> np.ndarray:
+    """n odd 64-bit multipliers of one stream for a seed, from the place `start` on."""
+    return mix((np.arange(start, start + n, dtype=np.uint64) + U(seed * 1_000_003 + 1)) * U(0x9E3779B97F4A7C15)) | U(1)
 
 
 def split_words(d, starts, ends, table):
@@ -85,16 +107,29 @@ def split_words(d, starts, ends, table):
 
 
 def hash_words(d, first, last, seed: int = 1):
-    """64-bit hash of each word d[first:last]."""
-    if not len(first):
-        return np.zeros(0, np.uint64)
+    """64-bit hash of each word d[first:last], by BLOCK bytes at a time, so that memory follows the number of words alone."""
     n = last - first
-    base = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n)
-    at = np.arange(int(n.sum()), dtype=np.int64)
-    at += base
-    within = at - np.repeat(first, n)
-    v = (d[at].astype(np.uint64) + U(1)) * weights(int(n.max()), seed)[within]
-    return mix(np.add.reduceat(v, np.concatenate(([0], np.cumsum(n)[:-1]))) + n.astype(np.uint64))
+    out = np.zeros(len(first), np.uint64)
+    long = n > BLOCK
+    for i in np.flatnonzero(long):
+        for a in range(0, int(n[i]), BLOCK):
+            part = d[first[i] + a : min(first[i] + a + BLOCK, last[i])]
+            out[i : i + 1] += ((part.astype(np.uint64) + U(1)) * weights(len(part), seed, a)).sum(dtype=np.uint64)
+    own = np.flatnonzero(~long & (n > 0))
+    if len(own):
+        multipliers = weights(int(n[own].max()), seed)
+        ends = np.cumsum(n[own])
+        cuts = np.searchsorted(ends, np.arange(BLOCK, ends[-1], BLOCK))
+        for part in np.split(own, np.unique(cuts)):
+            if not len(part):
+                continue
+            size = n[part]
+            start = np.cumsum(size) - size
+            within = np.arange(int(size.sum()))
+            at = within + np.repeat(first[part] - start, size)
+            within -= np.repeat(start, size)
+            out[part] = np.add.reduceat((d[at].astype(np.uint64) + U(1)) * multipliers[within], start)
+    return mix(out + n.astype(np.uint64))
 
 
 def grams(h, k: int, seed: int = 7):

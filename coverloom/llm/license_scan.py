@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverloom.llm.kernels import U, byte_set, column, grams, hash_words, lower_table, mix, pieces, split_words, tidy, weights
+from coverloom.llm.kernels import U, byte_set, column, grams, hash_words, lower_table, pieces, split_words, tidy, weights
 from coverloom.llm.util import arrow_batches, ship
 
 SHINGLE, CONTAINMENT, MISS, LEAST_CLASS = 5, 0.8, 1e-3, 2

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.llm.components import components
-from coverloom.llm.kernels import U, mix, shingle_sets
+from coverloom.llm.kernels import U, mix, shingle_sets, tidy
 from coverloom.llm.util import arrow_batches, discard, let, materialize, ship
 
 #: Cells of the counters that find hot shingles, and how far above the median a cell counts as hot.
@@ -44,7 +44,7 @@ COUNTERS, HOT = 1 << 16, 1 << 18
 #: Sizes beyond which no boundary is looked for; the subsets of far smaller sets outnumber their lists.
 LARGEST_LIGHT = 64
 #: Hash entries that a task packs at once, and about how many a range has.
-FLUSH, RANGE = 1 << 20, 1 << 20
+FLUSH, RANGE = 1 << 19, 1 << 20
 #: Bits of a shingle's hash that tell shingles apart.
 BITS = 48
 #: Classes that a task remembers, to pack a class that it meets again once.
@@ -111,7 +111,7 @@ def _classes(k: int):
         n = len(at)
         yield pa.RecordBatch.from_arrays([pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.array(at), pa.array(counts[at]), pa.nulls(n, pa.list_(pa.int64()))], names)
 
-    return run
+    return tidy(run)
 
 
 def _subsets(percent: int, light: int):
@@ -137,7 +137,7 @@ def _subsets(percent: int, light: int):
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)], names)
 
-    return run
+    return tidy(run)
 
 
 def _packed(k: int, percent: int, light: int, ranges: int, hot):
@@ -185,7 +185,7 @@ def _packed(k: int, percent: int, light: int, ranges: int, hot):
         if sets:
             yield pack(sets, sigs)
 
-    return run
+    return tidy(run)
 
 
 def _shared(ranges: int):
@@ -222,7 +222,7 @@ def _shared(ranges: int):
         if blobs:
             yield solve(now, blobs)
 
-    return run
+    return tidy(run)
 
 
 def _fits(percent: int, n, place, m):

@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm.kernels import U, column, hash_words, mix, pieces, weights
+from coverloom.llm.kernels import U, column, hash_words, mix, pieces, tidy, weights
 from coverloom.llm.util import arrow_batches, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text of one step, of distinct chunks in one set of lattices, and of a chunk that is walked in windows of WINDOW bytes.
-STEP, LATTICE, LONG, WINDOW = 1 << 20, 1 << 18, 1 << 12, 1 << 15
+STEP, LATTICE, LONG, WINDOW = 1 << 20, 1 << 16, 1 << 12, 1 << 15
 #: Bits of a piece's key that a table looks up first.
 SIEVE = 17
 #: Places between two rescalings of the forward sums of a long chunk.
@@ -346,7 +346,7 @@ def encode(docs: DataFrame, path: str = MODEL, key: str = "doc_id", text: str =
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.ListArray.from_arrays(off, pa.array(ids.astype(np.int32))), pa.array(same)], ["doc_id", "ids", "lossless"])
 
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, ids array<int>, lossless boolean")
+    return own.mapInArrow(tidy(run), "doc_id long, ids array<int>, lossless boolean")
 
 
 def decode(encoded: DataFrame, path: str = MODEL, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -361,7 +361,7 @@ def decode(encoded: DataFrame, path: str = MODEL, key: str = "doc_id", ids: str
             out = [None if x is None else decode_ids(np.array(x, np.int64), vocab)[0].tobytes().decode() for x in lists.to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
 
-    return encoded.select(F.col(key).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, "doc_id long, text string")
+    return encoded.select(F.col(key).alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(tidy(run), "doc_id long, text string")
 
 
 ship(__name__)

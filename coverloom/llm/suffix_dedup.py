@@ -29,8 +29,6 @@ one goes from all; extra columns are dropped.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coverloom.llm import bloom
-from coverloom.llm.kernels import U, column, maybe_in, mix, weights
+from coverloom.llm.kernels import U, column, maybe_in, mix, tidy, weights
 from coverloom.llm.util import arrow_batches, materialize, ship
 
 QGRAM, LENGTH = 32, 100
@@ -140,7 +138,7 @@ def _grams(q: int, length: int):
                 k, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(n.astype(np.int64))], ["k", "n"])
 
-    return run
+    return tidy(run)
 
 
 NAMES = ["doc", "pos", "k", "low", "high", "bytes"]
@@ -166,7 +164,7 @@ def _strings(q: int, length: int, wanted, hot, of_hot: bool):
                     strings = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32)), pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(place), pa.array(gram.view(np.int64)), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)), strings], NAMES)
 
-    return run
+    return tidy(run)
 
 
 def _ranks(*parts):
@@ -272,7 +270,7 @@ def _refine_buckets(q: int, length: int):
         if held and sum(x.num_rows for x in held):
             yield solve(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
-    return run
+    return tidy(run)
 
 
 def _cut(whole: bool):
@@ -311,7 +309,7 @@ def _cut(whole: bool):
             rest = [c for c in b.schema.names if c not in ("doc_id", "text", "spans")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, out.T.copy()), pa.array(kept, pa.binary()), *map(b.column, rest)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *rest])
 
-    return run
+    return tidy(run)
 
 
 def _refined(strings: DataFrame, q: int, length: int) -> DataFrame:
@@ -335,7 +333,9 @@ def _refined(strings: DataFrame, q: int, length: int) -> DataFrame:
 
 
 def spans(own: DataFrame, q: int = QGRAM, length: int = LENGTH, hot: int = HOT) -> DataFrame:
-    """Covered byte ranges (doc, s, e), which may overlap; own: doc_id and text."""
+    """Covered byte ranges (doc, s, e), which may overlap; own: doc_id and text. length: 2 q to 4 q, which two refinements of a q-gram reach."""
+    if not 2 * q <= length <= 4 * q:
+        raise ValueError("length must be 2 q to 4 q")
     spark = own.sparkSession
     counted = own.select("text").mapInArrow(_grams(q, length), "k long, n long")
     repeated = materialize(counted.groupBy("k").agg(F.sum("n").alias("n")).where("n > 1"), "qgrams")

@@ -100,7 +100,7 @@ def bounded(df: DataFrame, limit: int) -> DataFrame:
 def arrow_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     """Bound the bytes of an Arrow batch sent to Python workers, however long the texts are. The session's setting is only ever lowered."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("bB")) > size:
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > size:
         spark.conf.set(key, str(size))
 
 
