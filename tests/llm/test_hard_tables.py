@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from coverloom.llm import decontamination, language_id, license_scan, ngram_join, quality_model, quality_rules, sentence_pieces, sharding, suffix_dedup, url_filter
-from coverloom.llm.kernels import column
 from tests.llm import brute
 
 EXTRA = "k1, k, c, e, n, id, doc, pos, rep, root, node, size, part, rows, file, bytes, kept, spans, score, runs, items, hits, matches, word, term, window, start, block, bits, _doc, _maybe, _c, _text, _r, _in, _key"
