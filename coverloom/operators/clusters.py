@@ -12,8 +12,8 @@ from coverloom.functions.index import numbered
 from coverloom.functions.text import sample_key
 from coverloom.scratch import cut, small
 
-#: Candidates of one length that one task may choose among; more are chosen in distributed rounds.
-ONE_TASK = 50_000
+#: Candidates of one length that one task may choose among (about 330 bytes each there); more are chosen in distributed rounds.
+ONE_TASK = 600_000
 
 
 def restrict(edges: DataFrame, samples: list[str]) -> DataFrame:
