@@ -143,5 +143,48 @@ WITH d AS (
 SELECT d.doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
        sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+""",
+    "op11_merkle_manifest": """
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS tab FROM range(256) AS x(b)
+), e AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, n_chars,
+         coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS before,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS behind,
+         CASE WHEN xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, x: xor(c // 256, tab[xor(c, x) % 256 + 1]), 4294967295), 4294967295) % 7 = 0
+              THEN n_chars + 1 ELSE n_chars END AS changed
+  FROM documents, crc
+), l AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM (SELECT r, doc_id, coalesce(lang, '') || (lang IS NULL) AS t, lang,
+               sha256(before || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') || behind) AS leaf,
+               sha256(before || coalesce(length(changed::VARCHAR) || ':' || changed, '-') || behind) AS claimed FROM e)
+), lev AS (
+  SELECT t, 0 AS k, i, leaf AS h FROM l
+  UNION ALL
+  SELECT t, k + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER (PARTITION BY t) AS n FROM lev) WHERE n > 1 GROUP BY t, k, i // 2
+), sub AS (
+  SELECT t, max(k) AS depth, arg_max(h, k) AS subroot, row_number() OVER (ORDER BY any_value(lang) NULLS FIRST) - 1 AS g FROM lev JOIN (SELECT DISTINCT t, lang FROM l) USING (t) GROUP BY t
+), up AS (
+  SELECT 0 AS k, g AS i, subroot AS h FROM sub
+  UNION ALL
+  SELECT k + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER () AS n FROM up) WHERE n > 1 GROUP BY k, i // 2
+), whole AS (SELECT max(k) AS depth, arg_max(h, k) AS root FROM up
+), places AS (
+  SELECT r, x.k, x.i % 2 AS odd, s.h
+  FROM (SELECT r, t, k, i // (1 << k) AS i FROM (SELECT r, t, i, unnest(range(depth)) AS k FROM l JOIN sub USING (t))) x LEFT JOIN lev s ON s.t = x.t AND s.k = x.k AND s.i = xor(x.i, 1)
+  UNION ALL
+  SELECT r, x.k + 1000, x.i % 2, u.h
+  FROM (SELECT r, k, g // (1 << k) AS i FROM (SELECT r, g, unnest(range(whole.depth)) AS k FROM l JOIN sub USING (t), whole)) x LEFT JOIN up u ON u.k = x.k AND u.i = xor(x.i, 1)
+), p AS MATERIALIZED (
+  SELECT r, list(struct_pack(a := CASE WHEN odd = 1 THEN coalesce(h, '') ELSE '' END, b := CASE WHEN odd = 0 THEN coalesce(h, '') ELSE '' END) ORDER BY k) AS s,
+         string_agg(coalesce(h, ''), '' ORDER BY k) AS all_of FROM places GROUP BY r
+), f AS (
+  SELECT l.r, 0 AS k, claimed AS acc, coalesce(len(s), 0) AS n, s FROM l LEFT JOIN p ON p.r = l.r
+  UNION ALL
+  SELECT r, k + 1, sha256(s[k + 1].a || acc || s[k + 1].b), n, s FROM f WHERE k < n
+)
+SELECT l.doc_id, leaf, subroot, root, sha256(coalesce(all_of, '')) AS proof_sha256, acc AS folded_root, acc = root AS verified
+FROM l JOIN sub USING (t) CROSS JOIN whole JOIN f ON f.r = l.r AND f.k = f.n LEFT JOIN p ON p.r = l.r
 """,
 }

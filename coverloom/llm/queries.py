@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import decontamination, language_id, license_scan, ngram_join, quality_model, quality_rules, sentence_pieces, sharding, suffix_dedup, url_filter
+from coverloom.llm import decontamination, language_id, license_scan, merkle, ngram_join, quality_model, quality_rules, sentence_pieces, sharding, suffix_dedup, url_filter
 from coverloom.llm.util import scratch_path, table
 
 
@@ -79,4 +79,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op6_sharding, op7_license_scan, op8_quality_model, op9_sentence_pieces, op10_suffix_dedup)}
+#: The fields of a leaf, in their order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh document (by a hash of its id) is held against the manifest with one character more than it has."""
+    docs = table(spark, sf_dir, "documents").select(*LEAF)
+    changed = docs.n_chars + F.when(F.coalesce(_remainder(7) == 0, F.lit(False)), 1).otherwise(0)
+    claimed = merkle.digest(*[changed if c == "n_chars" else docs[c] for c in LEAF])
+    proofs = merkle.prove(merkle.build(docs, LEAF, "lang", "doc_id", keep={"doc_id": docs.doc_id, "claimed": claimed}))
+    folded = proofs.withColumns({"proof_sha256": merkle.proof_digest(F.col("proof")), "folded_root": merkle.fold(F.col("claimed"), F.col("proof"))})
+    return folded.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op6_sharding, op7_license_scan, op8_quality_model, op9_sentence_pieces, op10_suffix_dedup, op11_merkle_manifest)}
