@@ -186,5 +186,20 @@ WITH RECURSIVE crc AS (
 )
 SELECT l.doc_id, leaf, subroot, root, sha256(coalesce(all_of, '')) AS proof_sha256, acc AS folded_root, acc = root AS verified
 FROM l JOIN sub USING (t) CROSS JOIN whole JOIN f ON f.r = l.r AND f.k = f.n LEFT JOIN p ON p.r = l.r
+""",
+    "op12_line_dedup": """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), l AS (
+  SELECT r, doc_id, i, ls[i] AS line, translate(trim(ls[i], concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)
+), c AS (
+  SELECT key, max(doc_id) AS last FROM (SELECT DISTINCT r, doc_id, key FROM l WHERE length(key) >= 20) GROUP BY key HAVING count(*) >= 3
+), k AS (
+  SELECT r, doc_id, i, line, c.key IS NOT NULL AND doc_id IS DISTINCT FROM c.last AS gone FROM l LEFT JOIN c ON c.key = l.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM k GROUP BY r
 """,
 }
