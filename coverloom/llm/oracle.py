@@ -201,5 +201,32 @@ WITH d AS (
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM k GROUP BY r
+""",
+    "op13_collocations": """
+WITH p AS (
+  SELECT row_number() OVER () AS r, lang, ws FROM (
+    SELECT lang, regexp_extract_all(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS ws
+    FROM (SELECT text, coalesce(lang, 'und') AS lang FROM documents))
+), w AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM p
+), total AS (SELECT lang, count(*) AS n FROM w GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, k, array_to_string(ws[i:i+k-1], ' ') AS phrase, count(*) AS a FROM w, range(1, 6) AS x(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 100
+), c AS MATERIALIZED (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1
+), parts AS (
+  SELECT DISTINCT lang, a, array_to_string(ws[i:i+j-1], ' ') AS phrase FROM c, range(1, 5) AS x(i), range(2, 5) AS y(j) WHERE j < k AND i + j - 1 <= k
+), alone AS (
+  SELECT c.* FROM c ANTI JOIN parts ON c.lang = parts.lang AND c.phrase = parts.phrase AND parts.a >= c.a
+), cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j+1:], ' ') AS y FROM alone, range(1, 5) AS z(j) WHERE j < k
+), s AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, j, l.a AS l, r.a AS r, n, (1000::HUGEINT * cuts.a * n) // (l.a::HUGEINT * r.a) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y JOIN total ON total.lang = cuts.lang
+), best AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM best QUALIFY rank <= 2000
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coverloom.llm import decontamination, language_id, license_scan, line_dedup, merkle, ngram_join, quality_model, quality_rules, sentence_pieces, sharding, suffix_dedup, url_filter
+from coverloom.llm import collocations, decontamination, language_id, license_scan, line_dedup, merkle, ngram_join, quality_model, quality_rules, sentence_pieces, sharding, suffix_dedup, url_filter
 from coverloom.llm.util import scratch_path, table
 
 
@@ -99,4 +99,8 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op6_sharding, op7_license_scan, op8_quality_model, op9_sentence_pieces, op10_suffix_dedup, op11_merkle_manifest, op12_line_dedup)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents")).withColumnRenamed("grp", "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_ngram_join, op3_url_filter, op4_decontamination, op5_language_id, op6_sharding, op7_license_scan, op8_quality_model, op9_sentence_pieces, op10_suffix_dedup, op11_merkle_manifest, op12_line_dedup, op13_collocations)}
