@@ -78,3 +78,74 @@ def quality(text):
     twice = {g for g in grams if grams.count(g) > 1}
     cover = {i + k for i, g in enumerate(grams) if g in twice for k in range(5)}
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(cover)
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(groups, fanout=2):
+    """groups: {group: leaves in order}. (root, {group: (subroot, [(left, right), ...] of each leaf up to the root)})"""
+
+    def tree(nodes):
+        steps = [[] for _ in nodes]
+        at = list(range(len(nodes)))
+        while len(nodes) > 1:
+            runs = [nodes[i : i + fanout] for i in range(0, len(nodes), fanout)]
+            for leaf, p in enumerate(at):
+                run, own = runs[p // fanout], p % fanout
+                steps[leaf].append(("".join(run[:own]), "".join(run[own + 1 :])))
+                at[leaf] = p // fanout
+            nodes = [sha(*run) for run in runs]
+        return nodes[0], steps
+
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    subs = {g: tree(groups[g]) for g in order}
+    root, above = tree([subs[g][0] for g in order])
+    return root, {g: (subs[g][0], [own + above[i] for own in subs[g][1]]) for i, g in enumerate(order)}
+
+
+def lines(docs, min_chars=20, min_docs=3):
+    """docs: (id, text), one for each text. [(id, lines, dropped, what is left)]"""
+    key = lambda line: line.strip(b" \t\n\x0b\x0c\r").lower()
+    holders = {}
+    for i, t in docs:
+        for k in {key(x) for x in (t or "").encode().split(b"\n")}:
+            if len(k.decode()) >= min_chars:
+                holders.setdefault(k, []).append(i)
+    last = lambda ids: max(ids, key=lambda i: (i is not None, i or 0))
+    out = []
+    for i, t in docs:
+        all_of = (t or "").encode().split(b"\n")
+        left = [x for x in all_of if len(holders.get(key(x), ())) < min_docs or last(holders[key(x)]) == i]
+        out.append((i, len(all_of), len(all_of) - len(left), b"\n".join(left)))
+    return out
+
+
+def collocations(docs, min_count, longest=5, top=2000):
+    """docs: (group, text). [(group, rank, phrase, a, l, r, n, score)]"""
+    n, f = {}, {}
+    for g, t in docs:
+        g = "und" if g is None else g
+        for piece in re.split(rb"[.,;:!?\x0A-\x0D]", lower(t)):
+            w = re.findall(rb"[^\x20\x09]+", piece)
+            n[g] = n.get(g, 0) + len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    f[g, tuple(w[i : i + k])] = f.get((g, tuple(w[i : i + k])), 0) + 1
+    found = {x: a for x, a in f.items() if len(x[1]) > 1 and a >= min_count}
+    inside = {}
+    for (g, p), a in found.items():
+        for i in range(len(p)):
+            for j in range(i + 2, len(p) + 1):
+                if j - i < len(p):
+                    inside[g, p[i:j]] = max(inside.get((g, p[i:j]), 0), a)
+    rows = {}
+    for (g, p), a in found.items():
+        if inside.get((g, p), 0) < a:
+            score, _, left, right = min((1000 * a * n[g] // (f[g, p[:k]] * f[g, p[k:]]), k, f[g, p[:k]], f[g, p[k:]]) for k in range(1, len(p)))
+            rows.setdefault(g, []).append((-score, -a, b" ".join(p), left, right))
+    out = []
+    for g, own in rows.items():
+        out += [(g, i + 1, p.decode(), -a, left, right, n[g], -s) for i, (s, a, p, left, right) in enumerate(sorted(own)[:top])]
+    return sorted(out)
