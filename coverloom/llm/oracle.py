@@ -112,12 +112,25 @@ WITH lowered AS (
   SELECT DISTINCT g.id, g.i, g.n, win.item FROM grams g JOIN win ON g.n = win.n AND g.phrase = win.phrase
 ), cov AS (
   SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY id
+), b AS (
+  SELECT row_number() OVER () AS v, terms FROM (SELECT DISTINCT ws[i:i+9] AS terms FROM (SELECT ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS i FROM w WHERE kind = 'b' AND len(ws) > 0))
+), offs AS (
+  SELECT v, off, terms[off] AS term FROM (SELECT v, terms, unnest(range(1, len(terms) + 1)) AS off FROM b)
+), tok AS MATERIALIZED (
+  SELECT id, pos, ws[pos] AS term FROM (SELECT id, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w WHERE kind = 'd') WHERE ws[pos] IN (SELECT term FROM offs)
+), ranked AS (
+  SELECT v, offs.term, row_number() OVER (PARTITION BY v ORDER BY coalesce(df, 0), off) AS k FROM offs LEFT JOIN (SELECT term, count(*) AS df FROM tok GROUP BY term) x ON x.term = offs.term
+), pairs AS (
+  SELECT DISTINCT x.term AS a, y.term AS b FROM ranked x JOIN ranked y ON x.v = y.v AND x.k = 1 AND y.k = 2
+), near AS (
+  SELECT id, count(DISTINCT (a, b)) AS n_near
+  FROM (SELECT p.id, pairs.a, pairs.b FROM tok p JOIN pairs ON pairs.a = p.term JOIN tok q ON q.id = p.id AND q.term = pairs.b AND q.pos <> p.pos AND abs(q.pos - p.pos) <= 9) GROUP BY id
 ), its AS (
   SELECT id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item::VARCHAR, ',' ORDER BY item::VARCHAR) AS items FROM hit GROUP BY id
 )
 SELECT w.id AS doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM w LEFT JOIN cov ON w.id = cov.id LEFT JOIN its ON w.id = its.id WHERE kind = 'd'
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM w LEFT JOIN cov ON w.id = cov.id LEFT JOIN its ON w.id = its.id LEFT JOIN near ON w.id = near.id WHERE kind = 'd'
 """,
     # what is stored and read back through the manifest; places of rows aren't for SQL
     "op6_sharding": "SELECT doc_id, octet_length(encode(text))::BIGINT AS n_bytes, sha256(text) AS text_sha256, true AS live FROM documents",

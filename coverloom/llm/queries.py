@@ -26,17 +26,18 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+    d = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), near=True)
+    return d.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated", "n_near")
 
 
 def _remainder(n: int):
-    return F.crc32(F.col("doc_id").cast("string")) % n
+    """Of the id's CRC; -1 for a null id, which is in no part."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(-1))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language_id.train(docs.where(F.coalesce(_remainder(3) != 1, F.lit(True))))
+    model = language_id.train(docs.where(_remainder(3) != 1))
     out = language_id.identify(docs, model)
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "lang_pred", "score", "runs")
 
@@ -86,7 +87,7 @@ LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh document (by a hash of its id) is held against the manifest with one character more than it has."""
     docs = table(spark, sf_dir, "documents").select(*LEAF)
-    changed = docs.n_chars + F.when(F.coalesce(_remainder(7) == 0, F.lit(False)), 1).otherwise(0)
+    changed = docs.n_chars + F.when(_remainder(7) == 0, 1).otherwise(0)
     claimed = merkle.digest(*[changed if c == "n_chars" else docs[c] for c in LEAF])
     proofs = merkle.prove(merkle.build(docs, LEAF, "lang", "doc_id", keep={"doc_id": docs.doc_id, "claimed": claimed}))
     folded = proofs.withColumns({"proof_sha256": merkle.proof_digest(F.col("proof")), "folded_root": merkle.fold(F.col("claimed"), F.col("proof"))})
