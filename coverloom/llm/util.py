@@ -57,11 +57,11 @@ def collecting():
         _collected.pop()
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut and a lost executor loses nothing."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     free_shuffles(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
