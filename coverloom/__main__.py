@@ -7,7 +7,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from coverloom.cli import config
-from coverloom.cli.arguments import ArgumentError, parser
+from coverloom.cli.arguments import ArgumentError, Given, parser
 from coverloom.cli.run import run, with_config
 
 
@@ -17,8 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("coverloom").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
         if a.config:
-            needed = [x for n in ("recovered_otu",) if hasattr(a, n) for x in (f"--{n.replace('_', '-')}", *getattr(a, n))]
-            a = with_config(a, parser().parse_args([a.command, *needed]), config.parse(config.read(spark, a.config)))
+            a = with_config(a, vars(parser(Given).parse_args(argv)), config.parse(config.read(spark, a.config)))
         run(spark, a)
     except ArgumentError as e:
         print(f"coverloom: {e}", file=sys.stderr)

@@ -16,6 +16,13 @@ class ArgumentError(ValueError):
     """Arguments that don't fit together."""
 
 
+class Given(argparse.ArgumentParser):
+    """Returns the arguments that are given alone, without the others' defaults."""
+
+    def add_argument(self, *names, **kw):
+        return super().add_argument(*names, **(kw | {"default": argparse.SUPPRESS}))
+
+
 def _size(text: str) -> float | None:
     return None if text == "None" else float(text)
 
@@ -76,8 +83,8 @@ def _earlier(p: argparse.ArgumentParser) -> None:
         p.add_argument(f"--coassemble-{name}", help="this table of an earlier run, if not by its folder")
 
 
-def parser() -> argparse.ArgumentParser:
-    top = argparse.ArgumentParser(prog="coverloom", description="Plan, evaluate and repeat the group assembly of samples.")
+def parser(kind: type[argparse.ArgumentParser] = argparse.ArgumentParser) -> argparse.ArgumentParser:
+    top = kind(prog="coverloom", description="Plan, evaluate and repeat the group assembly of samples.")
     sub = top.add_subparsers(dest="command", required=True)
     for name, what in (("coassemble", "sets of samples to assemble together"), ("single", "samples to assemble alone")):
         p = sub.add_parser(name, help=what)

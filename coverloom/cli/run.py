@@ -180,10 +180,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return COMMANDS[a.command](spark, a)
 
 
-def with_config(a: argparse.Namespace, defaults: argparse.Namespace, given: dict) -> argparse.Namespace:
-    """Arguments over an earlier run's configuration over the defaults."""
-    changed = {k: x for k, x in vars(a).items() if x != getattr(defaults, k, None)}
-    known = {k: x for k, x in given.items() if k in vars(a) and k not in ("command", "config")}
-    return argparse.Namespace(**config.merged(vars(defaults), known, changed))
-
+def with_config(a: argparse.Namespace, given: dict, earlier: dict) -> argparse.Namespace:
+    """Arguments that are given, even as their default, over an earlier run's configuration over the defaults. A value given one way takes the place of the configuration's in any way."""
+    anew = {f"{n}{w}" for n in WAYS for w in ("", "_list", "_dir") if any(f"{n}{x}" in given for x in ("", "_list", "_dir"))}
+    known = {k: x for k, x in earlier.items() if k in vars(a) and k not in ("command", "config") and k not in anew}
+    return argparse.Namespace(**(config.merged(vars(a), known) | given))
 

@@ -35,16 +35,20 @@ def hashed(unbinned: DataFrame, samples=None, taxa: str | None = None) -> DataFr
 
 
 def abundance_weights(unbinned: DataFrame, binned: DataFrame, samples: list[str] | None = None) -> DataFrame:
-    """(gene, sequence, weight): mean over the samples that have the gene of the sequence's share of the gene's coverage."""
+    """(gene, sequence, weight): mean over the samples that have the gene of the sequence's share of the gene's coverage.
+
+    A sample without the sequence adds nothing to the sum and one to the count, so rows that are seen meet their sample's total, and
+    the count of samples is one number for each gene. A sequence that stands in a sample more than once counts once more for each row.
+    """
     cols = ["gene", "sample", "sequence", "coverage"]
-    totals = binned.select(*cols).unionByName(unbinned.select(*cols)).groupBy("sample", "gene").agg(F.sum("coverage").alias("total"))
+    totals = binned.select(*cols).unionByName(unbinned.select(*cols))
     if samples:
         totals = totals.where(F.col("sample").isin(*samples))
-    keys = unbinned.select("gene", "sequence").distinct()
-    seen = unbinned.select("sample", "gene", "sequence", "coverage")
-    share = keys.join(totals, "gene").join(seen, ["sample", "gene", "sequence"], "left")
-    weight = F.avg(F.coalesce("coverage", F.lit(0.0)) / F.col("total"))
-    return share.groupBy("gene", "sequence").agg(weight.alias("weight")).where("weight > 0")
+    totals = totals.groupBy("sample", "gene").agg(F.sum("coverage").alias("total")).where("total is not null")
+    have = totals.groupBy("gene").agg(F.count("total").alias("have"))  # reads the totals, so that both take one shuffle
+    seen = unbinned.where("sequence is not null").groupBy("sample", "gene", "sequence").agg(F.sum("coverage").alias("c"), (F.count(F.lit(1)) - 1).alias("again"))
+    share = seen.join(totals, ["sample", "gene"]).groupBy("gene", "sequence").agg(F.sum(F.col("c") / F.col("total")).alias("share"), F.sum("again").alias("again"))
+    return share.join(have, "gene").select("gene", "sequence", (F.col("share") / (F.col("have") + F.col("again"))).alias("weight")).where("weight > 0")
 
 
 def target_weights(targets: DataFrame, weights: DataFrame) -> DataFrame:

@@ -44,8 +44,10 @@ def plan(unbinned: DataFrame, binned: DataFrame, read_size: DataFrame, p: Params
 def choose(found: DataFrame, read_size: DataFrame, p: Params, weights: DataFrame | None = None) -> DataFrame:
     """Ranked clusters from edges."""
     single = p.largest == 1
-    if weights is not None and weights.isEmpty():
-        found = found.where(F.lit(False))
+    if weights is not None:
+        weights = cut(weights, "weights")  # read twice
+        if weights.isEmpty():
+            found = found.where(F.lit(False))
     least = p.min_cluster_targets if p.min_cluster_targets is not None else clusters.min_targets(found)
     if single:
         usable, candidates = found, clusters.of_sources(found, list(p.coassembly_samples) or None)

@@ -4,8 +4,8 @@ import pytest
 
 from coverloom import __main__ as main
 from coverloom.cli import config
-from coverloom.cli.arguments import ArgumentError, params, parser, verify
-from coverloom.cli.run import PLACES, _values
+from coverloom.cli.arguments import ArgumentError, Given, params, parser, verify
+from coverloom.cli.run import PLACES, _values, with_config
 from coverloom.sources import files
 
 OTU = "gene\tsample\tsequence\tnum_hits\tcoverage\ttaxonomy\n"
@@ -101,6 +101,14 @@ def test_values_of_an_earlier_configuration_hold(spark, folder):
     assert set(clusters(spark, folder / "c")) == {"A1,A2", "A3,A4"}
 
 
+def test_what_is_given_holds_over_a_configuration():
+    earlier = {"min_sequence_coverage": 5, "max_coassembly_size": 20, "sample_otu": ["a", "b"], "speed": "comprehensive", "assemble_unmapped": True, "command": "single", "unknown": 1}
+    args = ["coassemble", "--sample-read-size", "s", "--min-sequence-coverage", "10", "--max-coassembly-size", "None", "--sample-otu-list", "l"]
+    a = with_config(parser().parse_args(args), vars(parser(Given).parse_args(args)), earlier)
+    assert (a.min_sequence_coverage, a.max_coassembly_size, a.sample_otu, a.sample_otu_list) == (10.0, None, [], "l")
+    assert (a.command, a.speed, a.assemble_unmapped, a.num_coassembly_samples) == ("coassemble", "comprehensive", True, 2) and not hasattr(a, "unknown")
+
+
 def test_prior_assemblies_must_fit(folder):
     (folder / "prior.tsv").write_text("name\tassembly\nA1\tx.fna\nA9\ty.fna\n")
     args = ["single", "--sample-otu", folder / "one.tsv", "--sample-read-size", folder / "size.csv", "--prior-assemblies", folder / "prior.tsv", "--output", folder / "p"]

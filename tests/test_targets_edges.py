@@ -107,3 +107,24 @@ def test_synthetic_grid_of_the_baseline(spark, frame):
     data = [(f"s{s}", g * 10 + q, 5.1) for g in range(3) for s in range(8) for q in range(10)]
     e = edges.multi(tgt(frame, data), 10, 4).collect()
     assert sum(r["style"] == "match" for r in e) == 28 and {r["cluster_size"] for r in e if r["style"] == "pool"} == {3, 4}
+
+
+@pytest.mark.parametrize("samples", [None, ["s0", "s2", "s5"]])
+def test_weights_are_those_of_all_sequences_in_all_samples_of_their_gene(spark, frame, samples):
+    """Held against the mean over the whole product; a sequence that stands in a sample twice counts twice."""
+    rows = [(f"g{i % 3}", f"s{i * i % 7}", f"q{i * 5 % 11}", 1 + i % 4) for i in range(60)]
+    known = [(f"g{i % 2}", f"s{i % 9}", "k", 3) for i in range(15)]
+    total = {}
+    for g, s, q, c in rows + known:
+        if samples is None or s in samples:
+            total[g, s] = total.get((g, s), 0) + c
+    want = {}
+    for g, q in {(g, q) for g, _, q, _ in rows}:
+        each = []
+        for h, s in total:
+            if h == g:
+                each += [c / total[g, s] for x, y, z, c in rows if (x, y, z) == (g, s, q)] or [0.0]
+        if sum(each):
+            want[g, q] = sum(each) / len(each)
+    got = targets.abundance_weights(otu(frame, rows), otu(frame, known), samples).collect()
+    assert {(r["gene"], r["sequence"]): pytest.approx(r["weight"]) for r in got} == want and len(got) == len(want)
