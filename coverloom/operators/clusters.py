@@ -30,15 +30,35 @@ def matched(edges: DataFrame, min_samples: int = 2, min_targets: int = 1) -> Dat
     return own.select(sample_key(F.col("samples")).alias("key"), F.array_sort("samples").alias("samples"), "target_ids")
 
 
-def _combinations(pools: DataFrame, n: int) -> DataFrame:
-    """(key, target_ids) of all n-combinations of sorted sample arrays. Each step takes one sample and goes on with those behind it; the last and longest carries no array of samples."""
-    out = pools.select("target_ids", F.lit("").alias("key"), F.col("samples").alias("rest"))
+def _supported(rows: DataFrame, on: str, least: int) -> DataFrame:
+    """rows whose value of `on` has `least` targets over all of them; column n is a row's own number of targets."""
+    enough = rows.groupBy(on).agg(F.sum("n").alias("_all")).where(F.col("_all") >= least).select(on)
+    return rows.join(enough, on, "left_semi")
+
+
+def _combinations(pools: DataFrame, n: int, least: int = 1) -> DataFrame:
+    """(key, target_ids) of all n-combinations of sorted sample arrays that have `least` targets over all pools.
+
+    A tree of prefixes: each step takes one sample and goes on with those behind it. A set is in no pool that its prefix isn't in, so
+    it has at most its prefix's targets: samples and prefixes with too few are given up before they are spelled out. Rows of the
+    tree carry the number of their pool, and meet the pool's targets at the end.
+    """
+    if least <= 1:  # every prefix has a target
+        out = pools.select("target_ids", F.lit("").alias("key"), F.col("samples").alias("rest"))
+        keep = ["target_ids"]
+    else:
+        pools = cut(pools.withColumn("pool", F.monotonically_increasing_id()), "pools")
+        each = _supported(pools.select("pool", F.size("target_ids").alias("n"), F.explode("samples").alias("sample")), "sample", least)
+        out = each.groupBy("pool", "n").agg(F.array_sort(F.collect_list("sample")).alias("rest")).where(F.size("rest") >= n).withColumn("key", F.lit(""))
+        keep = ["pool", "n"]
     for left in range(n - 1, -1, -1):
-        out = out.select("target_ids", "key", "rest", F.posexplode("rest").alias("p", "s"))
+        out = out.select(*keep, "key", "rest", F.posexplode("rest").alias("p", "s"))
         key = F.when(F.col("key") == "", F.col("s")).otherwise(F.concat_ws(",", "key", "s"))
         rest = F.slice("rest", F.col("p") + 2, F.size("rest"))
-        out = out.select("target_ids", key.alias("key"), rest.alias("rest")).where(F.size("rest") >= left) if left else out.select("target_ids", key.alias("key"))
-    return out
+        out = out.select(*keep, key.alias("key"), rest.alias("rest")).where(F.size("rest") >= left) if left else out.select(*keep, key.alias("key"))
+        if least > 1 and left < n - 1:
+            out = _supported(cut(out, "prefixes"), "key", least)
+    return out if least <= 1 else out.join(pools.select("pool", "target_ids"), "pool").select("target_ids", "key")
 
 
 def pooled(edges: DataFrame, min_samples: int = 2, min_targets: int = 1, max_combined: int = 100) -> DataFrame:
@@ -46,7 +66,7 @@ def pooled(edges: DataFrame, min_samples: int = 2, min_targets: int = 1, max_com
     pools = edges.where((F.col("style") == "pool") & (F.col("cluster_size") >= min_samples) & (F.size("samples") <= max_combined))
     pools = pools.select("cluster_size", F.array_sort("samples").alias("samples"), "target_ids")
     sizes = [r[0] for r in pools.select("cluster_size").distinct().orderBy("cluster_size").collect()]  # the few set sizes
-    parts = [_combinations(pools.where((F.col("cluster_size") == n) & (F.size("samples") >= n)), n) for n in sizes]
+    parts = [_combinations(pools.where((F.col("cluster_size") == n) & (F.size("samples") >= n)), n, min_targets) for n in sizes]
     if not parts:
         return pools.select(sample_key(F.col("samples")).alias("key"), "samples", "target_ids").where(F.lit(False))
     got = reduce(DataFrame.unionByName, parts).groupBy("key").agg(F.flatten(F.collect_list("target_ids")).alias("target_ids"))
@@ -132,14 +152,18 @@ def greedy(candidates: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
 
 
 def extra_targets(chosen: DataFrame, edges: DataFrame, max_combined: int = 100) -> DataFrame:
-    """target_ids made distinct, with those of pools of over max_combined samples that hold all samples of the chosen set and have its size. Sets and pools meet on a sample that both have, not all with all."""
+    """target_ids made distinct, with those of pools of over max_combined samples that hold all samples of the chosen set and have its size. A set meets only the pools that have its rarest sample (the one in the fewest pools), and its other samples are looked up in these: a sample that all pools have makes no join key unless all of a set's are such."""
     pools = edges.where((F.col("style") == "pool") & (F.size("samples") > max_combined)).select(F.monotonically_increasing_id().alias("pool"), F.col("cluster_size").alias("length"), "samples", "target_ids")
     if pools.isEmpty():
         return chosen.withColumn("target_ids", F.array_distinct("target_ids"))
     pools = cut(pools, "pools")
-    own = chosen.select("key", "length", F.explode("samples").alias("sample"))
-    met = own.join(pools.select("pool", "length", F.explode("samples").alias("sample")), ["length", "sample"]).groupBy("key", "length", "pool").agg(F.countDistinct("sample").alias("n"))
-    extra = met.where(F.col("n") >= F.col("length")).join(pools.select("pool", "target_ids"), "pool").groupBy("key").agg(F.flatten(F.collect_list("target_ids")).alias("extra"))
+    member = pools.select("pool", "length", F.explode(F.array_distinct("samples")).alias("sample"))
+    held = member.groupBy("length", "sample").agg(F.count(F.lit(1)).alias("n"))
+    own = chosen.select("key", "length", "samples", F.explode("samples").alias("sample")).join(held, ["length", "sample"], "left")
+    rarest = own.groupBy("key").agg(F.min_by(F.struct("length", "sample", "samples"), F.struct(F.coalesce("n", F.lit(0)), "sample")).alias("r"))
+    rarest = small(cut(rarest.select("key", "r.length", "r.sample", F.col("r.samples").alias("chosen")), "rarest"))
+    met = member.join(rarest, ["length", "sample"]).select("pool", "key", "length", "chosen").join(pools.drop("length"), "pool")
+    extra = met.where(F.size(F.array_intersect("chosen", "samples")) >= F.col("length")).groupBy("key").agg(F.flatten(F.collect_list("target_ids")).alias("extra"))
     both = F.array_distinct(F.concat("target_ids", F.coalesce("extra", F.array().cast("array<bigint>"))))
     return chosen.join(extra, "key", "left").withColumn("target_ids", both).drop("extra")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coverloom.functions.text import id_list, sample_key
+from coverloom.operators import blocks
 
 EDGE = ["style", "cluster_size", "samples", "target_ids"]
 
@@ -16,14 +17,18 @@ def _ids(distinct: bool = False) -> Column:
     return F.array_sort(x)
 
 
-def pairs(targets: DataFrame, min_coverage: float = 10) -> DataFrame:
-    """`match` edges: unordered sample pairs whose coverages of a target sum to over min_coverage. An equi-join on the target with the order of samples as residual, never a nested loop; rows that don't reach the minimum even with their target's largest coverage stay out of it."""
+def pairs(targets: DataFrame, min_coverage: float = 10, hot: int = blocks.HOT, block: int = blocks.BLOCK) -> DataFrame:
+    """`match` edges: unordered sample pairs whose coverages of a target sum to over min_coverage. An equi-join on the target with the order of samples as residual, never a nested loop; rows that don't reach the minimum even with their target's largest coverage stay out of it. Targets of over `hot` rows are joined by pairs of blocks."""
     t = targets.select("target", "sample", "coverage")
     most = t.groupBy("target").agg(F.max("coverage").alias("most"), F.min("sample").alias("x"), F.max("sample").alias("y")).where("x <> y").select("target", "most")
-    t = t.join(most, "target").where(F.col("coverage") + F.col("most") > min_coverage).drop("most")
-    a, b = t.alias("a"), t.alias("b")
+    near = t.join(most, "target").where(F.col("coverage") + F.col("most") > min_coverage).drop("most")
+    few, many = blocks.split(near, t, hot)
+    a, b = few.alias("a"), few.alias("b")
     both = a.join(b, F.col("a.target") == F.col("b.target")).where("a.sample < b.sample").where(F.col("a.coverage") + F.col("b.coverage") > min_coverage)
-    got = both.groupBy(F.col("a.sample").alias("s1"), F.col("b.sample").alias("s2")).agg(F.array_sort(F.collect_list("a.target")).alias("target_ids"))
+    both = both.select("a.target", F.col("a.sample").alias("s1"), F.col("b.sample").alias("s2"))
+    if many is not None:
+        both = both.unionByName(blocks.match(many, min_coverage, block))
+    got = both.groupBy("s1", "s2").agg(_ids().alias("target_ids"))
     return got.select(F.lit("match").alias("style"), F.lit(2).alias("cluster_size"), F.array("s1", "s2").alias("samples"), "target_ids")
 
 
@@ -50,12 +55,19 @@ def _singleton(own: DataFrame) -> DataFrame:
     return got.select(F.lit("singleton").alias("style"), F.lit(1).alias("cluster_size"), F.array("source").alias("samples"), "target_ids")
 
 
-def single(targets: DataFrame, min_coverage: float = 10) -> DataFrame:
-    """One-sample mode: `directional` edges from covered sources to samples with the same target, `singleton` edges of targets seen in one sample."""
+def single(targets: DataFrame, min_coverage: float = 10, hot: int = blocks.HOT, block: int = blocks.BLOCK) -> DataFrame:
+    """One-sample mode: `directional` edges from covered sources to samples with the same target, `singleton` edges of targets seen in one sample. Targets of over `hot` rows are joined by pairs of blocks."""
     source = targets.where(F.col("coverage") > min_coverage).select(F.col("sample").alias("source"), "target").distinct()
     dest = targets.select(F.col("sample").alias("dest"), "target").distinct()
     lone = dest.groupBy("target").agg(F.countDistinct("dest").alias("n")).where("n = 1").select("target")
-    return _directional(source.join(dest, "target").where("source <> dest")).unionByName(_singleton(source.join(lone, "target", "left_semi")))
+    few, many = blocks.split(targets.select("target", "sample", "coverage"), targets, hot)
+    if many is None:
+        shared = source.join(dest, "target").where("source <> dest")
+    else:
+        covered = few.where(F.col("coverage") > min_coverage).select("target", F.col("sample").alias("source")).distinct()
+        shared = covered.join(few.select("target", F.col("sample").alias("dest")).distinct(), "target").where("source <> dest")
+        shared = shared.unionByName(blocks.directed(many, min_coverage, block))
+    return _directional(shared).unionByName(_singleton(source.join(lone, "target", "left_semi")))
 
 
 def preclustered(preclusters: DataFrame, targets: DataFrame, min_coverage: float = 10) -> DataFrame:

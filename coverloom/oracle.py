@@ -76,9 +76,11 @@ ORACLE = {
     "targets_taxa_filter": with_views("SELECT taxonomy, count(*) AS n, count(DISTINCT (gene, sequence)) AS n_targets FROM otu WHERE regexp_matches(taxonomy, 'd__ECONOMY|d__PROMO') GROUP BY taxonomy", "otu"),
     "targets_hashed_groups": with_views("SELECT gene, sequence, 1::BIGINT AS n_sequences, count(*) AS n_rows FROM unbinned GROUP BY gene, sequence", "unbinned"),
     "edges_match_pairs": with_views(f"SELECT 'match' AS style, 2 AS cluster_size, s1 || ',' || s2 AS samples, {_IDS} FROM pairs", "pairs"),
+    "edges_match_blocks": with_views(f"SELECT 'match' AS style, 2 AS cluster_size, s1 || ',' || s2 AS samples, {_IDS} FROM pairs", "pairs"),
     "edges_pool": with_views(f"SELECT 'pool' AS style, n AS cluster_size, array_to_string(samples, ',') AS samples, {_IDS} FROM pools", "pools"),
     "edges_pool_sizes": with_views(f"WITH p AS (SELECT target, n, list_sort(list(sample)) AS samples FROM targets, (VALUES (3), (4)) AS v(n) WHERE coverage > 90.0 / n GROUP BY target, n), g AS (SELECT n, samples, list(target) AS ids FROM p WHERE len(samples) >= n GROUP BY n, samples) SELECT 'pool' AS style, n AS cluster_size, array_to_string(samples, ',') AS samples, {_IDS} FROM g", "targets"),
     "edges_single_directional": with_views(f"SELECT 'directional' AS style, 2 AS cluster_size, a || ',' || b AS samples, {_IDS} FROM (SELECT s.sample AS a, d.sample AS b, list(DISTINCT s.target) AS ids FROM targets s JOIN targets d ON s.target = d.target AND s.sample <> d.sample WHERE s.coverage > 90 GROUP BY ALL)", "targets"),
+    "edges_single_blocks": with_views(f"SELECT 'directional' AS style, 2 AS cluster_size, a || ',' || b AS samples, {_IDS} FROM (SELECT s.sample AS a, d.sample AS b, list(DISTINCT s.target) AS ids FROM targets s JOIN targets d ON s.target = d.target AND s.sample <> d.sample WHERE s.coverage > 90 GROUP BY ALL)", "targets"),
     "edges_single_singleton": with_views(f"WITH t AS (SELECT f.*, d.target FROM fine f JOIN (SELECT sequence, row_number() OVER (ORDER BY sequence) - 1 AS target FROM (SELECT DISTINCT sequence FROM fine)) d USING (sequence)) SELECT 'singleton' AS style, 1 AS cluster_size, sample AS samples, {_IDS} FROM (SELECT sample, list(target) AS ids FROM t WHERE coverage > 10 AND target IN (SELECT target FROM t GROUP BY target HAVING count(DISTINCT sample) = 1) GROUP BY sample)", "fine"),
     "kmer_sketch": with_views("""
 WITH d AS (
@@ -101,6 +103,7 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
     "cluster_candidates_match": with_views(f"WITH {_CAND} SELECT samples, len(ids)::INT AS n_targets FROM cand", "pairs"),
     "cluster_least_targets": with_views(f"WITH {_CAND} SELECT samples, len(ids)::INT AS n_targets FROM cand WHERE len(ids) >= (SELECT CASE WHEN count(*) > 4000 THEN 10 ELSE 1 END FROM cand)", "pairs"),
     "cluster_candidates_pool": with_views(f"WITH {_TRIPLES} SELECT samples, n_targets FROM triples", "pools"),
+    "cluster_candidates_pool_least": with_views(f"WITH {_TRIPLES} SELECT samples, n_targets FROM triples WHERE n_targets >= 3", "pools"),
     "cluster_candidates_single": with_views("WITH s AS (SELECT x.sample, x.target FROM targets x WHERE x.coverage > 90) SELECT sample AS samples, count(DISTINCT target)::INT AS n_targets FROM s GROUP BY sample", "targets"),
     "cluster_restrict_samples": with_views("WITH r AS (SELECT list_filter(samples, lambda s: list_contains(list_transform(range(1, 41), lambda i: 'S' || i), s)) AS x, n, ids FROM pools) SELECT array_to_string(x, ',') AS samples, n AS cluster_size, len(ids)::INT AS n_targets FROM r WHERE len(x) >= n", "pools"),
     "cluster_exclude": with_views(f"WITH {_CAND} SELECT samples FROM cand WHERE samples NOT IN ('S1,S2', 'S3,S4', 'S10,S9')", "pairs"),

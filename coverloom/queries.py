@@ -121,6 +121,12 @@ def edges_match_pairs(t):
     return _edge_text(edges.pairs(_targets(t), MIN_COVERAGE))
 
 
+@query
+def edges_match_blocks(t):
+    """Targets of over 20 rows by pairs of blocks of 8 rows."""
+    return _edge_text(edges.pairs(_targets(t), MIN_COVERAGE, 20, 8))
+
+
 @query
 def edges_pool(t):
     return _edge_text(edges.pools(_targets(t), MIN_COVERAGE, 3))
@@ -137,6 +143,12 @@ def edges_single_directional(t):
     return _edge_text(edges.single(_targets(t), MIN_COVERAGE).where("style = 'directional'"))
 
 
+@query
+def edges_single_blocks(t):
+    """Targets of over 20 rows by pairs of blocks of 8 rows."""
+    return _edge_text(edges.single(_targets(t), MIN_COVERAGE, 20, 8).where("style = 'directional'"))
+
+
 @query
 def edges_single_singleton(t):
     """Over sequences that are told apart so finely that many are in one sample."""
@@ -222,6 +234,13 @@ def cluster_candidates_pool(t):
     return got.select(F.col("key").alias("samples"), F.size("target_ids").alias("n_targets"))
 
 
+@query
+def cluster_candidates_pool_least(t):
+    """Only sets of three targets or more; prefixes with fewer are given up early."""
+    got = clusters.pooled(edges.pools(_hashed(t), MIN_COVERAGE, 3), min_targets=3)
+    return got.select(F.col("key").alias("samples"), F.size("target_ids").alias("n_targets"))
+
+
 @query
 def cluster_candidates_single(t):
     return clusters.of_sources(edges.single(_hashed(t), MIN_COVERAGE)).select(F.col("key").alias("samples"), F.size("target_ids").alias("n_targets"))

@@ -73,6 +73,34 @@ def test_repeated_targets_count_in_the_score(spark, frame):
     assert sorted(got["a,b,c"]) == [1, 2, 2] and got["b,c,d"] == [2] and len(got) == 4
 
 
+def _pools(seed=3):
+    rng = random.Random(seed)
+    for i in range(40):
+        n = rng.choice([3, 3, 4])
+        who = sorted({f"s{min(int(rng.expovariate(0.25)), 14):02}" for _ in range(9)})
+        if len(who) >= n:
+            yield "pool", n, ",".join(who), ",".join(str(100 * i + k) for k in range(rng.randrange(1, 4)))
+
+
+@pytest.mark.parametrize("least", [2, 5, 12, 1_000])
+def test_support_bounds_lose_no_combination(spark, frame, least):
+    e = E(frame, list(_pools()))
+    plain = {r["key"]: sorted(r["target_ids"]) for r in clusters.pooled(e, 2, 1).collect()}
+    got = {r["key"]: sorted(r["target_ids"]) for r in clusters.pooled(e, 2, least).collect()}
+    assert got == {k: v for k, v in plain.items() if len(v) >= least}
+
+
+def test_extra_targets_are_those_of_pools_that_hold_the_set(spark, frame):
+    data = list(_pools(9))
+    chosen = [["s00", "s01", "s02"], ["s03", "s05", "s07"], ["s00", "s04", "nowhere"], ["s00", "s01", "s02", "s03"]]
+    rows = frame([(",".join(c), len(c), c, [7, 7]) for c in chosen], "key string, length int, samples array<string>, target_ids array<bigint>")
+    got = {r["key"]: sorted(r["target_ids"]) for r in clusters.extra_targets(rows, E(frame, data), 4).collect()}
+    for c in chosen:
+        big = [t for _, n, who, t in data if n == len(c) and len(who.split(",")) > 4 and set(c) <= set(who.split(","))]
+        assert got[",".join(c)] == sorted({7, *(int(i) for t in big for i in t.split(","))})
+    assert any(len(v) > 1 for v in got.values())
+
+
 def test_greedy_in_one_task_and_in_rounds_agree(spark, frame):
     r = random.Random(5)
     rows = []

@@ -1,9 +1,12 @@
 """Targets, weights and edges on small hand-written tables."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from coverloom import schemas
-from coverloom.operators import edges, targets
+from coverloom.operators import blocks, edges, targets
 
 
 def otu(frame, data, found=None):
@@ -65,6 +68,31 @@ def test_single_mode_directional_and_singleton(spark, frame):
     assert edge_set(edges.single(t, 10)) == {("directional", 2, "a,b", "1"), ("singleton", 1, "a", "2")}
 
 
+def _skewed(frame, seed=5):
+    """One target in all samples, some in a few; equal coverages, a repeated row, nulls."""
+    rng = random.Random(seed)
+    data = [(f"s{i:03}", 1, rng.choice([0.5, 1, 2, 4, 4.5, 5, 5.5, 6, 9, 12])) for i in range(150)]
+    data += [(f"s{rng.randrange(150):03}", t, rng.choice([3, 6, 11])) for t in range(2, 40) for _ in range(rng.randrange(1, 6))]
+    rows = [("g", s, f"q{t}", 1, float(c), "Root", t) for s, t, c in [*data, data[0]]]
+    return frame([*rows, ("g", "s000", "q1", 1, None, "Root", 1), ("g", None, "q1", 1, 20.0, "Root", 1), ("g", "s001", "q", 1, 20.0, "Root", None)], schemas.TARGETS)
+
+
+@pytest.mark.parametrize("block", [1, 7, 1_000])
+def test_hot_targets_by_blocks_give_the_same_pairs(spark, frame, block):
+    t = _skewed(frame)
+    assert edge_set(edges.pairs(t, 10, 20, block)) == edge_set(edges.pairs(t, 10))
+    assert edge_set(edges.single(t, 10, 20, block)) == edge_set(edges.single(t, 10))
+
+
+def test_pairs_of_blocks_that_cannot_reach_the_minimum_are_not_made(spark, frame):
+    low = [(f"s{i:05}", 1, 1) for i in range(3_000)]
+    t = tgt(frame, [*low, ("x", 1, 30), ("y", 1, 9.5)]).select("target", "sample", "coverage")
+    assert {r["tops"][0] for r in blocks._blocked(t, 100).select("tops").distinct().collect()} == {30.0}
+    got = blocks.match(t, 10, 100)
+    assert got.where("s1 <> 'x' and s2 <> 'x' and s1 <> 'y' and s2 <> 'y'").isEmpty() and got.count() == 3_000 * 2 + 1
+    assert {r["n"] for r in blocks._blocked(t, 100).groupBy("block").agg(F.count(F.lit(1)).alias("n")).collect()} == {100, 2}
+
+
 def test_preclustered_edges_need_every_member(spark, frame):
     t = tgt(frame, [("a", 1, 6), ("b", 1, 6), ("c", 1, 6), ("a", 2, 20), ("b", 2, 20), ("a", 3, 1), ("b", 3, 1), ("c", 3, 1)])
     sets = frame([(["a", "b", "c"],), (["a", "b"],)], "samples array<string>")
