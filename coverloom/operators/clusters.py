@@ -14,6 +14,8 @@ from coverloom.scratch import cut, small
 
 #: Candidates of one length that one task may choose among (about 330 bytes each there); more are chosen in distributed rounds.
 ONE_TASK = 600_000
+#: Samples beyond which the lists of a target's samples can be so long that recovery reads them by bounds.
+LONG_LISTS = 5_000
 
 
 def restrict(edges: DataFrame, samples: list[str]) -> DataFrame:
@@ -175,10 +177,41 @@ def sample_targets(edges: DataFrame, single: bool = False) -> DataFrame:
     return each.select("candidate", F.explode("target_ids").alias("target")).distinct()
 
 
-def recovery(chosen: DataFrame, candidates: DataFrame, most: int = 20) -> DataFrame:
-    """With recover_candidates: up to `most` samples by the number of shared targets, then by name. Targets that no sample has count as one nameless candidate, which takes a place and is left out of the list."""
-    each = chosen.select("key", F.explode("target_ids").alias("target")).join(candidates, "target", "left")
-    n = each.groupBy("key", "candidate").agg(F.count(F.lit(1)).alias("n"))
+def _by_frequency(each: DataFrame, candidates: DataFrame, rare: float) -> DataFrame:
+    """(key, target, w, rare): how often a set has a target, and whether the target is of the share `rare` of the set's targets that the fewest samples have."""
+    held = candidates.groupBy("target").agg(F.count("candidate").alias("f"))
+    own = cut(each.groupBy("key", "target").agg(F.count(F.lit(1)).alias("w")).join(held, "target", "left").select("key", "target", "w", F.coalesce("f", F.lit(0)).alias("f")), "lists")
+    return own.join(own.groupBy("key").agg(F.percentile_approx("f", rare).alias("most")), "key").select("key", "target", "w", (F.col("f") <= F.col("most")).alias("rare"))
+
+
+def _bounded_counts(each: DataFrame, candidates: DataFrame, most: int, rare: float = 0.75) -> DataFrame:
+    """(key, candidate, n) for at least the first `most` candidates of each set, those of equal count included.
+
+    The short lists, of the targets that few samples have, are counted first. The count of the candidate in the last place is then one
+    that a candidate must reach, and the long lists can add no more than their number to a count: who can't reach it any more is
+    given up, and the long lists are only looked up for the others. A set for which a sample that no short list has could still
+    get a place is counted in full.
+    """
+    lists = cut(_by_frequency(each, candidates, rare), "lists")
+    short = cut(lists.where("rare").join(candidates, "target", "left").groupBy("key", "candidate").agg(F.sum("w").alias("n")), "short")
+    rest = lists.groupBy("key").agg(F.sum(F.when(F.col("rare"), 0).otherwise(F.col("w"))).alias("rest"))
+    last = short.withColumn("k", F.row_number().over(W.partitionBy("key").orderBy(F.desc("n")))).where(F.col("k") <= most)
+    last = last.where(F.col("k") == most).select("key", F.col("n").alias("least"))
+    sure = small(cut(rest.join(last, "key").where(F.col("least") > F.col("rest")), "sure"))
+    alive = short.join(sure, "key").where(F.col("n") + F.col("rest") >= F.col("least")).select("key", "candidate", "n")
+    asked = alive.where("candidate is not null").select("key", "candidate").join(lists.where("not rare").select("key", "target", "w"), "key")
+    more = asked.join(candidates, ["target", "candidate"], "left_semi").select("key", "candidate", F.col("w").alias("n"))
+    full = lists.join(sure, "key", "left_anti").join(candidates, "target", "left").select("key", "candidate", F.col("w").alias("n"))
+    return alive.unionByName(more).unionByName(full).groupBy("key", "candidate").agg(F.sum("n").alias("n"))
+
+
+def recovery(chosen: DataFrame, candidates: DataFrame, most: int = 20, bounded: bool = False) -> DataFrame:
+    """With recover_candidates: up to `most` samples by the number of shared targets, then by name. Targets that no sample has count as one nameless candidate, which takes a place and is left out of the list. bounded: long lists of samples are only read for candidates that can still get a place, which pays where some targets are in very many samples; the result is the same."""
+    each = chosen.select("key", F.explode("target_ids").alias("target"))
+    if bounded:
+        n = _bounded_counts(each, cut(candidates, "candidates"), most)
+    else:
+        n = each.join(candidates, "target", "left").groupBy("key", "candidate").agg(F.count(F.lit(1)).alias("n"))
     w = W.partitionBy("key").orderBy(F.desc("n"), F.asc_nulls_last("candidate"))
     top = n.withColumn("k", F.row_number().over(w)).where(F.col("k") <= most)
     lists = top.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("k", "candidate"))).alias("x"))

@@ -61,7 +61,8 @@ def choose(found: DataFrame, read_size: DataFrame, p: Params, weights: DataFrame
     candidates = clusters.anchored(clusters.exclude(candidates, list(p.exclude)), list(p.anchor_samples))
     ranked = cut(clusters.scored(clusters.sized(candidates, read_size, p.max_size), weights), "candidates")
     chosen = clusters.extra_targets(clusters.greedy(ranked), usable, p.max_sample_combinations)
-    chosen = clusters.recovery(chosen, clusters.sample_targets(found, single), p.max_recovery_samples)
+    many = read_size.limit(clusters.LONG_LISTS + 1).count() > clusters.LONG_LISTS
+    chosen = clusters.recovery(chosen, clusters.sample_targets(found, single), p.max_recovery_samples, many)
     return clusters.finished(chosen, p.max_recovery_samples, weights is not None, single)
 
 

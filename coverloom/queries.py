@@ -315,6 +315,14 @@ def _elusive(t: Tables) -> DataFrame:
     return assemble.plan(t.unbinned(), t.binned(), t.read_size(), PLAN).clusters
 
 
+@query
+def recover_candidates_bounded(t):
+    """Long lists are read only for candidates that can still get a place."""
+    e = edges.pairs(_hashed(t), MIN_COVERAGE)
+    got = clusters.recovery(clusters.matched(e), clusters.sample_targets(e), 6, bounded=True)
+    return got.select(F.col("key").alias("samples"), F.array_join("recover_candidates", ",").alias("recover_candidates"))
+
+
 @query
 def elusive_clusters(t):
     """Targets to ranked, disjoint sample pairs with their recovery samples, end to end."""

@@ -73,6 +73,29 @@ def test_repeated_targets_count_in_the_score(spark, frame):
     assert sorted(got["a,b,c"]) == [1, 2, 2] and got["b,c,d"] == [2] and len(got) == 4
 
 
+@pytest.mark.parametrize("most", [1, 4, 30, 500])
+def test_recovery_by_bounds_is_the_same(spark, frame, most):
+    """A few targets are in all samples, most in a few; sets with repeated, unknown and no targets."""
+    rng = random.Random(most)
+    st = {(f"s{i:03}", t) for i in range(300) for t in range(5)} | {(f"s{min(int(rng.expovariate(0.1)), 299):03}", t) for t in range(5, 60) for _ in range(25)}
+    st = frame(sorted(st), "candidate string, target long")
+    sets = [list(range(60)), list(range(5)), [1, 7, 7, 9, 900, 901], [900, 901], [], rng.sample(range(60), 20), [3, 8]]
+    chosen = frame([(f"k{i}", x) for i, x in enumerate(sets)], "key string, target_ids array<bigint>")
+    plain, bounded = ({r["key"]: r["recover_candidates"] for r in clusters.recovery(chosen, st, most, b).collect()} for b in (False, True))
+    assert bounded == plain and len(plain) == len(sets)
+
+
+def test_recovery_by_bounds_reads_a_tenth_of_a_skewed_table(spark, frame):
+    st = spark.sql("select concat('s', id) as candidate, t as target from range(20000) lateral view explode(sequence(0, 9)) x as t union all select concat('s', id), t from range(30) lateral view explode(sequence(10, 59)) x as t")
+    chosen = frame([("k", list(range(60)))], "key string, target_ids array<bigint>")
+    each = chosen.selectExpr("key", "explode(target_ids) as target")
+    counts = {r["candidate"]: r["n"] for r in clusters._bounded_counts(each, st, 20).collect()}
+    assert counts == {f"s{i}": 60 for i in range(30)}
+    lists = clusters._by_frequency(each, st, 0.75)
+    met = lists.where("rare").join(st, "target").count() + len(counts) * lists.where("not rare").count()
+    assert 10 * met < each.join(st, "target").count()
+
+
 def _pools(seed=3):
     rng = random.Random(seed)
     for i in range(40):
