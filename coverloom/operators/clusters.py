@@ -118,33 +118,54 @@ def _rank() -> Column:
     return F.struct((-F.col("total_targets")).alias("a"), F.col("total_size").alias("b"), F.col("key").alias("c"))
 
 
+def _in_turn(order: list[str], rising: list[bool]):
+    """A function of the rows of one length: the keys that are taken when the rows are gone through in this order."""
+
+    def choose(rows):
+        used: set[str] = set()
+        keys = []
+        for key, samples in zip(*(rows.sort_values(order, ascending=rising)[c] for c in ("key", "samples"))):
+            if used.isdisjoint(samples):
+                used.update(samples)
+                keys.append(key)
+        return rows[rows["key"].isin(keys)][["key"]]
+
+    return choose
+
+
+def _prefix(alive: DataFrame, most: int) -> DataFrame:
+    """Of each length the first rows by `at`, at most `most`: as many stretches of the numbers as hold no more than that. The prefix spans more of the order as rows between fall away."""
+    width = max(most // 8, 1)
+    part = F.expr(f"at div {width}")
+    held = alive.groupBy("length", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    upto = held.withColumn("sum", F.sum("n").over(W.partitionBy("length").orderBy("part"))).where(F.col("sum") <= most)
+    upto = upto.groupBy("length").agg(F.max("part").alias("upto"))  # a row for each length
+    return alive.join(F.broadcast(upto), "length").where(part <= F.col("upto")).drop("upto")
+
+
 def greedy(candidates: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """Candidates taken in order of score (falling), size and key, each if none of its samples is in one taken before it with as many samples.
 
-    Few candidates are gone through in one task for each length. Otherwise rounds take every candidate that comes first for all
-    its samples, and drop those that share a sample with a taken one, until none is left; this gives the same choice. The
-    candidates are read more than once and should be a written table.
+    Few candidates are gone through in one task for each length. Otherwise each round takes every candidate that comes first for
+    all its samples and, so that long chains of conflicts end soon, all that are taken among the first one_task of each
+    length that are left (none if one_task is 0); both are of the same choice. Then candidates that share a sample with a taken one
+    are dropped, until none is left. The candidates are read more than once and should be a written table.
     """
     thin = candidates.select("key", "length", "samples", "total_targets", "total_size")
     most = thin.groupBy("length").count().agg(F.max("count")).first()[0] or 0
     if most <= one_task:
-
-        def choose(rows):
-            used: set[str] = set()
-            keys = []
-            for key, samples in zip(*(rows.sort_values(["total_targets", "total_size", "key"], ascending=[False, True, True])[c] for c in ("key", "samples"))):
-                if used.isdisjoint(samples):
-                    used.update(samples)
-                    keys.append(key)
-            return rows[rows["key"].isin(keys)][["key"]]
-
+        choose = _in_turn(["total_targets", "total_size", "key"], [False, True, True])
         return candidates.join(thin.groupBy("length").applyInPandas(choose, "key string"), "key", "left_semi")
-    alive = cut(thin.select("key", "length", "samples", _rank().alias("rank")), "alive")
+    ranked = thin.select("key", "length", "samples", _rank().alias("rank"))
+    alive = cut(numbered(ranked, "at", "length", "rank") if one_task else ranked, "alive")
     taken = None
     while not alive.isEmpty():
         each = alive.select("key", "length", "rank", F.explode("samples").alias("sample"))
         first = each.groupBy("length", "sample").agg(F.min("rank").alias("first"))
         wins = each.join(first, ["length", "sample"]).groupBy("key").agg(F.bool_and(F.col("rank") == F.col("first")).alias("ok")).where("ok").select("key")
+        if one_task:
+            turn = _prefix(alive, one_task).select("key", "length", "samples", "at").groupBy("length").applyInPandas(_in_turn(["at"], [True]), "key string")
+            wins = wins.unionByName(turn).distinct()
         wins = cut(wins, "wins")
         taken = wins if taken is None else taken.unionByName(wins)
         used = each.join(wins, "key", "left_semi").select("length", "sample").distinct()

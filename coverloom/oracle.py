@@ -112,6 +112,7 @@ SELECT DISTINCT sample, least(f, translate(reverse(f), 'ACGT', 'TGCA')) AS kmer
     "cluster_weighted_score": with_views(f"WITH {_WEIGHTS.format(where='')}, w AS (SELECT target, weight FROM (SELECT DISTINCT gene, sequence, target FROM targets) JOIN weights USING (gene, sequence)), {_CAND} SELECT samples, round(sum(coalesce(weight, 0)), 6) AS total_targets FROM (SELECT samples, unnest(ids) AS target FROM cand) LEFT JOIN w USING (target) GROUP BY samples", "binned", "unbinned", "targets", "pairs"),
     "cluster_greedy": with_views(f"WITH {_GREEDY} SELECT samples, length, total_targets, total_size FROM chosen", "pairs", "read_size", recursive=True),
     "cluster_greedy_rounds": with_views(f"WITH {_GREEDY} SELECT samples, length, total_targets, total_size FROM chosen", "pairs", "read_size", recursive=True),
+    "cluster_greedy_prefixes": with_views(f"WITH {_GREEDY} SELECT samples, length, total_targets, total_size FROM chosen", "pairs", "read_size", recursive=True),
     "cluster_extra_targets": with_views("WITH small AS (SELECT array_to_string([samples[i], samples[j], samples[k]], ',') AS key, [samples[i], samples[j], samples[k]] AS x, ids FROM pools, range(1, 10) AS a(i), range(1, 10) AS b(j), range(1, 10) AS c(k) WHERE len(samples) <= 9 AND i < j AND j < k AND k <= len(samples)), own AS (SELECT key, any_value(x) AS x, flatten(list(ids)) AS ids FROM small GROUP BY key), m AS (SELECT key, unnest(x) AS s FROM own), b AS (SELECT row_number() OVER () AS pool, samples, ids FROM pools WHERE len(samples) > 9), e AS (SELECT pool, unnest(samples) AS s FROM b), met AS (SELECT key, pool FROM m JOIN e USING (s) GROUP BY key, pool HAVING count(*) = 3), extra AS (SELECT key, unnest(ids) AS t FROM met JOIN b USING (pool) UNION SELECT key, unnest(ids) FROM own) SELECT key AS samples, count(DISTINCT t)::INT AS n_targets FROM extra GROUP BY key", "pools"),
     "recover_candidates_topk": with_views(f"WITH {_CAND}, {_RECOVER.format(chosen='cand')} SELECT samples, string_agg(sample, ',' ORDER BY k) AS recover_candidates FROM top GROUP BY samples", "pairs"),
     "recover_candidates_bounded": with_views(f"WITH {_CAND}, {_RECOVER.format(chosen='cand')} SELECT samples, string_agg(sample, ',' ORDER BY k) AS recover_candidates FROM top GROUP BY samples", "pairs"),

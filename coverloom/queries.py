@@ -292,6 +292,13 @@ def cluster_greedy_rounds(t):
     return clusters.greedy(ranked, one_task=0).select(F.col("key").alias("samples"), "length", "total_targets", "total_size")
 
 
+@query
+def cluster_greedy_prefixes(t):
+    """Rounds with prefixes of 500 candidates gone through in turn."""
+    ranked = scratch.cut(clusters.scored(clusters.sized(_candidates(t), t.read_size())))
+    return clusters.greedy(ranked, one_task=500).select(F.col("key").alias("samples"), "length", "total_targets", "total_size")
+
+
 @query
 def cluster_extra_targets(t):
     h = _hashed(t)

@@ -1,8 +1,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from coverloom import schemas
+from coverloom import schemas, scratch
 from coverloom.operators import clusters, edges, precluster
 from coverloom.params import Params
 from coverloom.plans import assemble
@@ -139,6 +140,19 @@ def test_greedy_in_one_task_and_in_rounds_agree(spark, frame):
             want.add(key)
     assert {x["key"] for x in clusters.greedy(c).collect()} == want
     assert {x["key"] for x in clusters.greedy(c, one_task=0).collect()} == want
+    assert {x["key"] for x in clusters.greedy(c, one_task=1).collect()} == want
+    assert {x["key"] for x in clusters.greedy(c, one_task=40).collect()} == want
+
+
+def test_a_long_chain_of_conflicts_ends_in_few_rounds(spark, frame, monkeypatch):
+    """Each candidate shares a sample with the next one in the order: every second one is taken."""
+    n = 10_000
+    c = spark.range(n).selectExpr("concat('s', lpad(id, 6, '0'), ',s', lpad(id + 1, 6, '0')) as key", "2 as length", f"cast({n} - id as double) as total_targets", "0L as total_size")
+    c = c.withColumn("samples", F.split("key", ","))
+    rounds = []
+    monkeypatch.setattr(clusters, "cut", lambda df, label="cut": rounds.append(label) or scratch.cut(df, label))
+    got = {r["key"] for r in clusters.greedy(c, one_task=3_000).collect()}
+    assert got == {f"s{i:06},s{i + 1:06}" for i in range(0, n, 2)} and rounds.count("wins") <= 5
 
 
 def test_recovery_counts_shared_targets(spark, frame):
