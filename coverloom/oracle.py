@@ -169,6 +169,7 @@ SELECT coassembly, 'aviary assemble --coassemble -1 ' || s1 || ' -2 ' || s2 || '
     "prior_assembly_missing": with_views("SELECT DISTINCT sample AS name FROM otu WHERE sample NOT IN (SELECT 'S' || (c_custkey * 3) FROM customer)", "otu"),
     "prior_assembly_extra": with_views("SELECT 'S' || (c_custkey * 3) AS name FROM customer WHERE 'S' || (c_custkey * 3) NOT IN (SELECT sample FROM otu)", "otu"),
     "completion_report": "WITH d AS (SELECT o_orderpriority AS dir, count(*) AS total, count(*) FILTER (o_orderstatus <> 'O') AS assembled, count(*) FILTER (o_orderstatus = 'F') AS recovered FROM orders GROUP BY 1) SELECT dir, total, assembled, recovered, total - recovered AS incomplete FROM d UNION ALL SELECT count(*)::VARCHAR, sum(total)::BIGINT, sum(assembled)::BIGINT, sum(recovered)::BIGINT, sum(total - recovered)::BIGINT FROM d",
+    "completion_of_folders": "WITH d AS (SELECT 'run' || (s_nationkey % 5) AS dir, count(*) AS total, count(*) FILTER (WHERE s_acctbal > 0) AS assembled, count(*) FILTER (WHERE s_acctbal > 5000) AS recovered FROM supplier GROUP BY 1) SELECT dir, total, assembled, recovered, total - recovered AS incomplete FROM d UNION ALL SELECT count(*)::VARCHAR, sum(total)::BIGINT, sum(assembled)::BIGINT, sum(recovered)::BIGINT, sum(total - recovered)::BIGINT FROM d",
     "consecutive_uniq_count": "SELECT count(*) AS clusters FROM (SELECT event_type, lag(event_type) OVER (ORDER BY ts, event_id) AS b, row_number() OVER (ORDER BY ts, event_id) AS i FROM events) WHERE i = 1 OR event_type IS DISTINCT FROM b",
 }
 ORACLE["evaluate_wide_table"] = with_views(f"WITH {_PLAN}, st AS ({ORACLE['evaluate_summary_stats']}) SELECT p.coassembly, any_value(p.length) AS length, any_value(p.total_size) / 1e9 AS total_size, {', '.join(f'max(match) FILTER (statistic = {n!r}) AS {n}' for n in ('sequences', 'bins', 'nontarget_bin_sequences', 'nontarget_unbin_sequences', 'novel_sequences'))} FROM plan p LEFT JOIN st ON st.coassembly = p.coassembly GROUP BY p.coassembly", "groups", "read_size")

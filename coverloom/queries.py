@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coverloom import scratch
+from coverloom import schemas, scratch
 from coverloom.adapters import Tables
 from coverloom.operators import appraise, clusters, edges, evaluate, genomes, precluster, reads, report, targets
 from coverloom.params import Params
@@ -543,6 +543,26 @@ def completion_report(t):
     return report.completion(done)
 
 
+@query
+def completion_of_folders(t):
+    """Run folders are written, one for each fifth of the nations with a coassembly for each supplier, and their completion is read from what is there."""
+    root = scratch.folder(t.spark)
+    runs = t.raw("supplier").select((F.col("s_nationkey") % 5).alias("run"), F.concat(F.lit("coassembly_"), "s_suppkey").alias("coassembly"), (F.col("s_acctbal") > 0).alias("assembled"), (F.col("s_acctbal") > 5000).alias("recovered"))
+    places = [f"{root}/run{i}" for i in range(5)]
+    columns = [c.split()[0] for c in schemas.CLUSTERS.split(", ")]
+    for i, place in enumerate(places):
+        own = runs.where(F.col("run") == i)
+        rows = own.select(*[F.col(c) if c == "coassembly" else F.lit(None).cast("string").alias(c) for c in columns])
+        files.write_tsv(rows, f"{place}/coassemble/target/elusive_clusters.tsv", one_file=True)
+    hadoop = t.spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    for r in runs.toLocalIterator():  # the results of an external program, as empty files
+        for what, name in files.RESULTS.items():
+            if r[what]:
+                fs.createNewFile(hadoop.Path(f"{places[r['run']]}/coassemble/coassemble/{r['coassembly']}/{name}"))
+    return report.completion(files.runs(t.spark, places).withColumn("dir", F.regexp_extract("dir", "[^/]+$", 0)))
+
+
 @query
 def consecutive_uniq_count(t):
     """Runs of equal event types in the order of events."""

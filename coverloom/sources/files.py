@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +93,40 @@ def fasta(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return _lines_of(spark, paths, "bin").select("bin", "value")
 
 
+#: Where a run's assembly and its recovered bins lie in the folder of a coassembly.
+RESULTS = {"assembled": "assemble/assembly/final_contigs.fasta", "recovered": "recover/bins/bin_info.tsv"}
+
+
+def runs(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(dir, coassembly, assembled, recovered) of finished and unfinished runs: each coassembly of a run folder's clusters, and whether its results are there, be they files, empty ones or folders of files.
+
+    The results of a folder are listed with one pattern each, and no file is opened; at most two names for each coassembly of a
+    plan reach the driver. Spark's file sources wouldn't do, as they pass over empty files. A file of a coassembly that the
+    clusters don't have is left out. A folder without its clusters is an error, one that is given twice too.
+    """
+    if not folders:
+        raise ValueError("no folder of a run")
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    there, seen = [], set()
+    for folder in folders:
+        root = hadoop.Path(folder)
+        fs = root.getFileSystem(conf)
+        if (whole := fs.makeQualified(root).toString()) in seen:
+            raise ValueError("a folder is given twice")
+        seen.add(whole)
+        literal = re.sub(r"([\\{}\[\]*?])", r"\\\1", folder.rstrip("/"))
+        for what, name in RESULTS.items():
+            for found in fs.globStatus(hadoop.Path(f"{literal}/coassemble/coassemble/*/{name}")) or []:
+                own = found.getPath()
+                for _ in name.split("/"):
+                    own = own.getParent()
+                there.append((folder, own.getName(), what))
+    flags = spark.createDataFrame(there, "dir string, coassembly string, what string")
+    flags = flags.groupBy("dir", "coassembly").agg(*[F.bool_or(F.col("what") == x).alias(x) for x in RESULTS])
+    planned = [clusters(spark, f"{x.rstrip('/')}/coassemble/target/elusive_clusters.tsv").select(F.lit(x).alias("dir"), "coassembly") for x in folders]
+    return reduce(DataFrame.unionByName, planned).join(flags, ["dir", "coassembly"], "left").fillna(False, list(RESULTS))
+
+
 def write_lines(df: DataFrame, path: str, name: str, *order) -> dict[str, str]:
     """Write the column value as one text file for each value of the column `name`, lines in the given order; name -> file."""
     df.repartition(name).sortWithinPartitions(name, *order).select(name, "value").write.partitionBy(name).text(path)

@@ -3,6 +3,7 @@ import gzip
 import pytest
 
 from coverloom import schemas
+from coverloom.operators import report
 from coverloom.sources import files
 from coverloom.streaming import ingest
 
@@ -77,3 +78,26 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 
 def test_empty_tables_have_their_columns(spark):
     assert schemas.empty(spark, schemas.EDGES).columns == ["style", "cluster_size", "samples", "target_ids"]
+
+
+def test_completion_is_read_from_run_folders(spark, tmp_path):
+    def put(run, name, text=""):
+        f = tmp_path / run / "coassemble" / name
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_text(text)
+
+    header = "\t".join(c.split()[0] for c in schemas.CLUSTERS.split(", "))
+    for run, names in (("a run+1", ["c0", "c1"]), ("b", ["c0"]), ("none", [])):
+        put(run, "target/elusive_clusters.tsv", "\n".join([header, *(f"x,y\t2\t3.0\t4\tx,y\t{n}" for n in names)]) + "\n")
+    put("a run+1", "coassemble/c0/assemble/assembly/final_contigs.fasta", ">x")
+    put("a run+1", "coassemble/c0/recover/bins/bin_info.tsv")
+    put("a run+1", "coassemble/c1/assemble/assembly/final_contigs.fasta/part-0", ">x")
+    put("a run+1", "coassemble/other/recover/bins/bin_info.tsv")
+    put("b", "coassemble/c0/assemble/assembly/final_contigs.fasta.gz")
+    where = [str(tmp_path / r) for r in ("a run+1", "b", "none")]
+    got = {(r["dir"], r["coassembly"]): (r["assembled"], r["recovered"]) for r in files.runs(spark, where).collect()}
+    assert got == {(where[0], "c0"): (True, True), (where[0], "c1"): (True, False), (where[1], "c0"): (False, False)}
+    total = {r["dir"]: (r["total"], r["assembled"], r["recovered"], r["incomplete"]) for r in report.completion(files.runs(spark, where)).collect()}
+    assert total == {where[0]: (2, 2, 1, 1), where[1]: (1, 0, 0, 1), "2": (3, 2, 1, 2)}
+    with pytest.raises(ValueError, match="twice"):
+        files.runs(spark, [where[0], where[0] + "/"])
