@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from coverloom.functions.index import numbered
 from coverloom.functions.text import clean_sequence, reverse_complement
 from coverloom.scratch import cut, small
 
@@ -65,16 +66,25 @@ def _by_blocks(hot: DataFrame, sizes: DataFrame, threshold: float, block: int) -
 
 
 def jaccard(sketches: DataFrame, threshold: float = 0.1, hot: int = HOT, block: int = BLOCK) -> DataFrame:
-    """(query_name, match_name, jaccard) of sample pairs that share k-mers, at or over the threshold; an equi-join on the k-mer, so that samples without a common k-mer never meet. K-mers of over `hot` samples are compared by blocks of samples instead."""
+    """(query_name, match_name, jaccard) of sample pairs that share k-mers, at or over the threshold; samples without a common k-mer never meet. Each k-mer has the list of its samples' numbers, and a sample gets what stands behind it in its lists and counts it: one shuffled row for each sample of a k-mer, none for each pair. K-mers of over `hot` samples are compared by blocks of samples instead."""
     sketches = cut(sketches, "sketches")  # read again and again
     n = sketches.groupBy("sample").agg(F.count(F.lit(1)).alias("n"))
     common = cut(sketches.groupBy("kmer").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot).select("kmer"), "common")
     many = not common.isEmpty()
     rest = sketches.join(small(common), "kmer", "left_anti") if many else sketches
-    rest = rest.join(n, "sample")
-    a, b = rest.alias("a"), rest.alias("b")
-    met = a.join(b, F.col("a.kmer") == F.col("b.kmer")).where("a.sample < b.sample").where(F.least("a.n", "b.n") >= threshold * F.greatest("a.n", "b.n") - 1e-6)
-    both = met.groupBy(F.col("a.sample").alias("query_name"), F.col("b.sample").alias("match_name"), F.col("a.n").alias("n1"), F.col("b.n").alias("n2")).agg(F.count(F.lit(1)).alias("i"))
+    # by rising size: what comes behind a sample is at least as large
+    ids = cut(numbered(n, "id", "n", "sample").withColumn("id", F.col("id").cast("int")), "ids")
+    lists = rest.where("kmer is not null").join(small(ids.select("sample", "id")), "sample").groupBy("kmer").agg(F.array_sort(F.collect_list("id")).alias("l")).where(F.size("l") > 1)
+    met = lists.select("l", F.posexplode("l").alias("p", "x")).select("x", F.slice("l", F.col("p") + 2, F.size("l")).alias("rest")).where(F.size("rest") > 0)
+    met = met.repartition("x").select("x", F.explode("rest").alias("y")).where("x < y").groupBy("x", "y").agg(F.count(F.lit(1)).alias("i"))
+    of = lambda c: small(ids.select(F.col("id").alias(c), F.col("sample").alias(f"s{c}"), F.col("n").alias(f"n{c}")))
+    met = met.join(of("x"), "x")
+    if not many:  # a value of the threshold takes as many common k-mers
+        met = met.where(F.col("i") >= threshold * F.col("nx") - 1e-6)
+    met = met.join(of("y"), "y").where(F.col("nx") >= threshold * F.col("ny") - 1e-6)
+    turn = F.col("sx") > F.col("sy")
+    by = lambda a, b: F.when(turn, F.col(a)).otherwise(F.col(b))
+    both = met.select(by("sy", "sx").alias("query_name"), by("sx", "sy").alias("match_name"), by("ny", "nx").alias("n1"), by("nx", "ny").alias("n2"), "i")
     if many:
         own = sketches.join(small(common), "kmer", "left_semi")
         h = own.groupBy("sample").agg(F.count(F.lit(1)).alias("h"))
@@ -91,16 +101,18 @@ def filtered(distances: DataFrame, threshold: float = 0.1) -> DataFrame:
     return distances.where(F.col("jaccard") >= threshold)
 
 
-def neighbours(distances: DataFrame, size: int) -> DataFrame:
-    """(sample, nearest): for each sample its size - 1 most similar ones, least similar first. Samples without enough similar ones are filled up with dissimilar ones, last names first; ties go to the later name.
+def neighbours(distances: DataFrame, size: int, lower: bool = True) -> tuple[DataFrame, int]:
+    """(sample, nearest): for each sample its size - 1 most similar ones, least similar first, and the size. Samples without enough similar ones are filled up with dissimilar ones, last names first; ties go to the later name. No distances give no sample.
 
+    lower: of fewer samples than `size`, each has one less than all others are (and the size falls with it); else all others.
     Only the last `size` names can fill up, so each sample gets this one short list and is not joined with all samples.
     """
+    distances = cut(distances, "distances")  # read again and again
     d = distances.select(F.col("query_name").alias("a"), F.col("match_name").alias("b"), "jaccard")
     names = d.select(F.explode(F.array("a", "b")).alias("sample")).distinct()
     n = names.count()
-    if n < size:
-        size = n - 1
+    if n < size and lower:
+        size = max(n - 1, 0)
     both = d.unionByName(d.select(F.col("b").alias("a"), F.col("a").alias("b"), "jaccard")).where("a <> b").groupBy("a", "b").agg(F.sum("jaccard").alias("jaccard"))
     last = names.orderBy(F.desc("sample")).limit(size)
     fill = names.select(F.col("sample").alias("a")).crossJoin(F.broadcast(last.agg(F.collect_list("sample").alias("f")))).select("a", F.explode("f").alias("b")).where("a <> b")

@@ -175,7 +175,7 @@ def jaccard_filter(t):
 
 @query
 def precluster_topk(t):
-    near, _ = precluster.neighbours(precluster.jaccard(t.sequence_sets()), 5)
+    near, _ = precluster.neighbours(precluster.jaccard(t.sequence_sets()), 5, lower=False)
     return near.select("sample", F.array_join("nearest", ",").alias("nearest"))
 
 

@@ -223,6 +223,19 @@ def test_too_few_samples_lower_the_size(spark, frame):
     assert sets(precluster.preclusters(D(frame, [("1", "2", 0.9), ("2", "3", 0.5)]), 9, 2)) == {"1,2", "2,3"}
 
 
+def test_neighbours_of_none_and_of_few(spark, frame):
+    near, _ = precluster.neighbours(D(frame, []), 5, lower=False)
+    assert near.isEmpty() and precluster.neighbours(D(frame, []), 5)[1] == 0
+    near, _ = precluster.neighbours(D(frame, [("1", "2", 0.9), ("2", "3", 0.5)]), 5, lower=False)
+    assert {r["sample"]: r["nearest"] for r in near.collect()} == {"1": ["3", "2"], "2": ["3", "1"], "3": ["1", "2"]}
+
+
+def test_jaccard_makes_no_row_for_each_pair_of_a_kmer(spark, frame):
+    near = precluster.jaccard(frame([(f"s{i}", k) for i in range(9) for k in ("a", f"k{i}")], "sample string, kmer string"))
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert len(near.collect()) == 36 and "Generate explode(rest" in plan and not any("Join" in x and "kmer" in x for x in plan.splitlines())
+
+
 def test_anchors_are_centres(spark, frame):
     d = D(frame, [("1", "2", 0.9), ("2", "3", 0.5), ("3", "4", 0.8)])
     assert sets(precluster.preclusters(d, 2, 2, ["4"])) == {"3,4"}
