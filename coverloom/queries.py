@@ -301,8 +301,7 @@ def cluster_greedy_prefixes(t):
 
 @query
 def cluster_extra_targets(t):
-    h = _hashed(t)
-    e = edges.multi(h, MIN_COVERAGE, 3)
+    e = scratch.cut(edges.pools(_hashed(t), MIN_COVERAGE, 3))  # match edges take no part
     c = clusters.pooled(e, max_combined=9)
     return clusters.extra_targets(c.withColumn("length", F.size("samples")), e, 9).select(F.col("key").alias("samples"), F.size("target_ids").alias("n_targets"))
 

@@ -125,6 +125,20 @@ def test_extra_targets_are_those_of_pools_that_hold_the_set(spark, frame):
     assert any(len(v) > 1 for v in got.values())
 
 
+def test_a_set_meets_few_of_the_pools_of_its_rarest_sample(spark, frame, monkeypatch):
+    """400 pools of 12 among 60 samples: each sample is in about 80, each pair in 15, and joins of small pools go by pairs; large pools are met by the rarest sample, with the same result."""
+    r = random.Random(3)
+    data = [("pool", 3, ",".join(sorted(r.sample([f"s{i:02}" for i in range(60)], 12))), str(i)) for i in range(400)]
+    chosen = [sorted(r.sample([f"s{i:02}" for i in range(60)], 3)) for _ in range(300)]
+    rows = frame([(c, 3, c.split(","), [9_999]) for c in sorted({",".join(c) for c in chosen})], "key string, length int, samples array<string>, target_ids array<bigint>")
+    want = {c: sorted([9_999, *(int(t) for _, _, who, t in data if set(c.split(",")) <= set(who.split(",")))]) for (c,) in rows.select("key").collect()}
+    join, met = type(rows).join, []
+    monkeypatch.setattr(type(rows), "join", lambda self, other, *a: (met.append(self) if a == ("pool",) and "rest" in self.columns else None, join(self, other, *a))[1])
+    for paired in (64, 0):
+        assert {x["key"]: sorted(x["target_ids"]) for x in clusters.extra_targets(rows, E(frame, data), 4, paired).collect()} == want
+    assert met[0].count() * 4 < met[1].count() and any(len(v) > 1 for v in want.values())
+
+
 def test_greedy_in_one_task_and_in_rounds_agree(spark, frame):
     r = random.Random(5)
     rows = []
