@@ -553,12 +553,9 @@ def completion_of_folders(t):
         own = runs.where(F.col("run") == i)
         rows = own.select(*[F.col(c) if c == "coassembly" else F.lit(None).cast("string").alias(c) for c in columns])
         files.write_tsv(rows, f"{place}/coassemble/target/elusive_clusters.tsv", one_file=True)
-    hadoop = t.spark.sparkContext._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(root).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    for r in runs.toLocalIterator():  # the results of an external program, as empty files
-        for what, name in files.RESULTS.items():
-            if r[what]:
-                fs.createNewFile(hadoop.Path(f"{places[r['run']]}/coassemble/coassemble/{r['coassembly']}/{name}"))
+    # the results of an external program, as empty files
+    made = [F.when(F.col(what), F.concat(F.lit("run"), "run", F.lit("/coassemble/coassemble/"), "coassembly", F.lit(f"/{name}"))) for what, name in files.RESULTS.items()]
+    files.empty_files(runs.select(F.explode(F.array(*made)).alias("name")).where("name is not null"), root)
     return report.completion(files.runs(t.spark, places).withColumn("dir", F.regexp_extract("dir", "[^/]+$", 0)))
 
 

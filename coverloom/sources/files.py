@@ -100,20 +100,57 @@ RESULTS = {"assembled": "assemble/assembly/final_contigs.fasta", "recovered": "r
 def runs(spark: SparkSession, folders: list[str]) -> DataFrame:
     """(dir, coassembly, assembled, recovered) of finished and unfinished runs: each coassembly of a run folder's clusters, and whether its results are there, be they files, empty ones or folders of files.
 
-    The results of a folder are listed with one pattern each, and no file is opened; at most two names for each coassembly of a
-    plan reach the driver. Spark's file sources wouldn't do, as they pass over empty files. A file of a coassembly that the
-    clusters don't have is left out. A folder without its clusters is an error, one that is given twice too.
+    Folders of a local or mounted file system, which executors reach as they reach the clusters in it, are looked into by the tasks that
+    read the clusters: no name reaches the driver. In other stores the results of a folder are listed with one pattern each on the
+    driver, at most two names for each coassembly of a plan. No file is opened. Spark's file sources wouldn't do, as they pass
+    over empty files. A file of a coassembly that the clusters don't have is left out. A folder without its clusters is an error,
+    one that is given twice too. What is there is looked up once, at the call.
     """
     if not folders:
         raise ValueError("no folder of a run")
-    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
-    there, seen = [], set()
-    for folder in folders:
-        root = hadoop.Path(folder)
-        fs = root.getFileSystem(conf)
-        if (whole := fs.makeQualified(root).toString()) in seen:
-            raise ValueError("a folder is given twice")
-        seen.add(whole)
+    seen = [_qualified(spark, x)[1] for x in folders]
+    if len(set(seen)) < len(seen):
+        raise ValueError("a folder is given twice")
+    planned = {x: clusters(spark, f"{x.rstrip('/')}/coassemble/target/elusive_clusters.tsv").select(F.lit(x).alias("dir"), "coassembly") for x in folders}
+    local = [_looked_up(own, at) for x, own in planned.items() if (at := _mounted(spark, x))]
+    listed = {x: own for x, own in planned.items() if not _mounted(spark, x)}
+    return cut(reduce(DataFrame.unionByName, local + ([_listed(spark, listed)] if listed else [])), "runs")
+
+
+def _qualified(spark: SparkSession, path: str):
+    """The path's store, and the whole path in it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p).toString()
+
+
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """The path for Python, if its store is a local or mounted file system."""
+    fs, whole = _qualified(spark, path)
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(whole).toUri().getPath() if fs.getUri().getScheme() == "file" else None
+
+
+def _looked_up(planned: DataFrame, root: str) -> DataFrame:
+    """planned with its results in the run folder `root`, looked up by tasks."""
+    results = dict(RESULTS)
+
+    def look(batches):
+        from os.path import exists
+
+        for rows in batches:
+            named = [x if isinstance(x, str) and x not in ("", ".", "..") and "/" not in x else None for x in rows["coassembly"]]
+            for what, name in results.items():
+                rows[what] = [x is not None and exists(f"{root}/coassemble/coassemble/{x}/{name}") for x in named]
+            yield rows
+
+    return planned.mapInPandas(look, "dir string, coassembly string, assembled boolean, recovered boolean")
+
+
+def _listed(spark: SparkSession, planned: dict[str, DataFrame]) -> DataFrame:
+    """The clusters of each folder with their results, listed on the driver."""
+    hadoop, there = spark.sparkContext._jvm.org.apache.hadoop.fs, []
+    for folder in planned:
+        fs, _ = _qualified(spark, folder)
         literal = re.sub(r"([\\{}\[\]*?])", r"\\\1", folder.rstrip("/"))
         for what, name in RESULTS.items():
             for found in fs.globStatus(hadoop.Path(f"{literal}/coassemble/coassemble/*/{name}")) or []:
@@ -123,8 +160,28 @@ def runs(spark: SparkSession, folders: list[str]) -> DataFrame:
                 there.append((folder, own.getName(), what))
     flags = spark.createDataFrame(there, "dir string, coassembly string, what string")
     flags = flags.groupBy("dir", "coassembly").agg(*[F.bool_or(F.col("what") == x).alias(x) for x in RESULTS])
-    planned = [clusters(spark, f"{x.rstrip('/')}/coassemble/target/elusive_clusters.tsv").select(F.lit(x).alias("dir"), "coassembly") for x in folders]
-    return reduce(DataFrame.unionByName, planned).join(flags, ["dir", "coassembly"], "left").fillna(False, list(RESULTS))
+    return reduce(DataFrame.unionByName, planned.values()).join(flags, ["dir", "coassembly"], "left").fillna(False, list(RESULTS))
+
+
+def empty_files(names: DataFrame, root: str) -> None:
+    """Make an empty file for each `name` (a path below root) and its folders: by tasks in a local or mounted file system, else one by one."""
+    spark = names.sparkSession
+    at = _mounted(spark, root)
+    if at is None:
+        fs, whole = _qualified(spark, root)
+        for r in names.toLocalIterator():
+            fs.createNewFile(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{whole}/{r['name']}"))
+        return
+
+    def make(rows):
+        import os
+
+        for r in rows:
+            path = f"{at}/{r['name']}"
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            open(path, "ab").close()
+
+    names.select("name").repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).foreachPartition(make)
 
 
 def write_lines(df: DataFrame, path: str, name: str, *order) -> dict[str, str]:

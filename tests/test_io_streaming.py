@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from coverloom import schemas
 from coverloom.operators import report
@@ -101,3 +102,19 @@ def test_completion_is_read_from_run_folders(spark, tmp_path):
     assert total == {where[0]: (2, 2, 1, 1), where[1]: (1, 0, 0, 1), "2": (3, 2, 1, 2)}
     with pytest.raises(ValueError, match="twice"):
         files.runs(spark, [where[0], where[0] + "/"])
+
+
+def test_tasks_make_and_find_results_of_runs(spark, tmp_path, monkeypatch):
+    """No name of a coassembly reaches the driver, and what tasks find is what a listing finds."""
+    root = str(tmp_path / "run 1")
+    names = spark.createDataFrame([("c0",), ("c%2",), (".",), ("a/b",), (None,)], "coassembly string")
+    rows = names.select(*[F.col(c) if c == "coassembly" else F.lit(None).cast("string").alias(c) for c in (x.split()[0] for x in schemas.CLUSTERS.split(", "))])
+    files.write_tsv(rows, f"{root}/coassemble/target/elusive_clusters.tsv", one_file=True)
+    assembled, recovered = files.RESULTS.values()
+    made = [f"coassemble/coassemble/{x}" for x in (f"c0/{assembled}", f"c%2/{recovered}", f"a/b/{assembled}", assembled)]
+    files.empty_files(spark.createDataFrame([(x,) for x in made], "name string"), root)
+    own = files.clusters(spark, f"{root}/coassemble/target/elusive_clusters.tsv").select(F.lit(root).alias("dir"), "coassembly")
+    listed = {(r["coassembly"], r["assembled"], r["recovered"]) for r in files._listed(spark, {root: own}).collect()}
+    monkeypatch.setattr(files, "_listed", None)
+    got = {(r["coassembly"], r["assembled"], r["recovered"]) for r in files.runs(spark, [root]).collect()}
+    assert got == listed == {("c0", True, False), ("c%2", False, True), (".", False, False), ("a/b", False, False), (None, False, False)}
