@@ -169,6 +169,15 @@ def test_a_long_chain_of_conflicts_ends_in_few_rounds(spark, frame, monkeypatch)
     assert got == {f"s{i:06},s{i + 1:06}" for i in range(0, n, 2)} and rounds.count("wins") <= 5
 
 
+def test_rounds_drop_conflicting_candidates_without_a_shuffle(spark, frame, monkeypatch):
+    c = frame([(f"s{i},s{i + 1}", [f"s{i}", f"s{i + 1}"], 2, float(-i), 0) for i in range(6)], "key string, samples array<string>, length int, total_targets double, total_size bigint")
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(clusters, "cut", lambda df, label="cut": (plans.append(plan(df)) if label == "alive" else None, scratch.cut(df, label))[1])
+    assert {r["key"] for r in clusters.greedy(scratch.cut(c), one_task=0).collect()} == {"s0,s1", "s2,s3", "s4,s5"}
+    assert len(plans) == 4 and not any("Generate" in p or "SortMergeJoin" in p for p in plans)  # no row for each sample of a candidate
+
+
 def test_recovery_counts_shared_targets(spark, frame):
     c = frame([("a,b", [1, 2, 9])], "key string, target_ids array<bigint>")
     st = frame([("a", 1), ("a", 2), ("c", 2), ("d", 2)], "candidate string, target bigint")
